@@ -8,6 +8,7 @@ Windows count stored rows, not calendar days; a mean needs three values.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import NumericType
 
 from tallywater.functions import risk
 
@@ -76,8 +77,13 @@ def agent_features(perf: DataFrame, tenure: Column | int = SERVING_TENURE) -> Da
 
 
 def fill_numbers(df: DataFrame) -> DataFrame:
-    """Missing numbers become 0."""
-    return df.na.fill(0)
+    """Missing numbers become 0; ids are left alone and keep their partitioning."""
+    numbers = [
+        f.name
+        for f in df.schema.fields
+        if isinstance(f.dataType, NumericType) and not f.name.endswith("_id")
+    ]
+    return df.na.fill(0, subset=numbers)
 
 
 def latest_features(perf: DataFrame, tenure: Column | int = SERVING_TENURE) -> DataFrame:
@@ -132,7 +138,7 @@ def asof_features(perf: DataFrame, as_of: DataFrame, days: int = LOOKBACK_DAYS)
         start = F.greatest(F.col("_rows") - (rows - 1), F.lit(1))
         frame = F.slice("_history", start, F.lit(rows))
         for name, column in MEASURES.items():
-            derived[f"avg_{name}_{rows}d"] = _mean(F.transform(frame, lambda r, c=column: r[c]))
+            derived[f"avg_{name}_{rows}d"] = _mean(frame[column])
     earlier = F.get("_history", F.col("_rows") - 1 - TREND_ROWS)
     for name, column in TRENDS.items():
         derived[name] = F.col(column) - earlier[column]

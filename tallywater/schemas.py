@@ -167,12 +167,8 @@ TABLES: dict[str, Table] = {
     ),
 }
 
-READING_DDL = (
-    "value double, unit string, status string, threshold_min double, threshold_max double"
-)
-
 # The nested layout of one sensor event.
-EVENT_SCHEMA = StructType.fromDDL(
+EVENT_SCHEMA = (
     "event_id string, timestamp timestamp, "
     "facility struct<name: string, type: string, district: string, capacity_mld: double, "
     "location: struct<latitude: double, longitude: double>, supply_chain: string, "
@@ -185,8 +181,12 @@ EVENT_SCHEMA = StructType.fromDDL(
     "network_signal: double>"
 )
 
+EVENT_FIELDS = (
+    "event_id", "timestamp", "facility", "sensors", "operational_metrics", "metadata"
+)
+
 # The layout of the network configuration document.
-CONFIG_SCHEMA = StructType.fromDDL(
+CONFIG_SCHEMA = (
     "facilities map<string, struct<location: struct<latitude: double, longitude: double>, "
     "type: string, capacity_mld: double, district: string, supply_chain: string, "
     "upstream_facility: string, downstream_facility: string, priority_sensors: array<string>>>, "

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywater.schemas import EVENT_SCHEMA
+from tallywater.schemas import EVENT_FIELDS, EVENT_SCHEMA
 
 # Stream settings; the two variables override the first two.
 TOPIC = "water_iot_stream"
@@ -68,7 +68,7 @@ def to_messages(events: DataFrame) -> DataFrame:
     """Events as Kafka ``key``/``value`` rows; the facility name keeps its events in order."""
     return events.select(
         F.col("facility.name").alias("key"),
-        F.to_json(F.struct(*[F.col(c) for c in EVENT_SCHEMA.names])).alias("value"),
+        F.to_json(F.struct(*[F.col(c) for c in EVENT_FIELDS])).alias("value"),
     )
 
 
