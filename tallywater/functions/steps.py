@@ -62,3 +62,20 @@ def ratio(part: Column, whole: Column, scale: float = 1.0) -> Column:
     """``part / whole * scale`` as a double; 0 where the whole is 0."""
     share = part.cast("double") / whole.cast("double") * F.lit(scale)
     return F.when(whole > 0, share).otherwise(F.lit(0.0))
+
+
+UNITS = 10_000
+
+
+def units(column: Column | str) -> Column:
+    """A number of at most four decimals as whole ten-thousandths.
+
+    Sums of whole numbers do not depend on the order of partial sums, and cost a
+    tenth of decimal sums.
+    """
+    subject = F.col(column) if isinstance(column, str) else column
+    return F.rint(subject * UNITS).cast("long")
+
+
+def exact_sum(column: Column | str) -> Column:
+    return F.sum(units(column)) / UNITS

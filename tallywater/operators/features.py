@@ -7,7 +7,7 @@ Windows count stored rows, not calendar days; a mean needs three values.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from pyspark.sql.types import NumericType
 
 from tallywater.functions import risk
@@ -57,20 +57,29 @@ def _flags(df: DataFrame, tenure: Column) -> DataFrame:
     )
 
 
-def agent_features(perf: DataFrame, tenure: Column | int = SERVING_TENURE) -> DataFrame:
-    """Trailing means, trends and flags for every row, from one sort per agent.
-
-    ``is_latest`` marks the newest row of each agent.
-    """
-    per_agent = Window.partitionBy("agent_id").orderBy("date_id")
+def _trailing(per_agent: WindowSpec) -> dict[str, Column]:
+    """Trailing means and seven-row differences over stored rows."""
     derived: dict[str, Column] = {}
     for rows in WINDOWS:
         frame = per_agent.rowsBetween(-(rows - 1), 0)
         for name, column in MEASURES.items():
-            enough = F.count(column).over(frame) >= MIN_VALUES
-            derived[f"avg_{name}_{rows}d"] = F.when(enough, F.avg(column).over(frame))
+            derived[f"avg_{name}_{rows}d"] = _mean(column, frame)
     for name, column in TRENDS.items():
         derived[name] = F.col(column) - F.lag(column, TREND_ROWS).over(per_agent)
+    return derived
+
+
+def _mean(column: Column | str, frame: WindowSpec) -> Column:
+    return F.when(F.count(column).over(frame) >= MIN_VALUES, F.avg(column).over(frame))
+
+
+def agent_features(perf: DataFrame, tenure: Column | int = SERVING_TENURE) -> DataFrame:
+    """Trailing means, trends and flags for every row, from one sort per agent.
+
+    ``is_latest`` marks the newest row of each agent.
+    """
+    per_agent = Window.partitionBy("agent_id").orderBy("date_id")
+    derived = _trailing(per_agent)
     derived["is_latest"] = F.lead("date_id").over(per_agent).isNull()
     fixed = F.lit(tenure) if isinstance(tenure, int) else tenure
     return _flags(perf.withColumns(derived), fixed)
@@ -114,39 +123,37 @@ def asof_features(perf: DataFrame, as_of: DataFrame, days: int = LOOKBACK_DAYS)
     """Features of every agent as known on each date of ``as_of`` (column ``as_of``).
 
     The newest row in ``[as_of - days, as_of]`` represents the agent, and only
-    rows of that range feed its means and trends. Each stored row is shuffled
-    once: it carries its short history (at most ``days + 1`` rows, one per day)
-    and is then repeated for the dates on which it is the newest row, instead of
-    repeating every row for every date that looks back to it.
+    rows of that range feed its means and trends. Instead of repeating every row
+    for every date that looks back to it, a row is carried forward only over the
+    days on which it is the newest one; two windows per agent do the rest:
+
+    * over stored rows: the means of the last 7 and 30 rows and the differences;
+    * over the last ``days`` days: how many stored rows they hold, and their mean,
+      which replaces the first where the range holds fewer rows than it needs.
     """
     per_agent = Window.partitionBy("agent_id").orderBy("date_id")
-    history = F.collect_list(
-        F.struct("date_id", *MEASURES.values(), "escalation_rate")
-    ).over(per_agent.rowsBetween(-days, 0))
     horizon = F.date_add("date_id", days)
-    replaced = F.date_sub(F.lead("date_id").over(per_agent), 1)
-    spans = perf.withColumns({"_history": history, "_until": F.least(replaced, horizon)})
-    stamped = spans.withColumn("as_of", F.explode(F.sequence("date_id", "_until")))
-    wanted = stamped.join(as_of.select("as_of").distinct(), "as_of", "left_semi")
-
-    first = F.date_sub("as_of", days)
-    recent = wanted.withColumn(
-        "_history", F.filter("_history", lambda row: row["date_id"] >= first)
-    ).withColumn("_rows", F.size("_history"))
-    derived: dict[str, Column] = {}
-    for rows in WINDOWS:
-        start = F.greatest(F.col("_rows") - (rows - 1), F.lit(1))
-        frame = F.slice("_history", start, F.lit(rows))
-        for name, column in MEASURES.items():
-            derived[f"avg_{name}_{rows}d"] = _mean(frame[column])
-    earlier = F.get("_history", F.col("_rows") - 1 - TREND_ROWS)
-    for name, column in TRENDS.items():
-        derived[name] = F.col(column) - earlier[column]
-    featured = recent.withColumns(derived).drop("_history", "_until", "_rows")
-    return fill_numbers(_flags(featured, F.lit(SERVING_TENURE)))
-
-
-def _mean(values: Column) -> Column:
-    present = F.filter(values, lambda v: v.isNotNull())
-    total = F.aggregate(present, F.lit(0.0), lambda acc, v: acc + v.cast("double"))
-    return F.when(F.size(present) >= MIN_VALUES, total / F.size(present))
+    until = F.least(F.date_sub(F.lead("date_id").over(per_agent), 1), horizon)
+    stored = perf.withColumns({**_trailing(per_agent), "_until": until})
+    carried = stored.withColumn("as_of", F.explode(F.sequence("date_id", "_until")))
+    asked = as_of.select("as_of").distinct().withColumn("_asked", F.lit(True))
+    own = F.col("as_of") == F.col("date_id")
+    marked = carried.join(asked, "as_of", "left").where(own | F.col("_asked")).drop("_until")
+
+    day = F.unix_date("as_of")
+    recent = Window.partitionBy("agent_id").orderBy(day).rangeBetween(-days, 0)
+    within = {"_rows": F.count_if(own).over(recent)}
+    for name, column in MEASURES.items():
+        within[f"_{name}"] = _mean(F.when(own, F.col(column)), recent)
+    ranged = marked.withColumns(within).where("_asked")
+    enough = {
+        f"avg_{name}_{rows}d": F.when(
+            F.col("_rows") >= rows, F.col(f"avg_{name}_{rows}d")
+        ).otherwise(F.col(f"_{name}"))
+        for rows in WINDOWS
+        for name in MEASURES
+    }
+    for name in TRENDS:
+        enough[name] = F.when(F.col("_rows") > TREND_ROWS, F.col(name))
+    known = ranged.withColumns(enough).drop(*within, "_asked")
+    return fill_numbers(_flags(known, F.lit(SERVING_TENURE)))

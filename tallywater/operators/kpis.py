@@ -2,8 +2,8 @@
 
 Facts are summed to the grain of the join key before dimensions are joined, so
 a customer or department with a large share of the rows costs one row per input
-partition. Money, hours and scores are summed as decimals and do not depend on
-the order of partial sums.
+partition. Money, hours and scores are summed as whole ten-thousandths, so the
+result does not depend on the order of partial sums.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallywater.functions.steps import ratio
+from tallywater.functions.steps import UNITS, exact_sum, ratio, units
 from tallywater.operators.joins import lookup
 from tallywater.operators.ranking import number_rows
 from tallywater.schemas import TABLES
@@ -20,10 +20,6 @@ from tallywater.schemas import TABLES
 OVERALL = "Overall"
 
 
-def _exact(name: str, scale: int = 4) -> Column:
-    return F.sum(F.col(name).cast(f"decimal(18,{scale})")).cast("double")
-
-
 def _drilldown(parts: DataFrame, departments: DataFrame, table: str) -> DataFrame:
     """``parts`` holds date_id, department_id, ``part`` and ``whole``; adds the overall rows.
 
@@ -68,7 +64,7 @@ def resolution_rate_parts(perf: DataFrame) -> DataFrame:
 
 def csat_parts(tickets: DataFrame) -> DataFrame:
     return tickets.groupBy("date_id", "department_id").agg(
-        _exact("satisfaction_score").alias("part"),
+        exact_sum("satisfaction_score").alias("part"),
         F.count("satisfaction_score").cast("double").alias("whole"),
     )
 
@@ -89,7 +85,7 @@ def sla_parts(tickets: DataFrame, backlog: DataFrame) -> DataFrame:
 
 def resolution_time_parts(tickets: DataFrame) -> DataFrame:
     return tickets.groupBy("date_id", "department_id").agg(
-        _exact("resolution_time_hrs").alias("part"),
+        exact_sum("resolution_time_hrs").alias("part"),
         F.count("resolution_time_hrs").cast("double").alias("whole"),
     )
 
@@ -122,26 +118,47 @@ def _long(df: DataFrame, ids: list[str], measures: dict[str, Column]) -> DataFra
 def executive_summary(
     perf: DataFrame, tickets: DataFrame, backlog: DataFrame, billing: DataFrame
 ) -> DataFrame:
-    """Organisation-wide measures per day in long form."""
+    """Organisation-wide measures per day in long form; every fact is read once."""
+    daily = [
+        perf.groupBy("date_id").agg(
+            F.sum(F.col("total_tickets_handled") - F.col("backlog")).alias("resolved"),
+            F.sum("total_tickets_handled").alias("handled"),
+        ),
+        tickets.groupBy("date_id").agg(
+            F.count("*").alias("tickets"),
+            F.sum("sla_compliance").alias("met"),
+            F.count("*").alias("judged"),
+            F.sum("nps_score").alias("nps"),
+            F.sum(units("satisfaction_score")).alias("csat"),
+            F.count("satisfaction_score").alias("rated"),
+            F.sum(units("resolution_time_hrs")).alias("hours"),
+            F.count("resolution_time_hrs").alias("timed"),
+        ),
+        backlog.groupBy("date_id").agg(
+            F.sum(1 - F.col("sla_breached")).alias("met"), F.count("*").alias("judged")
+        ),
+        billing.groupBy("date_id").agg(F.sum(units("billed_amount")).alias("billed")),
+    ]
+    stacked = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), daily)
+    sums = stacked.groupBy("date_id").agg(
+        *[F.sum(c).alias(c) for c in stacked.columns if c != "date_id"]
+    )
 
-    def overall(parts: DataFrame, name: str) -> DataFrame:
-        sums = parts.groupBy("date_id").agg(F.sum("part").alias("p"), F.sum("whole").alias("w"))
-        return _long(sums, ["date_id"], {name: ratio(F.col("p"), F.col("w"))})
+    def mean(part: str, whole: str, scale: float = 1.0) -> Column:
+        return F.when(F.col(whole) > 0, F.col(part) * scale / F.col(whole))
 
-    counts = tickets.groupBy("date_id").agg(
-        F.avg("nps_score").alias("nps"), F.count("*").alias("tickets")
-    )
-    money = billing.groupBy("date_id").agg(_exact("billed_amount").alias("billed"))
-    rows = [
-        overall(resolution_rate_parts(perf), "Resolution Rate %"),
-        overall(csat_parts(tickets), "CSAT Score"),
-        overall(sla_parts(tickets, backlog), "SLA Compliance %"),
-        overall(resolution_time_parts(tickets), "Avg Resolution Time"),
-        _long(counts, ["date_id"], {"NPS": F.col("nps"), "Ticket Count": F.col("tickets")}),
-        _long(money, ["date_id"], {"Total Billed": F.col("billed")}),
-    ]
-    measures = reduce(DataFrame.unionByName, rows).withColumnRenamed("date_id", "measure_date")
-    numbered = number_rows(measures, [["measure_date"]], ["measure_name"], "measure_id")
+    measures = {
+        "Resolution Rate %": mean("resolved", "handled", 100.0),
+        "CSAT Score": mean("csat", "rated") / UNITS,
+        "SLA Compliance %": mean("met", "judged", 100.0),
+        "Avg Resolution Time": mean("hours", "timed") / UNITS,
+        "NPS": mean("nps", "tickets"),
+        "Ticket Count": F.col("tickets"),
+        "Total Billed": F.col("billed") / UNITS,
+    }
+    dated = sums.withColumnRenamed("date_id", "measure_date")
+    melted = _long(dated, ["measure_date"], measures)
+    numbered = number_rows(melted, [["measure_date"]], ["measure_name"], "measure_id")
     return numbered.select(*TABLES["meas_executive_summary"].columns)
 
 
@@ -150,11 +167,11 @@ def customer_service_measures(
 ) -> DataFrame:
     """Satisfaction, first-contact, SLA, NPS, effort and response by district and category."""
     sums = {
-        "csat": _exact("satisfaction_score"),
+        "csat": F.sum(units("satisfaction_score")),
         "first": F.sum("resolved_in_first_contact"),
         "met": F.sum("sla_compliance"),
         "nps": F.sum("nps_score"),
-        "effort": _exact("effort_score"),
+        "effort": F.sum(units("effort_score")),
         "efforts": F.count("effort_score"),
         "response": F.sum("response_time_mins"),
         "n": F.count("*"),
@@ -166,20 +183,17 @@ def customer_service_measures(
     grouped = (
         lookup(per_customer, places, "customer_id", {"district": ""})
         .groupBy("district", "issue_category")
-        .agg(
-            *[
-                (_exact(n) if n in ("csat", "effort") else F.sum(n)).alias(n)
-                for n in sums
-            ]
-        )
+        .agg(*[F.sum(name).alias(name) for name in sums])
     )
     n = F.col("n")
     measures = {
-        "CSAT Score": ratio(F.col("csat"), n),
+        "CSAT Score": ratio(F.col("csat"), n * UNITS),
         "First Contact Resolution %": ratio(F.col("first"), n, 100.0),
         "SLA Compliance %": ratio(F.col("met"), n, 100.0),
         "NPS": ratio(F.col("nps"), n),
-        "Effort Score": F.when(F.col("efforts") > 0, F.col("effort") / F.col("efforts")),
+        "Effort Score": F.when(
+            F.col("efforts") > 0, F.col("effort") / (F.col("efforts") * UNITS)
+        ),
         "Response Time Mins": ratio(F.col("response"), n),
     }
     melted = _long(grouped, ["district", "issue_category"], measures)
@@ -193,14 +207,14 @@ def customer_service_measures(
 def agent_measures(perf: DataFrame, measured_on: Column | None = None) -> DataFrame:
     """Handle time (ticket-weighted), utilisation, resolution and escalation per agent."""
     total = F.col("total_tickets_handled")
-    minutes = (F.col("avg_handle_time_mins") * total).cast("decimal(18,4)")
-    escalated = (F.col("escalation_rate") * total).cast("decimal(18,4)")
+    minutes = F.col("avg_handle_time_mins") * total
+    escalated = F.col("escalation_rate") * total
     grouped = perf.groupBy("agent_id").agg(
         F.sum(total).alias("n"),
-        F.sum(minutes).cast("double").alias("minutes"),
-        F.sum(escalated).cast("double").alias("escalated"),
+        exact_sum(minutes).alias("minutes"),
+        exact_sum(escalated).alias("escalated"),
         F.sum(total - F.col("backlog")).alias("resolved"),
-        (_exact("utilization_rate") / F.count("*")).alias("utilization"),
+        (exact_sum("utilization_rate") / F.count("*")).alias("utilization"),
     )
     n = F.col("n")
     measures = {
@@ -217,27 +231,27 @@ def billing_measures(
     billing: DataFrame, customers: DataFrame, measured_on: Column | None = None
 ) -> DataFrame:
     """Billed amount, consumption, collected and overdue share, mean discount per segment."""
-    amount = F.col("billed_amount").cast("decimal(18,4)")
+    amount = units("billed_amount")
     per_customer = billing.groupBy("customer_id").agg(
         F.sum(amount).alias("billed"),
-        F.sum(F.col("consumption_m3").cast("decimal(18,4)")).alias("consumption"),
+        F.sum(units("consumption_m3")).alias("consumption"),
         F.sum(F.when(F.col("payment_status") == "Paid", amount).otherwise(0)).alias("paid"),
         F.sum(F.when(F.col("payment_status") == "Overdue", amount).otherwise(0)).alias("overdue"),
-        F.sum(F.col("discount_applied").cast("decimal(18,4)")).alias("discount"),
+        F.sum(units("discount_applied")).alias("discount"),
         F.count("*").alias("n"),
     )
     segments = customers.select("customer_id", "customer_segment")
     grouped = (
         lookup(per_customer, segments, "customer_id", {"customer_segment": ""})
         .groupBy("customer_segment")
-        .agg(*[F.sum(c).cast("double").alias(c) for c in per_customer.columns[1:]])
+        .agg(*[F.sum(c).alias(c) for c in per_customer.columns[1:]])
     )
     measures = {
-        "Total Billed": F.col("billed"),
-        "Total Consumption": F.col("consumption"),
+        "Total Billed": F.col("billed") / UNITS,
+        "Total Consumption": F.col("consumption") / UNITS,
         "Collection Rate %": ratio(F.col("paid"), F.col("billed"), 100.0),
         "Overdue %": ratio(F.col("overdue"), F.col("billed"), 100.0),
-        "Avg Discount": ratio(F.col("discount"), F.col("n")),
+        "Avg Discount": ratio(F.col("discount"), F.col("n") * UNITS),
     }
     melted = _long(grouped, ["customer_segment"], measures)
     dated = melted.withColumn("measure_date", measured_on if measured_on is not None else F.current_date())
@@ -251,7 +265,7 @@ def customer_measures(
     """Ticket count, mean satisfaction and mean lateness of paid bills per customer."""
     contacts = tickets.groupBy("customer_id").agg(
         F.count("*").alias("n"),
-        (_exact("satisfaction_score") / F.count("satisfaction_score")).alias("csat"),
+        (exact_sum("satisfaction_score") / F.count("satisfaction_score")).alias("csat"),
     )
     paid = billing.where(F.col("payment_status") == "Paid").groupBy("customer_id").agg(
         F.avg("days_late").alias("late")

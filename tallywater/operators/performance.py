@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywater.functions import service
-from tallywater.functions.steps import ratio
+from tallywater.functions.steps import exact_sum, ratio
 from tallywater.operators.joins import lookup
 from tallywater.operators.tickets import DEFAULT_DEPARTMENT
 
@@ -19,16 +19,15 @@ def agent_day_totals(tickets: DataFrame) -> DataFrame:
     """Per agent and day: tickets, reopened, breaches, backlog, escalations, handle time.
 
     Partial sums are built before the shuffle, so a busy agent-day arrives as
-    one row per input partition. Hours are summed as decimals.
+    one row per input partition.
     """
-    hours = F.sum(F.col("resolution_time_hrs").cast("decimal(18,4)")).cast("double")
     return tickets.groupBy("date_id", "agent_id").agg(
         F.count("*").alias("total"),
         F.sum("reopened").alias("reopened"),
         F.sum(1 - F.col("sla_compliance")).alias("breaches"),
         F.count_if(service.is_unresolved()).alias("open"),
         F.count_if(service.is_escalated()).alias("escalated"),
-        hours.alias("hours"),
+        exact_sum("resolution_time_hrs").alias("hours"),
     )
 
 

@@ -21,16 +21,10 @@ def number_rows(
     """Dense numbers ``start + 1, start + 2, ...`` following ``levels`` and then ``order``.
 
     ``levels`` are column groups from coarse to fine, for instance
-    ``[["date_id"], ["agent_id", "block"]]``. Only counts per group travel to
-    the windows that add them up; rows are sorted inside their finest group.
+    ``[["date_id"], ["block"]]``. Only counts per group travel to the windows
+    that add them up; rows are sorted inside their finest group.
     """
-    finest = [column for level in levels for column in level]
-    offsets = _offsets(df, levels)
-    inside = Window.partitionBy(*finest).orderBy(*order)
-    placed = df.join(offsets, finest)
-    base = F.lit(start) if isinstance(start, int) else start
-    number = base + F.col("_before") + F.row_number().over(inside)
-    return placed.withColumn(name, number.cast("long")).drop("_before")
+    return _numbered(df, [], levels, order, name, start)
 
 
 def number_within(
@@ -41,40 +35,43 @@ def number_within(
     ``block`` columns must follow the same order as ``order`` (for an ordering
     by id: the id divided by a constant), so that blocks can be counted apart.
     """
-    keys = [*group, *block]
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    earlier = Window.partitionBy(*group).orderBy(*block).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = counts.select(
-        *keys, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
-    )
-    inside = Window.partitionBy(*keys).orderBy(*order)
-    numbered = df.join(offsets, keys).withColumn(
-        name, (F.col("_before") + F.row_number().over(inside)).cast("long")
-    )
-    return numbered.drop("_before")
+    return _numbered(df, group, [block], order, name, 0)
 
 
-def _offsets(df: DataFrame, levels: Sequence[Sequence[str]]) -> DataFrame:
-    """Rows before each finest group, summed level by level."""
-    finest = [column for level in levels for column in level]
-    counts = df.groupBy(*finest).agg(F.count("*").alias("_rows"))
-    offsets = counts.withColumn("_before", F.lit(0).cast("long"))
-    above: list[str] = []
-    for level in levels:
+def _numbered(
+    df: DataFrame,
+    group: Sequence[str],
+    levels: Sequence[Sequence[str]],
+    order: Order,
+    name: str,
+    start: Column | int,
+) -> DataFrame:
+    finest = [*group, *[column for level in levels for column in level]]
+    offsets = df.groupBy(*finest).agg(F.count("*").alias("_rows"))
+    offsets = _add_before(offsets, finest[: -len(levels[-1])], levels[-1], "_rows", "_before")
+    above = list(group)
+    for level in levels[:-1]:
         keys = [*above, *level]
-        sums = counts.groupBy(*keys).agg(F.sum("_rows").alias("_sum"))
-        window = Window.partitionBy(*above) if above else Window.partitionBy(F.lit(0))
-        earlier = window.orderBy(*level).rowsBetween(Window.unboundedPreceding, -1)
-        step = sums.select(*keys, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_step"))
-        offsets = (
-            offsets.join(step, keys)
-            .withColumn("_before", F.col("_before") + F.col("_step"))
-            .drop("_step")
+        sums = offsets.groupBy(*keys).agg(F.sum("_rows").alias("_sum"))
+        step = _add_before(sums, above, level, "_sum", "_step").drop("_sum")
+        offsets = offsets.join(step, keys).withColumn(
+            "_before", F.col("_before") + F.col("_step")
         )
         above = keys
-    return offsets.drop("_rows")
+    inside = Window.partitionBy(*finest).orderBy(*order)
+    base = F.lit(start) if isinstance(start, int) else start
+    number = base + F.col("_before") + F.row_number().over(inside)
+    placed = df.join(offsets.select(*finest, "_before"), finest)
+    return placed.withColumn(name, number.cast("long")).drop("_before")
+
+
+def _add_before(
+    counts: DataFrame, group: Sequence[str], order: Sequence[str], rows: str, name: str
+) -> DataFrame:
+    """Running total of the groups before each one."""
+    window = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+    earlier = window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn(name, F.coalesce(F.sum(rows).over(earlier), F.lit(0)))
 
 
 def keys_at_shares(keys: DataFrame, shares: Sequence[float]) -> list[tuple]:

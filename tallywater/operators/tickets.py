@@ -5,11 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallywater.functions import service
+from tallywater.functions.steps import exact_sum
 from tallywater.operators.joins import lookup
 from tallywater.operators.ranking import number_rows
 
 DEFAULT_DEPARTMENT = 4
 ANY_DISTRICT = "*"
+KEY_BLOCKS = 1024
+
+
+def key_block(key: str) -> Column:
+    """One of many equal shares of the keys: numbering runs per day and share, so a day
+    of any size is spread, whoever handled its tickets."""
+    return F.pmod(F.xxhash64(key), F.lit(KEY_BLOCKS))
 
 
 def score_tickets(tickets: DataFrame) -> DataFrame:
@@ -89,15 +97,11 @@ def unresolved_tickets(tickets: DataFrame) -> DataFrame:
 
 
 def ticket_metrics(tickets: DataFrame) -> DataFrame:
-    """Per agent and day: tickets, mean satisfaction, reopened and SLA breaches.
-
-    Scores carry one decimal and are summed as decimals, so the mean does not
-    depend on the order in which partial sums meet.
-    """
-    score = F.col("satisfaction_score").cast("decimal(12,4)")
+    """Per agent and day: tickets, mean satisfaction, reopened and SLA breaches."""
+    score = "satisfaction_score"
     return tickets.groupBy("date_id", "agent_id").agg(
         F.count("*").alias("total_tickets"),
-        (F.sum(score).cast("double") / F.count(score)).alias("avg_csat"),
+        (exact_sum(score) / F.count(score)).alias("avg_csat"),
         F.sum("reopened").cast("long").alias("reopened_count"),
         F.count_if(F.col("sla_compliance") == 0).alias("sla_breach_count"),
     )
@@ -150,8 +154,8 @@ def build_backlog(
 ) -> DataFrame:
     """Backlog records: triage, customer context and ids continuing after ``last_id``."""
     triaged = with_customer(triage(unresolved), customers)
-    spaced = triaged.withColumn("_block", F.pmod(F.xxhash64("ticket_id"), F.lit(64)))
+    spaced = triaged.withColumn("_block", key_block("ticket_id"))
     numbered = number_rows(
-        spaced, [["date_id"], ["agent_id", "_block"]], ["ticket_id"], "backlog_id", last_id
+        spaced, [["date_id"], ["_block"]], ["ticket_id"], "backlog_id", last_id
     )
     return numbered.drop("_block", "allowed_statuses", "allowed_reasons")

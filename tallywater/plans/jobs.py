@@ -77,8 +77,9 @@ def train(
     """Fit, evaluate on the held-out fifth and save; returns the model and its report."""
     extract = export_training_data(spark, root)
     frame = features.training_frame(extract.performance, extract.tickets, extract.agents)
-    labelled = labels.rebalance_labels(labels.label_rows(frame))
-    split = labels.stratified_split(labelled).persist(StorageLevel.MEMORY_AND_DISK)
+    ruled = labels.label_rows(frame).persist(StorageLevel.MEMORY_AND_DISK)
+    split = labels.stratified_split(labels.rebalance_labels(ruled))
+    split = split.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if split.isEmpty():
             raise NoData("no agent has enough history; run the daily load first")
@@ -88,6 +89,7 @@ def train(
         rows = spark.createDataFrame(report.collect(), report.schema)
     finally:
         split.unpersist()
+        ruled.unpersist()
     return model, rows
 
 
@@ -190,15 +192,13 @@ def daily_load(
 
     today = contacts.withColumn("date_id", F.lit(day)).drop("ticket_id", "department_id")
     staffed = tickets.with_agent(today, agents)
-    scored = tickets.score_tickets(staffed).withColumn(
-        "_block", F.pmod(F.xxhash64("contact_id"), F.lit(64))
-    )
+    scored = tickets.score_tickets(staffed).withColumn("_block", tickets.key_block("contact_id"))
     start = max(
         _last_id(other_days("fact_tickets"), "ticket_id"),
         _last_id(other_days("fact_backlog"), "ticket_id"),
     )
     numbered = number_rows(
-        scored, [["date_id"], ["agent_id", "_block"]], ["contact_id"], "ticket_id", start
+        scored, [["date_id"], ["_block"]], ["contact_id"], "ticket_id", start
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         replace_dates(tickets.resolved_tickets(numbered), root, "fact_tickets")

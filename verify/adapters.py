@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date
-from functools import reduce
+from datetime import date, timedelta
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -41,7 +41,9 @@ DEPARTMENTS = (
 PAYERS = ("reliable", "occasional_late", "problematic")
 
 
+@lru_cache(maxsize=None)
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A given table; files are listed and schemas read once per session."""
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
@@ -137,6 +139,8 @@ def performance_rows(
     return performance.agent_daily_performance(
         tickets(spark, sf, days),
         agents(spark, sf),
+        FIRST_DAY,
+        FIRST_DAY + timedelta(days=days - 1),
         every_agent=every_agent,
         agent_digits=AGENT_DIGITS,
     )

@@ -44,6 +44,11 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[column(f).alias(f.name) for f in df.schema.fields])
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """Keep rows that several parts of a plan read; lost parts are computed again."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def register(name: str, oracle: str | None = None):
     def keep(query: Query) -> Query:
         QUERIES[name] = lambda spark, sf: plain(query(spark, sf))
@@ -270,7 +275,7 @@ REBALANCED = {
     ),
 )
 def _rebalanced_labels(spark, sf):
-    balanced = labels.rebalance_labels(labels.label_rows(_rule_training(spark, sf)))
+    balanced = labels.rebalance_labels(kept(labels.label_rows(_rule_training(spark, sf))))
     return balanced.select("date_id", "agent_id", "stress_index", labels.LABEL)
 
 
@@ -290,7 +295,7 @@ def _rebalanced_labels(spark, sf):
     ),
 )
 def _stratified_split(spark, sf):
-    split = labels.stratified_split(labels.label_rows(_training(spark, sf)))
+    split = labels.stratified_split(kept(labels.label_rows(_training(spark, sf))))
     return split.select("date_id", "agent_id", labels.LABEL, "is_test")
 
 
@@ -476,7 +481,7 @@ def _without_critical_on_even_days(rows):
 
 def _forced(spark, sf):
     rows = _without_critical_on_even_days(a.scored_features(spark, sf))
-    return scoring.ensure_critical(scoring.score_daily(rows))
+    return scoring.ensure_critical(kept(scoring.score_daily(rows)))
 
 
 @register(
@@ -719,15 +724,15 @@ def _resume_cursor(spark, sf):
     "surrogate_keys",
     sql(
         o.tickets(),
-        f"""SELECT {big('1000 + row_number() OVER (ORDER BY date_id, agent_id, ticket_id % 64,'
-            ' ticket_id, l_partkey)', 'ticket_key')},
+        f"""SELECT {big('1000 + row_number() OVER (ORDER BY date_id, ticket_id % 64,'
+            ' ticket_id, agent_id)', 'ticket_key')},
         {KEYS_OUT}, {big('ticket_id', 'ticket_id')} FROM tickets""",
     ),
 )
 def _surrogate_keys(spark, sf):
     rows = a.tickets(spark, sf).withColumn("block", F.pmod("ticket_id", F.lit(64)))
     numbered = ranking.number_rows(
-        rows, [["date_id"], ["agent_id", "block"]], ["ticket_id"], "ticket_key", 1000
+        rows, [["date_id"], ["block"]], ["ticket_id", "agent_id"], "ticket_key", 1000
     )
     return numbered.select("ticket_key", "date_id", "agent_id", "ticket_id")
 
@@ -1291,7 +1296,7 @@ def _drilldown_oracle(parts: dict[str, str], parent: str) -> str:
 
 
 def _split_facts(spark, sf):
-    rows = a.tickets(spark, sf, customers=True)
+    rows = a.tickets(spark, sf)
     backlog = ticket_ops.triage(ticket_ops.unresolved_tickets(rows))
     return ticket_ops.resolved_tickets(rows), backlog
 
@@ -1690,8 +1695,8 @@ def _stream_zones(spark, sf):
 @register("train_and_score")
 def _train_and_score(spark, sf):
     """Fit the forest on four fifths of the labelled rows and score the rest."""
-    balanced = labels.rebalance_labels(labels.label_rows(_training(spark, sf)))
-    split = labels.stratified_split(balanced).persist(StorageLevel.MEMORY_AND_DISK)
+    balanced = labels.rebalance_labels(kept(labels.label_rows(_training(spark, sf))))
+    split = kept(labels.stratified_split(kept(balanced)))
     model = train_classifier(split.where("is_test = 0"), rounds=20)
     scored = model.score(split.where("is_test = 1"))
     return scored.select(

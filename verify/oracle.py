@@ -153,14 +153,14 @@ TOTALS = {
 
 def performance(days: int = 60, every_agent: bool = True, varied: bool = True) -> dict[str, str]:
     if every_agent:
-        grain = """
+        grain = f"""
             SELECT a.agent_id, a.department_id, a.role_title, d.date_id,
                    coalesce(total, 0) AS total, coalesce(reopened, 0) AS reopened,
                    coalesce(breaches, 0) AS breaches, coalesce(open, 0) AS open,
                    coalesce(escalated, 0) AS escalated, coalesce(hours, 0) AS hours
             FROM agents a CROSS JOIN (
-                SELECT CAST(unnest(generate_series(min(date_id), max(date_id),
-                       INTERVAL 1 DAY)) AS DATE) AS date_id FROM tickets) d
+                SELECT CAST(unnest(generate_series(DATE '2025-01-01',
+                       DATE '2025-01-01' + {days - 1}, INTERVAL 1 DAY)) AS DATE) AS date_id) d
             LEFT JOIN totals t ON t.agent_id = a.agent_id AND t.date_id = d.date_id"""
     else:
         grain = """
