@@ -20,10 +20,13 @@ from tallywater.schemas import TABLES
 OVERALL = "Overall"
 
 
-def _drilldown(parts: DataFrame, departments: DataFrame, table: str) -> DataFrame:
+def _drilldown(
+    parts: DataFrame, departments: DataFrame, table: str, scale: int = 1
+) -> DataFrame:
     """``parts`` holds date_id, department_id, ``part`` and ``whole``; adds the overall rows.
 
-    Department 0 stands for the whole organisation.
+    Parts are whole numbers, ``scale`` to the unit. Department 0 stands for the
+    whole organisation.
     """
     by_department = parts.groupBy("date_id", "department_id").agg(
         F.sum("part").alias("part"), F.sum("whole").alias("whole")
@@ -40,7 +43,7 @@ def _drilldown(parts: DataFrame, departments: DataFrame, table: str) -> DataFram
             "department_id"
         ),
         F.col("date_id").alias("measure_date"),
-        ratio(F.col("part"), F.col("whole")).cast("decimal(18,4)").alias("measure_value"),
+        ratio(F.col("part") / scale, F.col("whole")).cast("decimal(18,4)").alias("measure_value"),
     )
     names = departments.select("department_id", "department_name")
     named = lookup(valued, names, "department_id").withColumn(
@@ -57,15 +60,13 @@ def _drilldown(parts: DataFrame, departments: DataFrame, table: str) -> DataFram
 def resolution_rate_parts(perf: DataFrame) -> DataFrame:
     resolved = F.sum(F.col("total_tickets_handled") - F.col("backlog"))
     return perf.groupBy("date_id", "department_id").agg(
-        (resolved * 100).cast("double").alias("part"),
-        F.sum("total_tickets_handled").cast("double").alias("whole"),
+        (resolved * 100).alias("part"), F.sum("total_tickets_handled").alias("whole")
     )
 
 
-def csat_parts(tickets: DataFrame) -> DataFrame:
+def mean_parts(tickets: DataFrame, column: str) -> DataFrame:
     return tickets.groupBy("date_id", "department_id").agg(
-        exact_sum("satisfaction_score").alias("part"),
-        F.count("satisfaction_score").cast("double").alias("whole"),
+        F.sum(units(column)).alias("part"), F.count(column).alias("whole")
     )
 
 
@@ -74,8 +75,7 @@ def sla_parts(tickets: DataFrame, backlog: DataFrame) -> DataFrame:
 
     def part(df: DataFrame, met: Column) -> DataFrame:
         return df.groupBy("date_id", "department_id").agg(
-            (F.sum(met) * 100).cast("double").alias("part"),
-            F.count("*").cast("double").alias("whole"),
+            (F.sum(met) * 100).alias("part"), F.count("*").alias("whole")
         )
 
     return part(tickets, F.col("sla_compliance")).unionByName(
@@ -83,19 +83,13 @@ def sla_parts(tickets: DataFrame, backlog: DataFrame) -> DataFrame:
     )
 
 
-def resolution_time_parts(tickets: DataFrame) -> DataFrame:
-    return tickets.groupBy("date_id", "department_id").agg(
-        exact_sum("resolution_time_hrs").alias("part"),
-        F.count("resolution_time_hrs").cast("double").alias("whole"),
-    )
-
-
 def resolution_rate_drilldown(perf: DataFrame, departments: DataFrame) -> DataFrame:
     return _drilldown(resolution_rate_parts(perf), departments, "meas_resolution_rate_drilldown")
 
 
 def csat_drilldown(tickets: DataFrame, departments: DataFrame) -> DataFrame:
-    return _drilldown(csat_parts(tickets), departments, "meas_csat_drilldown")
+    parts = mean_parts(tickets, "satisfaction_score")
+    return _drilldown(parts, departments, "meas_csat_drilldown", UNITS)
 
 
 def sla_drilldown(tickets: DataFrame, backlog: DataFrame, departments: DataFrame) -> DataFrame:
@@ -103,9 +97,8 @@ def sla_drilldown(tickets: DataFrame, backlog: DataFrame, departments: DataFrame
 
 
 def resolution_time_drilldown(tickets: DataFrame, departments: DataFrame) -> DataFrame:
-    return _drilldown(
-        resolution_time_parts(tickets), departments, "meas_avg_resolution_time_drilldown"
-    )
+    parts = mean_parts(tickets, "resolution_time_hrs")
+    return _drilldown(parts, departments, "meas_avg_resolution_time_drilldown", UNITS)
 
 
 def _long(df: DataFrame, ids: list[str], measures: dict[str, Column]) -> DataFrame:
@@ -144,15 +137,15 @@ def executive_summary(
         *[F.sum(c).alias(c) for c in stacked.columns if c != "date_id"]
     )
 
-    def mean(part: str, whole: str, scale: float = 1.0) -> Column:
-        return F.when(F.col(whole) > 0, F.col(part) * scale / F.col(whole))
+    def mean(part: Column, whole: str) -> Column:
+        return F.when(F.col(whole) > 0, part / F.col(whole))
 
     measures = {
-        "Resolution Rate %": mean("resolved", "handled", 100.0),
-        "CSAT Score": mean("csat", "rated") / UNITS,
-        "SLA Compliance %": mean("met", "judged", 100.0),
-        "Avg Resolution Time": mean("hours", "timed") / UNITS,
-        "NPS": mean("nps", "tickets"),
+        "Resolution Rate %": mean(F.col("resolved") * 100, "handled"),
+        "CSAT Score": mean(F.col("csat") / UNITS, "rated"),
+        "SLA Compliance %": mean(F.col("met") * 100, "judged"),
+        "Avg Resolution Time": mean(F.col("hours") / UNITS, "timed"),
+        "NPS": mean(F.col("nps"), "tickets"),
         "Ticket Count": F.col("tickets"),
         "Total Billed": F.col("billed") / UNITS,
     }
@@ -187,12 +180,12 @@ def customer_service_measures(
     )
     n = F.col("n")
     measures = {
-        "CSAT Score": ratio(F.col("csat"), n * UNITS),
+        "CSAT Score": ratio(F.col("csat") / UNITS, n),
         "First Contact Resolution %": ratio(F.col("first"), n, 100.0),
         "SLA Compliance %": ratio(F.col("met"), n, 100.0),
         "NPS": ratio(F.col("nps"), n),
         "Effort Score": F.when(
-            F.col("efforts") > 0, F.col("effort") / (F.col("efforts") * UNITS)
+            F.col("efforts") > 0, F.col("effort") / UNITS / F.col("efforts")
         ),
         "Response Time Mins": ratio(F.col("response"), n),
     }
@@ -251,7 +244,7 @@ def billing_measures(
         "Total Consumption": F.col("consumption") / UNITS,
         "Collection Rate %": ratio(F.col("paid"), F.col("billed"), 100.0),
         "Overdue %": ratio(F.col("overdue"), F.col("billed"), 100.0),
-        "Avg Discount": ratio(F.col("discount"), F.col("n") * UNITS),
+        "Avg Discount": ratio(F.col("discount") / UNITS, F.col("n")),
     }
     melted = _long(grouped, ["customer_segment"], measures)
     dated = melted.withColumn("measure_date", measured_on if measured_on is not None else F.current_date())

@@ -144,11 +144,11 @@ def train_classifier(
                 labelCol=f"_is_{n}",
                 maxIter=rounds,
                 stepSize=LEARNING_RATE,
-                probabilityCol=f"_probability_{n}",
-                rawPredictionCol=f"_raw_{n}",
                 predictionCol=f"_prediction_{n}",
                 **common,
             )
+            .setProbabilityCol(f"_probability_{n}")
+            .setRawPredictionCol(f"_raw_{n}")
             for n in codes
         ]
     return RiskModel(Pipeline(stages=[assemble, *stages]).fit(rows), kind)

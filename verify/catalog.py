@@ -1301,17 +1301,21 @@ def _split_facts(spark, sf):
     return ticket_ops.resolved_tickets(rows), backlog
 
 
-def exact(column: str, scale: int = 4) -> str:
-    return f"CAST(sum(CAST({column} AS DECIMAL(18,{scale}))) AS DOUBLE)"
+def whole(column: str) -> str:
+    return f"sum(CAST({column} AS DECIMAL(18,4)))"
+
+
+def exact(column: str) -> str:
+    return f"CAST({whole(column)} AS DOUBLE)"
 
 
 RESOLVED = "SELECT * FROM tickets WHERE resolved_in_first_contact = 1"
 OPEN = "SELECT * FROM tickets WHERE resolved_in_first_contact <> 1"
 RATE_PARTS = """
-    SELECT date_id, department_id, CAST(sum(total_tickets_handled - backlog) * 100 AS DOUBLE) AS part,
+    SELECT date_id, department_id, sum(total_tickets_handled - backlog) * 100 AS part,
            sum(total_tickets_handled) AS whole FROM perf GROUP BY 1, 2"""
 CSAT_PARTS = f"""
-    SELECT date_id, department_id, {exact('satisfaction_score')} AS part, count(*) AS whole
+    SELECT date_id, department_id, {whole('satisfaction_score')} AS part, count(*) AS whole
     FROM resolved GROUP BY 1, 2"""
 SLA_PARTS = """
     SELECT date_id, department_id, sum(met) * 100 AS part, count(*) AS whole FROM (
@@ -1320,7 +1324,7 @@ SLA_PARTS = """
             1 - CAST(days_in_backlog > 7 OR sla_compliance = 0 AS INTEGER) FROM open_tickets)
     GROUP BY 1, 2"""
 TIME_PARTS = f"""
-    SELECT date_id, department_id, {exact('resolution_time_hrs')} AS part, count(*) AS whole
+    SELECT date_id, department_id, {whole('resolution_time_hrs')} AS part, count(*) AS whole
     FROM resolved GROUP BY 1, 2"""
 SPLIT = {**o.tickets(), "resolved": RESOLVED, "open_tickets": OPEN}
 
