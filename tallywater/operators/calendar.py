@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallywater.operators.joins import missing_dates, one_row_per_day
 from tallywater.sources.tables import FIRST_DAY, next_date
 
 TRAINING_DAYS = 90
@@ -65,7 +66,7 @@ def backfill_dates(perf: DataFrame, done: DataFrame, days: int = 30) -> DataFram
     """Distinct days at least ``days`` after the first one and without a stored prediction."""
     start = F.date_add(perf.agg(F.min("date_id")).scalar(), days)
     candidates = perf.where(F.col("date_id") >= start).select("date_id").distinct()
-    return candidates.join(done.select("date_id").distinct(), "date_id", "left_anti")
+    return missing_dates(candidates, done)
 
 
 def backfill_ready(
@@ -80,5 +81,5 @@ def backfill_ready(
     ahead = F.sequence("date_id", F.date_add("date_id", days))
     spread = daily.select(F.explode(ahead).alias("as_of"), "_rows")
     wanted = dates.select(F.col("date_id").alias("as_of"))
-    seen = spread.join(wanted, "as_of", "left_semi").groupBy("as_of")
+    seen = spread.join(one_row_per_day(wanted), "as_of", "left_semi").groupBy("as_of")
     return seen.agg(F.sum("_rows").alias("lookback_rows")).where(F.col("lookback_rows") >= rows)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from pyspark.sql.types import NumericType
 
 from tallywater.functions import risk
+from tallywater.operators.joins import one_row_per_day
 
 # Measures with trailing means, window lengths and minimum counts.
 MEASURES = {
@@ -138,7 +139,7 @@ def asof_features(perf: DataFrame, as_of: DataFrame, days: int = LOOKBACK_DAYS)
     carried = stored.withColumn("as_of", F.explode(F.sequence("date_id", "_until")))
     asked = as_of.select("as_of").distinct().withColumn("_asked", F.lit(True))
     own = F.col("as_of") == F.col("date_id")
-    marked = carried.join(asked, "as_of", "left").where(own | F.col("_asked")).drop("_until")
+    marked = carried.join(one_row_per_day(asked), "as_of", "left").where(own | F.col("_asked")).drop("_until")
 
     day = F.unix_date("as_of")
     recent = Window.partitionBy("agent_id").orderBy(day).rangeBetween(-days, 0)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -66,6 +66,22 @@ def _is_map(df: DataFrame, column: str) -> bool:
     return "map" in df.schema[column].dataType.simpleString()
 
 
+def join_keeping_nulls(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join in which null keys match each other, for joining back per-group results."""
+    other = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
+    same = [F.col(key).eqNullSafe(F.col(f"_right_{key}")) for key in keys]
+    return left.join(other, same).drop(*[f"_right_{key}" for key in keys])
+
+
+def one_row_per_day(days: DataFrame) -> DataFrame:
+    """Broadcast a frame holding one row per date.
+
+    Its size is bounded by the date type itself: 3.65 million days from year 1 to
+    9999, some tens of megabytes, and a century of data is 36,525 rows.
+    """
+    return F.broadcast(days)
+
+
 def required_minus_present(required: DataFrame, present: DataFrame) -> DataFrame:
     """Distinct required values not present (set difference)."""
     return required.subtract(present)
@@ -73,4 +89,5 @@ def required_minus_present(required: DataFrame, present: DataFrame) -> DataFrame
 
 def missing_dates(candidates: DataFrame, done: DataFrame) -> DataFrame:
     """Candidate dates without a stored result."""
-    return candidates.join(done.select("date_id").distinct(), "date_id", "left_anti")
+    stored = one_row_per_day(done.select("date_id").distinct())
+    return candidates.join(stored, "date_id", "left_anti")

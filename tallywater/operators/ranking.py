@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallywater.operators.joins import join_keeping_nulls
 from tallywater.session import durable
 
 Order = Sequence[Column | str]
@@ -54,14 +55,14 @@ def _numbered(
         keys = [*above, *level]
         sums = offsets.groupBy(*keys).agg(F.sum("_rows").alias("_sum"))
         step = _add_before(sums, above, level, "_sum", "_step").drop("_sum")
-        offsets = offsets.join(step, keys).withColumn(
+        offsets = join_keeping_nulls(offsets, step, keys).withColumn(
             "_before", F.col("_before") + F.col("_step")
         )
         above = keys
     inside = Window.partitionBy(*finest).orderBy(*order)
     base = F.lit(start) if isinstance(start, int) else start
     number = base + F.col("_before") + F.row_number().over(inside)
-    placed = df.join(offsets.select(*finest, "_before"), finest)
+    placed = join_keeping_nulls(df, offsets.select(*finest, "_before"), finest)
     return placed.withColumn(name, number.cast("long")).drop("_before")
 
 

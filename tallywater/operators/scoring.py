@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywater.functions import risk
+from tallywater.operators.joins import one_row_per_day
 from tallywater.operators.ranking import number_within
 from tallywater.schemas import TABLES
 
@@ -81,7 +82,7 @@ def ensure_critical(scored: DataFrame, day: str = "date_id") -> DataFrame:
         "workload_reduction_pct": F.lit(FORCE_REDUCTION),
         "recommended_action": F.lit(risk.DAILY_ACTIONS["Critical"]),
     }
-    joined = scored.join(days, day).withColumn("_forced", forced)
+    joined = scored.join(one_row_per_day(days), day).withColumn("_forced", forced)
     changed = joined.withColumns(
         {name: F.when(F.col("_forced"), value).otherwise(F.col(name)) for name, value in new.items()}
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallywater.functions import sensing
+from tallywater.operators.joins import join_keeping_nulls
 
 CYCLE = "2 seconds"
 CYCLE_SECONDS = 2
@@ -23,7 +24,8 @@ def classify_readings(readings: DataFrame, sensors: DataFrame) -> DataFrame:
 def calibrate_readings(classified: DataFrame, facilities: DataFrame) -> DataFrame:
     """Add the facility type and the calibrated ``value``; the status stays that of the raw one."""
     kinds = facilities.select("facility_name", "facility_type")
-    return classified.join(kinds, "facility_name").withColumn("value", sensing.calibrated())
+    placed = classified.join(kinds, "facility_name", "left")
+    return placed.withColumn("value", sensing.calibrated())
 
 
 def facility_status(readings: DataFrame, keys: list[str]) -> DataFrame:
@@ -58,7 +60,7 @@ def build_events(readings: DataFrame, facilities: DataFrame, cycle: str = CYCLE)
         F.map_from_entries(entries).alias("sensors"),
         F.max(sensing.severity(F.col("reading.status"))).alias("_rank"),
     )
-    placed = per_event.join(facilities, "facility_name")
+    placed = per_event.join(facilities, "facility_name", "left")
     identity = F.md5(F.concat_ws("|", "facility_name", F.col("_cycle").cast("string")))
     return placed.select(
         identity.alias("event_id"),
@@ -127,7 +129,7 @@ def missing_sensors(events: DataFrame, expected: DataFrame) -> DataFrame:
         F.col("facility.name").alias("facility_name"),
         F.map_keys("sensors").alias("_seen"),
     )
-    return seen.join(expected, "facility_name").select(
+    return seen.join(expected, "facility_name", "left").select(
         "event_id",
         "timestamp",
         "facility_name",
@@ -289,7 +291,8 @@ def status_changes(events: DataFrame, block: str = "hour") -> DataFrame:
         "facility_name", "_block", F.lag("_last").over(per_facility).alias("_carried")
     )
     inside = Window.partitionBy("facility_name", "_block").orderBy("timestamp", "event_id")
-    compared = rows.join(carried, ["facility_name", "_block"]).withColumn(
+    joined = join_keeping_nulls(rows, carried, ["facility_name", "_block"])
+    compared = joined.withColumn(
         "previous_status", F.coalesce(F.lag("status").over(inside), F.col("_carried"))
     )
     return compared.where(~F.col("status").eqNullSafe(F.col("previous_status"))).select(

@@ -21,6 +21,7 @@ from tallywater.operators.calendar import (
     in_training_range,
     missing_calendar,
 )
+from tallywater.operators.joins import one_row_per_day
 from tallywater.operators.model import RiskModel, load_model, train_classifier
 from tallywater.operators.performance import AGENT_DIGITS, agent_daily_performance
 from tallywater.operators.ranking import number_rows
@@ -131,7 +132,7 @@ def backfill_features(perf: DataFrame, done: DataFrame) -> DataFrame:
     crowded = known.groupBy("as_of").agg(F.count("*").alias("_agents"))
     enough = crowded.where(F.col("_agents") >= MIN_AGENTS).select("as_of")
     return (
-        known.join(enough, "as_of", "left_semi")
+        known.join(one_row_per_day(enough), "as_of", "left_semi")
         .withColumnRenamed("date_id", "source_date_id")
         .withColumnRenamed("as_of", "date_id")
     )

@@ -189,6 +189,26 @@ def test_numbers_are_dense_and_ordered(spark):
         assert sorted(rows_of_day["k"]) == list(range(1, len(rows_of_day) + 1))
 
 
+def test_numbers_keep_rows_with_null_groups(spark):
+    frame = spark.createDataFrame([(None, 1), (1, 2), (None, 3)], "day int, id int")
+    got = ranking.number_rows(frame.withColumn("block", F.lit(0)), [["day"], ["block"]], ["id"], "k")
+    assert sorted((r["k"], r["id"]) for r in got.collect()) == [(1, 1), (2, 3), (3, 2)]
+
+
+def test_readings_of_unknown_facilities_are_kept(spark):
+    network = sample_network(spark)
+    rows = spark.createDataFrame(
+        [(1, datetime(2025, 1, 1), "pressure", "Nowhere", 9.0), (2, datetime(2025, 1, 1), "other", "Coast Dam", 1.0)],
+        "reading_id long, timestamp timestamp, sensor_type string, facility_name string, raw_value double",
+    )
+    rated = sensors.calibrate_readings(
+        sensors.classify_readings(rows, sensor_dimension(network)), facility_dimension(network)
+    )
+    events = sensors.build_events(rated, facility_dimension(network)).collect()
+    assert [(e["facility"]["name"], e["operational_metrics"]["status"]) for e in events] == [("Nowhere", "critical")]
+    assert events[0]["facility"]["type"] is None
+
+
 @pytest.mark.parametrize("max_rows", [0, 1000])
 def test_lookup_with_hot_and_null_keys(spark, max_rows):
     facts = [(7 if i % 3 == 0 else (None if i % 3 == 1 else i), i) for i in range(3000)]
