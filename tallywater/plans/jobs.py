@@ -14,7 +14,7 @@ from datetime import date, timedelta
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywater.operators import billing, features, labels, scoring, tickets
+from tallywater.operators import billing, features, kpis, labels, scoring, tickets
 from tallywater.operators.calendar import (
     backfill_dates,
     backfill_ready,
@@ -30,6 +30,7 @@ from tallywater.sources.tables import (
     last_key,
     read_table,
     replace_dates,
+    replace_table,
     scan_dates,
     write_csv,
 )
@@ -218,6 +219,41 @@ def daily_load(
     return day_summary(spark, root, day)
 
 
+def measures(spark: SparkSession, root: str, measured_on: date) -> dict[str, DataFrame]:
+    """The nine measure tables from the stored facts, by table name."""
+    perf, solved, backlog, bills, people, departments = (
+        read_table(spark, root, name)
+        for name in (
+            PERFORMANCE,
+            "fact_tickets",
+            "fact_backlog",
+            "fact_billing",
+            "dim_customer",
+            "dim_department",
+        )
+    )
+    on = F.lit(measured_on)
+    return {
+        "meas_resolution_rate_drilldown": kpis.resolution_rate_drilldown(perf, departments),
+        "meas_csat_drilldown": kpis.csat_drilldown(solved, departments),
+        "meas_sla_compliance_drilldown": kpis.sla_drilldown(solved, backlog, departments),
+        "meas_avg_resolution_time_drilldown": kpis.resolution_time_drilldown(
+            solved, departments
+        ),
+        "meas_executive_summary": kpis.executive_summary(perf, solved, backlog, bills),
+        "meas_customer_service": kpis.customer_service_measures(solved, people, on),
+        "meas_agent_performance": kpis.agent_measures(perf, on),
+        "meas_billing": kpis.billing_measures(bills, people, on),
+        "meas_predictive": kpis.customer_measures(solved, bills, on),
+    }
+
+
+def refresh_measures(spark: SparkSession, root: str, measured_on: date) -> None:
+    """Compute all measure tables again and replace the stored ones."""
+    for name, df in measures(spark, root, measured_on).items():
+        replace_table(df, root, name)
+
+
 def day_summary(spark: SparkSession, root: str, day: date) -> DataFrame:
     """One row: resolved tickets, backlog, agent rows and bills stored for a day."""
 

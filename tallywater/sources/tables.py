@@ -85,6 +85,13 @@ def replace_dates(df: DataFrame, root: str, name: str) -> None:
     writer.mode("overwrite").parquet(table_path(root, name))
 
 
+def replace_table(df: DataFrame, root: str, name: str) -> None:
+    """Replace the whole table; ``df`` must not read from it."""
+    _writer(df, TABLES[name]).option("partitionOverwriteMode", "static").mode(
+        "overwrite"
+    ).parquet(table_path(root, name))
+
+
 def load_if_empty(df: DataFrame, root: str, name: str) -> bool:
     """Write ``df`` only when the table holds nothing; tells whether it was written."""
     if not read_table(df.sparkSession, root, name).isEmpty():

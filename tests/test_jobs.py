@@ -6,7 +6,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tallywater.operators import model as models, performance
+from tallywater.operators import model as models
 from tallywater.plans import jobs
 from tallywater.schemas import TABLES
 from tallywater.sources import tables
@@ -172,6 +172,28 @@ def test_daily_load_is_repeatable(spark, warehouse):
     assert tables.next_date(tables.read_table(spark, warehouse, "dim_time")).first()[0] == FIRST + timedelta(days=2)
 
 
+def test_measures_are_replaced(spark, warehouse):
+    if tables.read_table(spark, warehouse, "fact_tickets").isEmpty():
+        jobs.daily_load(spark, warehouse, FIRST, contacts(spark, FIRST), usage(spark))
+    tables.load_if_empty(
+        spark.createDataFrame([(4, "Customer Service", "m", 10), (5, "Billing", "m", 10)], TABLES["dim_department"].ddl),
+        warehouse,
+        "dim_department",
+    )
+    for _ in range(2):
+        jobs.refresh_measures(spark, warehouse, date(2026, 1, 1))
+    for name in [n for n in TABLES if n.startswith("meas_")]:
+        rows = tables.read_table(spark, warehouse, name).orderBy("measure_id").collect()
+        assert [r["measure_id"] for r in rows] == list(range(1, len(rows) + 1)), name
+        assert rows, name
+    overall = tables.read_table(spark, warehouse, "meas_csat_drilldown").where("department_id = 0")
+    mean = tables.read_table(spark, warehouse, "fact_tickets").where(F.col("date_id") == F.lit(FIRST))
+    want = round(mean.agg(F.avg("satisfaction_score")).first()[0], 4)
+    first = overall.where(F.col("measure_date") == F.lit(FIRST)).first()
+    assert float(first["measure_value"]) == pytest.approx(want, abs=1e-4)
+    assert (first["department_name"], first["parent_kpi"]) == ("Overall", "Overall CSAT Score")
+
+
 def test_export_writes_three_files(spark, warehouse, tmp_path):
     day = FIRST
     if tables.read_table(spark, warehouse, "fact_tickets").isEmpty():
@@ -235,7 +257,7 @@ def test_few_agents_are_not_backfilled(spark, trained):
 
 def test_boosted_model_probabilities(spark, trained):
     root, _ = trained
-    from tallywater.operators import features, labels, tickets
+    from tallywater.operators import features, labels
 
     extract = jobs.export_training_data(spark, root)
     frame = features.training_frame(extract.performance, extract.tickets, extract.agents)
