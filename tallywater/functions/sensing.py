@@ -57,3 +57,17 @@ def is_anomalous(status: Column) -> Column:
 def device_id(kind: str, name: str) -> Column:
     number = F.pmod(F.xxhash64(name), F.lit(10000)).cast("string")
     return F.concat(F.lit("DEV-"), F.upper(kind), F.lit("-"), F.lpad(number, 4, "0"))
+
+
+def moment(timestamp: str, status: Column) -> Column:
+    """Time and severity in one whole number: its maximum is the newest status, the worse one
+    where two fall on the same instant. A maximum of numbers is a hash aggregation."""
+    return F.unix_micros(timestamp) * 4 + severity(status)
+
+
+def moment_status(number: Column) -> Column:
+    return facility_status(F.pmod(number, F.lit(4)).cast("int"))
+
+
+def moment_time(number: Column) -> Column:
+    return F.timestamp_micros(F.shiftright(number, 2))

@@ -113,12 +113,6 @@ def keys_at_shares(keys: DataFrame, shares: Sequence[float]) -> list[tuple]:
     return [tuple(row) for row in found.collect()]
 
 
-def latest_per_key(df: DataFrame, key: Sequence[str], order: str, columns: Sequence[str]):
-    """Newest row per key by map-side aggregation: no sort, hot keys combine early."""
-    newest = F.max_by(F.struct(*columns), F.col(order))
-    return df.groupBy(*key).agg(newest.alias("_row")).select(*key, "_row.*")
-
-
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Absolute and relative frequency of each value."""
     counts = df.groupBy(column).agg(F.count("*").alias("n"))

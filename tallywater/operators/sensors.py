@@ -265,32 +265,44 @@ def upstream_status(events: DataFrame) -> DataFrame:
 
 def latest_status(events: DataFrame) -> DataFrame:
     """Newest status per facility, combined before the shuffle."""
-    newest = F.max_by(event_status(), F.struct("timestamp", "event_id"))
-    return events.groupBy(F.col("facility.name").alias("facility_name")).agg(
-        newest.alias("status"), F.max("timestamp").alias("since")
+    newest = F.max(sensing.moment("timestamp", event_status()))
+    latest = events.groupBy(F.col("facility.name").alias("facility_name")).agg(
+        newest.alias("_newest")
+    )
+    return latest.select(
+        "facility_name",
+        sensing.moment_status(F.col("_newest")).alias("status"),
+        sensing.moment_time(F.col("_newest")).alias("since"),
     )
 
 
 def status_changes(events: DataFrame, block: str = "hour") -> DataFrame:
     """Events whose status differs from the facility's previous one (first events included).
 
-    A facility's history is cut into time blocks, so one busy facility does not
-    end up in one task: rows are compared inside a block, and the first row of a
-    block with the last status of the facility's previous block.
+    Events follow each other by time, then severity, then id. A facility's
+    history is cut into time blocks, so one busy facility does not end up in one
+    task: rows are compared inside a block, and the first row of a block with the
+    last status of the facility's previous block.
     """
     rows = events.select(
         "event_id",
         "timestamp",
         F.col("facility.name").alias("facility_name"),
         event_status().alias("status"),
-    ).withColumn("_block", F.date_trunc(block, "timestamp"))
-    place = F.struct("timestamp", "event_id")
-    last = rows.groupBy("facility_name", "_block").agg(F.max_by("status", place).alias("_last"))
+    ).withColumns(
+        {
+            "_block": F.date_trunc(block, "timestamp"),
+            "_moment": sensing.moment("timestamp", F.col("status")),
+        }
+    )
+    last = rows.groupBy("facility_name", "_block").agg(F.max("_moment").alias("_last"))
     per_facility = Window.partitionBy("facility_name").orderBy("_block")
     carried = last.select(
-        "facility_name", "_block", F.lag("_last").over(per_facility).alias("_carried")
+        "facility_name",
+        "_block",
+        sensing.moment_status(F.lag("_last").over(per_facility)).alias("_carried"),
     )
-    inside = Window.partitionBy("facility_name", "_block").orderBy("timestamp", "event_id")
+    inside = Window.partitionBy("facility_name", "_block").orderBy("_moment", "event_id")
     joined = join_keeping_nulls(rows, carried, ["facility_name", "_block"])
     compared = joined.withColumn(
         "previous_status", F.coalesce(F.lag("status").over(inside), F.col("_carried"))

@@ -75,17 +75,12 @@ def assign_facility(rows: DataFrame, facilities: DataFrame, spread: Column) -> D
     )
     sizes = numbered.select("_place", "_size").distinct()
     everywhere = sizes.where(F.col("_place") == ANY_DISTRICT).select("_size").scalar()
-    known = lookup(
-        rows.withColumn("_place", F.col("district")), sizes, "_place"
-    ).withColumns(
-        {
-            "_place": F.when(F.col("_size").isNull(), F.lit(ANY_DISTRICT)).otherwise(F.col("_place")),
-            "_number": F.pmod(spread, F.coalesce("_size", everywhere)),
-        }
-    )
-    targets = numbered.select("_place", "_number", "facility_id")
-    chosen = known.join(targets, ["_place", "_number"], "left")
-    return chosen.drop("_place", "_number", "_size")
+    known = lookup(rows.withColumn("_place", F.col("district")), sizes, "_place")
+    number = F.pmod(spread, F.coalesce("_size", everywhere))
+    place = F.when(F.col("_size").isNull(), F.lit(ANY_DISTRICT)).otherwise(F.col("_place"))
+    slotted = known.withColumn("_slot", F.concat_ws("#", place, number)).drop("_place", "_size")
+    slots = numbered.select(F.concat_ws("#", "_place", "_number").alias("_slot"), "facility_id")
+    return lookup(slotted, slots, "_slot").drop("_slot")
 
 
 def resolved_tickets(tickets: DataFrame) -> DataFrame:

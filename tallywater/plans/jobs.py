@@ -181,8 +181,8 @@ def daily_load(
 ) -> DataFrame:
     """Load one day: calendar, tickets, backlog, agent performance and bills.
 
-    ``contacts`` are the day's raw tickets (see ``score_tickets``), ``usage`` its
-    consumption rows (see ``bill``). Tables written by date are replaced for
+    ``contacts`` are the day's raw tickets (see ``score_tickets``) with a
+    ``contact_id``, ``usage`` its consumption rows (see ``bill``). Tables written by date are replaced for
     ``day``. Returns the day's totals.
     """
     agents = read_table(spark, root, "dim_agent")
@@ -199,8 +199,9 @@ def daily_load(
         _last_id(other_days("fact_tickets"), "ticket_id"),
         _last_id(other_days("fact_backlog"), "ticket_id"),
     )
+    row_order = F.xxhash64(*scored.columns)
     numbered = number_rows(
-        scored, [["date_id"], ["_block"]], ["contact_id"], "ticket_id", start
+        scored, [["date_id"], ["_block"]], ["contact_id", row_order], "ticket_id", start
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         replace_dates(tickets.resolved_tickets(numbered), root, "fact_tickets")

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallywater.schemas import EVENT_FIELDS, EVENT_SCHEMA
 
-# Stream settings; the two variables override the first two.
-TOPIC = "water_iot_stream"
+# Stream settings; KAFKA_TOPIC and KAFKA_BOOTSTRAP_SERVERS override the first two.
+TOPIC = "sensor_events"
 SERVERS = "localhost:9092"
 PRODUCER_OPTIONS = {
     "kafka.acks": "all",

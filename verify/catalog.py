@@ -1650,7 +1650,7 @@ def _stream_running_totals(spark, sf):
     sql(
         {**o.singles(), "ordered": "SELECT *, CAST(reading_id AS VARCHAR) AS event_id FROM singles"},
         f"SELECT event_id, {stamp('ts', 'timestamp')}, facility_name, "
-        + CHANGES_OUT.format(order="ts, event_id", source="ordered"),
+        + CHANGES_OUT.format(order="ts, worst, event_id", source="ordered"),
     ),
 )
 def _stream_status_changes(spark, sf):
