@@ -8,6 +8,8 @@ or replaced, never doubled.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -73,40 +75,45 @@ def export_training_data(
     return extract
 
 
+@contextmanager
+def _kept(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep rows while a job reads them more than once; lost parts are computed again."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def train(
     spark: SparkSession, root: str, model_path: str, kind: str = "forest", **params
 ) -> tuple[RiskModel, DataFrame]:
     """Fit, evaluate on the held-out fifth and save; returns the model and its report."""
     extract = export_training_data(spark, root)
     frame = features.training_frame(extract.performance, extract.tickets, extract.agents)
-    ruled = labels.label_rows(frame).persist(StorageLevel.MEMORY_AND_DISK)
-    split = labels.stratified_split(labels.rebalance_labels(ruled))
-    split = split.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if split.isEmpty():
-            raise NoData("no agent has enough history; run the daily load first")
-        model = train_classifier(split.where("is_test = 0"), kind=kind, **params)
-        model.save(model_path)
-        report = labels.class_report(model.score(split.where("is_test = 1")))
-        rows = spark.createDataFrame(report.collect(), report.schema)
-    finally:
-        split.unpersist()
-        ruled.unpersist()
+    with _kept(labels.label_rows(frame)) as ruled:
+        with _kept(labels.stratified_split(labels.rebalance_labels(ruled))) as split:
+            if split.isEmpty():
+                raise NoData("no agent has enough history; run the daily load first")
+            model = train_classifier(split.where("is_test = 0"), kind=kind, **params)
+            model.save(model_path)
+            report = labels.class_report(model.score(split.where("is_test = 1")))
+            rows = spark.createDataFrame(report.collect(), report.schema)
     return model, rows
 
 
-def predictions_for(
+def daily_scores(
     perf: DataFrame, model: RiskModel, as_of: date, days: int = features.LOOKBACK_DAYS
 ) -> DataFrame:
-    """Prediction records of one date from the rows of its look-back."""
+    """Scores and advice of one date from the rows of its look-back."""
     recent = scan_dates(perf, as_of - timedelta(days=days), as_of, features.EXTRACT)
     newest = features.latest_features(recent).withColumn("date_id", F.lit(as_of))
-    return _daily_records(model.score(newest), model)
+    return scoring.score_daily(model.score(newest))
 
 
-def _daily_records(scored: DataFrame, model: RiskModel) -> DataFrame:
-    advised = scoring.score_daily(scored).persist(StorageLevel.MEMORY_AND_DISK)
-    numbered = scoring.number_predictions(scoring.ensure_critical(advised))
+def daily_records(scores: DataFrame, model: RiskModel) -> DataFrame:
+    """Stored records of scored days; reads ``scores`` three times, so jobs keep them."""
+    numbered = scoring.number_predictions(scoring.ensure_critical(scores))
     return scoring.prediction_record(numbered, model.version)
 
 
@@ -121,7 +128,8 @@ def predict_daily(
         raise NoData("no agent performance stored; run the daily load first")
     stored = read_table(spark, root, PREDICTIONS).where(F.col("date_id") == day)
     if stored.isEmpty():
-        append_table(predictions_for(perf, model, day), root, PREDICTIONS)
+        with _kept(daily_scores(perf, model, day)) as scores:
+            append_table(daily_records(scores, model), root, PREDICTIONS)
     return read_table(spark, root, PREDICTIONS).where(F.col("date_id") == day)
 
 
@@ -139,19 +147,8 @@ def backfill_features(perf: DataFrame, done: DataFrame) -> DataFrame:
     )
 
 
-def backfill_records(
-    perf: DataFrame, done: DataFrame, model: RiskModel, mode: str = "simple"
-) -> DataFrame:
-    """Records of all missing dates in one plan.
-
-    ``simple`` keeps the historical form (top probability, constant
-    productivity, agent id as prediction id); ``full`` applies the daily rules.
-    """
-    if mode not in ("simple", "full"):
-        raise ValueError(f"unknown mode {mode!r}: simple or full")
-    scored = model.score(backfill_features(perf, done))
-    if mode == "full":
-        return _daily_records(scored, model)
+def history_records(scored: DataFrame, model: RiskModel) -> DataFrame:
+    """The simpler historical form: top probability, constant productivity, agent id as id."""
     history = scoring.score_history(scored).withColumn("prediction_id", F.col("agent_id"))
     return scoring.prediction_record(history, model.version)
 
@@ -159,11 +156,20 @@ def backfill_records(
 def backfill_predictions(
     spark: SparkSession, root: str, model_path: str, mode: str = "simple"
 ) -> DataFrame:
-    """Score and store all missing dates; running it again adds nothing."""
+    """Score and store all missing dates in one plan; running it again adds nothing.
+
+    ``simple`` keeps the historical record, ``full`` applies the daily rules.
+    """
+    if mode not in ("simple", "full"):
+        raise ValueError(f"unknown mode {mode!r}: simple or full")
     model = load_model(spark, model_path)
     perf = read_table(spark, root, PERFORMANCE)
-    done = read_table(spark, root, PREDICTIONS)
-    append_table(backfill_records(perf, done, model, mode), root, PREDICTIONS)
+    scored = model.score(backfill_features(perf, read_table(spark, root, PREDICTIONS)))
+    if mode == "simple":
+        append_table(history_records(scored, model), root, PREDICTIONS)
+    else:
+        with _kept(scoring.score_daily(scored)) as scores:
+            append_table(daily_records(scores, model), root, PREDICTIONS)
     return read_table(spark, root, PREDICTIONS)
 
 
@@ -202,19 +208,16 @@ def daily_load(
     row_order = F.xxhash64(*scored.columns)
     numbered = number_rows(
         scored, [["date_id"], ["_block"]], ["contact_id", row_order], "ticket_id", start
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        replace_dates(tickets.resolved_tickets(numbered), root, "fact_tickets")
+    )
+    with _kept(numbered) as rows:
+        replace_dates(tickets.resolved_tickets(rows), root, "fact_tickets")
+        last_backlog = _last_id(other_days("fact_backlog"), "backlog_id")
         backlog = tickets.build_backlog(
-            tickets.unresolved_tickets(numbered),
-            customers,
-            _last_id(other_days("fact_backlog"), "backlog_id"),
+            tickets.unresolved_tickets(rows), customers, last_backlog
         )
         replace_dates(backlog, root, "fact_backlog")
-        perf = agent_daily_performance(numbered, agents, day, day, agent_digits=agent_digits)
+        perf = agent_daily_performance(rows, agents, day, day, agent_digits=agent_digits)
         replace_dates(perf, root, PERFORMANCE)
-    finally:
-        numbered.unpersist()
     known = tickets.with_customer(usage.withColumn("date_id", F.lit(day)), customers)
     replace_dates(billing.bill(known), root, "fact_billing")
     return day_summary(spark, root, day)

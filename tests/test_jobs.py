@@ -6,7 +6,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tallywater.operators import model as models
+from tallywater.operators import model as models, scoring
 from tallywater.plans import jobs
 from tallywater.schemas import TABLES
 from tallywater.sources import tables
@@ -230,8 +230,11 @@ def test_predict_then_backfill(spark, trained):
     perf = tables.read_table(spark, root, "fact_agent_performance")
     other = day - timedelta(days=3)
     done = perf.select("date_id").distinct().where(F.col("date_id") != F.lit(other))
-    backfilled = jobs.backfill_records(perf, done, fitted, "full").orderBy("agent_id").collect()
-    direct = jobs.predictions_for(perf, fitted, other).orderBy("agent_id").collect()
+    known = fitted.score(jobs.backfill_features(perf, done))
+    full = jobs.daily_records(scoring.score_daily(known), fitted)
+    backfilled = full.orderBy("agent_id").collect()
+    scores = jobs.daily_scores(perf, fitted, other)
+    direct = jobs.daily_records(scores, fitted).orderBy("agent_id").collect()
     assert len(direct) == 14
     for one, two in zip(backfilled, direct):
         assert one.asDict() == pytest.approx(two.asDict())
@@ -244,15 +247,24 @@ def test_predict_then_backfill(spark, trained):
     assert history_rows.where("burnout_risk_score <> confidence_score").isEmpty()
     assert jobs.backfill_predictions(spark, root, path).count() == stored.count()
     with pytest.raises(ValueError):
-        jobs.backfill_records(perf, done, fitted, "other")
+        jobs.backfill_predictions(spark, root, path, "other")
+
+
+def test_full_backfill_is_repeatable(spark, trained, tmp_path):
+    root = str(tmp_path)
+    tables.append_table(history(spark), root, "fact_agent_performance")
+    stored = jobs.backfill_predictions(spark, root, trained[1], "full")
+    assert stored.count() == 14 * (DAYS - 30)
+    assert jobs.backfill_predictions(spark, root, trained[1], "full").count() == stored.count()
+    per_day = stored.groupBy("date_id").agg(F.min("prediction_id"), F.max("prediction_id"))
+    assert {(r[1], r[2]) for r in per_day.collect()} == {(1, 14)}
 
 
 def test_few_agents_are_not_backfilled(spark, trained):
-    fitted = models.load_model(spark, trained[1])
     perf = tables.read_table(spark, trained[0], "fact_agent_performance")
     none = perf.limit(0).select("date_id")
-    assert jobs.backfill_records(perf.where("agent_id <= 9"), none, fitted).isEmpty()
-    assert not jobs.backfill_records(perf.where("agent_id <= 10"), none, fitted).isEmpty()
+    assert jobs.backfill_features(perf.where("agent_id <= 9"), none).isEmpty()
+    assert not jobs.backfill_features(perf.where("agent_id <= 10"), none).isEmpty()
 
 
 def test_boosted_model_probabilities(spark, trained):

@@ -370,6 +370,14 @@ def _confusion(spark, sf):
     return labels.confusion(labels.label_rows(a.scored_features(spark, sf)))
 
 
+@register(
+    "accuracy",
+    sql(REPORT, f"SELECT {R('sum(hits) / sum(support)')} AS accuracy FROM report"),
+)
+def _accuracy(spark, sf):
+    return labels.accuracy(labels.label_rows(a.scored_features(spark, sf)))
+
+
 # --- scoring -----------------------------------------------------------------------------------
 
 
@@ -561,6 +569,54 @@ ASOF = {
 }
 
 
+HISTORY = {
+    **ASOF,
+    "crowded": "SELECT as_of FROM newest GROUP BY as_of HAVING count(*) >= 10",
+    "features": """
+        SELECT * REPLACE (as_of AS date_id) FROM newest
+        WHERE as_of IN (SELECT as_of FROM crowded)""",
+    **{name: o.scored()[name] for name in ("weighted", "shared", "rated")},
+}
+
+
+@register(
+    "history_records",
+    sql(
+        HISTORY,
+        f"""SELECT {KEYS_OUT}, {R('confidence_score')} AS burnout_risk_score,
+        0.75::DOUBLE AS productivity_index, risk_category, {big(o.CODE, 'risk_category_encoded')},
+        {big(FLAT, 'workload_reduction_pct')}, {o.HISTORY_ACTION} AS recommended_action,
+        {R('confidence_score')} AS confidence_score, {R('stress_index')} AS stress_index
+        FROM rated""",
+    ),
+)
+def _history_records(spark, sf):
+    """The historical backfill of all missing dates, with the repeatable probabilities."""
+    perf = _gappy(spark, sf)
+    known = jobs.backfill_features(perf, _done(perf))
+    return scoring.score_history(a.with_probabilities(known)).select(
+        "date_id", "agent_id", "burnout_risk_score", "productivity_index", "risk_category",
+        "risk_category_encoded", "workload_reduction_pct", "recommended_action",
+        "confidence_score", "stress_index",
+    )
+
+
+@register(
+    "unseen_customers",
+    sql(
+        {**o.tickets(), **o.CUSTOMERS},
+        f"""SELECT {big('customer_id', 'customer_id')}, district FROM customers
+        WHERE customer_id NOT IN (SELECT customer_id FROM tickets
+            WHERE resolved_in_first_contact <> 1)""",
+    ),
+)
+def _unseen_customers(spark, sf):
+    """Customers without an open ticket: the row-level form of skip-if-stored."""
+    opened = ticket_ops.unresolved_tickets(a.raw_tickets(spark, sf, customers=True))
+    known = a.customers(spark, sf)
+    return tables.unseen_rows(known, opened, ["customer_id"]).select("customer_id", "district")
+
+
 @register("backfill_candidates", sql(CANDIDATES, f"SELECT {day('date_id')} FROM candidates"))
 def _backfill_candidates(spark, sf):
     perf = _gappy(spark, sf)
