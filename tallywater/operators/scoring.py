@@ -61,32 +61,35 @@ def score_history(scored: DataFrame) -> DataFrame:
 def ensure_critical(scored: DataFrame, day: str = "date_id") -> DataFrame:
     """On a day with ten agents or more and no Critical, the top scorer above 0.6 becomes one.
 
-    One summary row per day is aggregated (lowest agent id wins a tie) and
-    joined back; no task ever holds all agents of a day.
+    The lowest agent id wins a tie. Days are summed up first, then the few rows
+    that reach the top score of a day in need; no task ever holds or sorts all
+    agents of a day.
     """
-    best = F.max(F.struct("burnout_risk_score", (-F.col("agent_id")).alias("_against")))
+    critical = (F.col("risk_category") == "Critical").cast("int")
     days = scored.groupBy(day).agg(
         F.count("*").alias("_agents"),
-        F.max((F.col("risk_category") == "Critical").cast("int")).alias("_critical"),
-        best.alias("_best"),
+        F.max(critical).alias("_critical"),
+        F.max("burnout_risk_score").alias("_top"),
     )
-    forced = (
+    needy = days.where(
         (F.col("_agents") >= FORCE_AGENTS)
         & (F.col("_critical") == 0)
-        & (F.col("_best.burnout_risk_score") > FORCE_SCORE)
-        & (F.col("agent_id") == -F.col("_best._against"))
+        & (F.col("_top") > FORCE_SCORE)
+    ).select(day, "_top")
+    leaders = scored.join(one_row_per_day(needy), day).where(
+        F.col("burnout_risk_score") == F.col("_top")
     )
+    chosen = leaders.groupBy(day).agg(F.min("agent_id").alias("_chosen"))
+    joined = scored.join(one_row_per_day(chosen), day, "left")
+    forced = F.col("agent_id") == F.col("_chosen")
     new = {
         "risk_category": F.lit("Critical"),
         "risk_category_encoded": F.lit(risk.CODES.index("Critical")),
         "workload_reduction_pct": F.lit(FORCE_REDUCTION),
         "recommended_action": F.lit(risk.DAILY_ACTIONS["Critical"]),
     }
-    joined = scored.join(one_row_per_day(days), day).withColumn("_forced", forced)
-    changed = joined.withColumns(
-        {name: F.when(F.col("_forced"), value).otherwise(F.col(name)) for name, value in new.items()}
-    )
-    return changed.drop("_agents", "_critical", "_best", "_forced")
+    changed = {name: F.when(forced, value).otherwise(F.col(name)) for name, value in new.items()}
+    return joined.withColumns(changed).drop("_chosen")
 
 
 def number_predictions(scored: DataFrame, day: str = "date_id") -> DataFrame:

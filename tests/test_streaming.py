@@ -4,7 +4,6 @@ import json
 import os
 from datetime import datetime, timedelta
 
-import pytest
 from pyspark.sql import functions as F
 
 from tallywater.operators import sensors

@@ -19,7 +19,7 @@ from tallywater.session import fresh_folder
 from tallywater.sources import events as event_source, tables
 from tallywater.streaming import monitor, sinks
 from verify import adapters as a, oracle as o
-from verify.oracle import D, R, big, day, sql, stamp
+from verify.oracle import R, big, day, sql, stamp
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -721,7 +721,9 @@ def _training_range(spark, sf):
     perf = _gappy(spark, sf)
     parts = {"gappy": perf, "short": perf.where(F.dayofmonth("date_id") == 1)}
     gappy, short = (
-        calendar.training_range(df).select(F.lit(n).alias("source"), "start", F.col("end").alias("end_day"), "days")
+        calendar.training_range(df).select(
+            F.lit(n).alias("source"), "start", F.col("end").alias("end_day"), "days"
+        )
         for n, df in parts.items()
     )
     return gappy.unionByName(short)
