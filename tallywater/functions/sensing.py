@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, functions as F
 
 # Calibration by facility type and sensor type.
@@ -59,6 +61,17 @@ def device_id(kind: str, name: str) -> Column:
     return F.concat(F.lit("DEV-"), F.upper(kind), F.lit("-"), F.lpad(number, 4, "0"))
 
 
+def reading_status_of(rank: Column, value: Column) -> Column:
+    names = F.array(*[F.lit(name) for name in RANKS])
+    return F.when(value.isNotNull(), F.get(names, rank))
+
+
+def reading_order(timestamp: str = "timestamp", identity: str = "reading_id") -> Column:
+    """Time, then id, in one number, so that the newest reading is a hash aggregation too."""
+    spacing = F.lit(Decimal(2 * 10**19))
+    return F.unix_micros(timestamp).cast("decimal(18,0)") * spacing + F.col(identity)
+
+
 def moment(timestamp: str, status: Column) -> Column:
     """Time and severity in one whole number: its maximum is the newest status, the worse one
     where two fall on the same instant. A maximum of numbers is a hash aggregation."""

@@ -49,16 +49,19 @@ def build_events(readings: DataFrame, facilities: DataFrame, cycle: str = CYCLE)
     before the shuffle, and afterwards an event holds one entry per configured
     sensor type, however many readings a busy facility sent.
     """
-    cycles = readings.withColumn("_cycle", F.window("timestamp", cycle)["start"])
-    entry = F.struct("value", "unit", "status", "threshold_min", "threshold_max")
-    newest = F.max_by(entry, F.struct("timestamp", "reading_id"))
-    per_sensor = cycles.groupBy("facility_name", "_cycle", "sensor_type").agg(
-        newest.alias("reading")
+    cycles = readings.withColumns(
+        {"_cycle": F.window("timestamp", cycle)["start"], "_order": sensing.reading_order()}
     )
-    entries = F.array_sort(F.collect_list(F.struct("sensor_type", "reading")))
+    about = ["unit", "threshold_min", "threshold_max"]
+    per_sensor = cycles.groupBy("facility_name", "_cycle", "sensor_type", *about).agg(
+        F.max_by("value", "_order").alias("value"),
+        F.max_by(sensing.severity(), F.col("_order")).alias("_rank"),
+    )
+    status = sensing.reading_status_of(F.col("_rank"), F.col("value")).alias("status")
+    reading = F.struct("value", "unit", status, "threshold_min", "threshold_max")
+    entries = F.array_sort(F.collect_list(F.struct("sensor_type", reading.alias("reading"))))
     per_event = per_sensor.groupBy("facility_name", "_cycle").agg(
-        F.map_from_entries(entries).alias("sensors"),
-        F.max(sensing.severity(F.col("reading.status"))).alias("_rank"),
+        F.map_from_entries(entries).alias("sensors"), F.max("_rank").alias("_rank")
     )
     placed = per_event.join(facilities, "facility_name", "left")
     identity = F.md5(F.concat_ws("|", "facility_name", F.col("_cycle").cast("string")))

@@ -378,6 +378,34 @@ def test_network_dimensions(spark):
     assert near["Coast Pumping Station"]["upstream_id"] == 4
 
 
+def test_newest_reading_of_a_cycle_wins(spark):
+    network = sample_network(spark)
+    at = datetime(2025, 1, 1)
+    rows = spark.createDataFrame(
+        [
+            (5, at, "pressure", "Coast Dam", 9.0),
+            (7, at, "pressure", "Coast Dam", 3.0),
+            (6, at, "pressure", "Coast Dam", 1.0),
+            (1, at + timedelta(seconds=1), "water_level", "Coast Dam", 3.0),
+            (9, at, "water_level", "Coast Dam", 99.0),
+            (3, at, "inflow_rate", "Coast Dam", None),
+        ],
+        "reading_id long, timestamp timestamp, sensor_type string, facility_name string, raw_value double",
+    )
+    rated = sensors.calibrate_readings(
+        sensors.classify_readings(rows, sensor_dimension(network)), facility_dimension(network)
+    )
+    event = sensors.build_events(rated, facility_dimension(network)).collect()
+    assert len(event) == 1
+    got = {k: (r["value"], r["status"], r["unit"]) for k, r in event[0]["sensors"].items()}
+    assert got == {
+        "pressure": (3.0, "normal", "bar"),
+        "water_level": (4.5, "normal", "meters"),
+        "inflow_rate": (None, None, "m3/s"),
+    }
+    assert event[0]["operational_metrics"]["status"] == "operational"
+
+
 def test_status_changes_across_blocks(spark):
     rng = random.Random(2)
     rows, at = [], datetime(2025, 1, 1)

@@ -607,12 +607,13 @@ def _history_records(spark, sf):
         {**o.tickets(), **o.CUSTOMERS},
         f"""SELECT {big('customer_id', 'customer_id')}, district FROM customers
         WHERE customer_id NOT IN (SELECT customer_id FROM tickets
-            WHERE resolved_in_first_contact <> 1)""",
+            WHERE resolved_in_first_contact <> 1 AND issue_category = 'Leakage')""",
     ),
 )
 def _unseen_customers(spark, sf):
-    """Customers without an open ticket: the row-level form of skip-if-stored."""
-    opened = ticket_ops.unresolved_tickets(a.raw_tickets(spark, sf, customers=True))
+    """Customers without an open leakage ticket: the row-level form of skip-if-stored."""
+    rows = a.raw_tickets(spark, sf, customers=True).where("issue_category = 'Leakage'")
+    opened = ticket_ops.unresolved_tickets(rows)
     known = a.customers(spark, sf)
     return tables.unseen_rows(known, opened, ["customer_id"]).select("customer_id", "district")
 
