@@ -31,7 +31,7 @@ from tallywater.sources.tables import (
     append_table,
     last_key,
     read_table,
-    replace_dates,
+    replace_day,
     replace_table,
     scan_dates,
     write_csv,
@@ -210,16 +210,16 @@ def daily_load(
         scored, [["date_id"], ["_block"]], ["contact_id", row_order], "ticket_id", start
     )
     with _kept(numbered) as rows:
-        replace_dates(tickets.resolved_tickets(rows), root, "fact_tickets")
+        replace_day(tickets.resolved_tickets(rows), root, "fact_tickets", day)
         last_backlog = _last_id(other_days("fact_backlog"), "backlog_id")
         backlog = tickets.build_backlog(
             tickets.unresolved_tickets(rows), customers, last_backlog
         )
-        replace_dates(backlog, root, "fact_backlog")
+        replace_day(backlog, root, "fact_backlog", day)
         perf = agent_daily_performance(rows, agents, day, day, agent_digits=agent_digits)
-        replace_dates(perf, root, PERFORMANCE)
+        replace_day(perf, root, PERFORMANCE, day)
     known = tickets.with_customer(usage.withColumn("date_id", F.lit(day)), customers)
-    replace_dates(billing.bill(known), root, "fact_billing")
+    replace_day(billing.bill(known), root, "fact_billing", day)
     return day_summary(spark, root, day)
 
 

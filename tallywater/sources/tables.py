@@ -85,6 +85,17 @@ def replace_dates(df: DataFrame, root: str, name: str) -> None:
     writer.mode("overwrite").parquet(table_path(root, name))
 
 
+def replace_day(df: DataFrame, root: str, name: str, day: date) -> None:
+    """Replace one stored date by ``df``, the rows of that date; no rows empty the date."""
+    spec = TABLES[name]
+    if not spec.partition:
+        raise ValueError(f"{name} has no date partition")
+    rows = conform(df, spec).drop(spec.partition).hint("rebalance")
+    order = [column for column in spec.sort if column != spec.partition]
+    folder = f"{table_path(root, name)}/{spec.partition}={day.isoformat()}"
+    rows.sortWithinPartitions(*order).write.mode("overwrite").parquet(folder)
+
+
 def replace_table(df: DataFrame, root: str, name: str) -> None:
     """Replace the whole table; ``df`` must not read from it."""
     _writer(df, TABLES[name]).option("partitionOverwriteMode", "static").mode(

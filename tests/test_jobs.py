@@ -172,6 +172,16 @@ def test_daily_load_is_repeatable(spark, warehouse):
     assert tables.next_date(tables.read_table(spark, warehouse, "dim_time")).first()[0] == FIRST + timedelta(days=2)
 
 
+def test_reload_without_rows_empties_the_day(spark, tmp_path):
+    root = str(tmp_path)
+    tables.append_table(agents_frame(spark), root, "dim_agent")
+    tables.append_table(customers(spark), root, "dim_customer")
+    jobs.daily_load(spark, root, FIRST, contacts(spark, FIRST), usage(spark))
+    none = contacts(spark, FIRST).limit(0)
+    totals = jobs.daily_load(spark, root, FIRST, none, usage(spark).limit(0)).first()
+    assert tuple(totals)[1:] == (0, 0, 14, 0)
+
+
 def test_measures_are_replaced(spark, warehouse):
     if tables.read_table(spark, warehouse, "fact_tickets").isEmpty():
         jobs.daily_load(spark, warehouse, FIRST, contacts(spark, FIRST), usage(spark))
