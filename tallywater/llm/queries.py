@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywater.llm import decontamination, mixing, url_model, warc
+from tallywater.llm import decontamination, embeddings, mixing, token_counts, toxicity, url_model, warc
 from tallywater.llm.shared import CASED_SEPARATORS, source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,13 @@ URL_RULES = [
 ]
 
 
+def tokenizer_path(name: str) -> str:
+    """The place of a public vocabulary file on the driver; its tables travel with the tasks."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def register(query: Query) -> Query:
     QUERIES[query.__name__] = query
     return query
@@ -67,6 +74,35 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a factorization machine learned outside the held-out fifth."""
+    docs = source(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = toxicity.train(docs, source(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, machine)
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@register
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole document for the 32k piece vocabulary."""
+    docs = source(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, tokenizer_path("piece_bpe_32k.model"))
+    return counted.select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        F.col("tokens").alias("n_tokens"), (F.col("tokens") > 4096).alias("over_limit"),
+    )
+
+
+@register
+def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors of a label at a cosine of 0.93 or more."""
+    return embeddings.near_vectors(source(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
