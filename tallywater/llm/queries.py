@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywater.llm import decontamination, embeddings, mixing, token_counts, toxicity, url_model, warc
+from tallywater.llm import decontamination, embeddings, jaccard, mixing, token_counts, toxicity, url_model, warc
 from tallywater.llm.shared import CASED_SEPARATORS, source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,15 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its near-duplicate class and its links at a similarity of 0.8 or more."""
+    found = jaccard.group_documents(source(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        F.col("id").alias("doc_id"), "class_id", "n_links", "copy_of", (F.col("id") == F.col("class_id")).alias("kept")
+    )
+
+
 @register
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole document for the 32k piece vocabulary."""
