@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywater.llm import decontamination, embeddings, jaccard, mixing, token_counts, toxicity, url_model, warc
+from tallywater.llm import decontamination, embeddings, jaccard, line_dedup, mixing, token_counts, toxicity, url_model, warc
 from tallywater.llm.shared import CASED_SEPARATORS, source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,6 +112,16 @@ def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(source(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
 
 
+@register
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines left in every document, without those that equal or nearly equal an earlier line."""
+    kept = line_dedup.dedup_lines(source(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select(
+        "doc_id", "lines.n_lines", "lines.n_dropped", F.length("lines.text").cast("long").alias("chars_left"),
+        F.sha2(F.col("lines.text").cast("binary"), 256).alias("text_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
