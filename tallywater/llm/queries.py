@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywater.llm import decontamination, embeddings, jaccard, line_dedup, mixing, token_counts, toxicity, url_model, warc
+from tallywater.llm import decontamination, embeddings, jaccard, line_dedup, mixing, pii, token_counts, toxicity, url_model, warc
 from tallywater.llm.shared import CASED_SEPARATORS, source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,17 @@ def register(query: Query) -> Query:
     return query
 
 
+@register
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole document: base spans, and what the trees add."""
+    found = pii.find_personal_data(source(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    return found.select(
+        F.col("id").alias("doc_id"), *counts, F.sha2(pii.joined_spans(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.joined_spans(F.col("spans")).alias("spans"), (F.size("spans") - F.size("base")).cast("long").alias("n_added"),
+    )
+
+
 @register
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside a window of ten words of a benchmark item."""
