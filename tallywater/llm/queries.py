@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from tallywater.llm import decontamination, embeddings, jaccard, line_dedup, mixing, pii, token_counts, toxicity, url_model, warc
 from tallywater.llm.shared import CASED_SEPARATORS, source
 
@@ -36,7 +37,7 @@ def register(query: Query) -> Query:
 def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every whole document: base spans, and what the trees add."""
     found = pii.find_personal_data(source(spark, sf_dir, "documents").select("doc_id", "text"))
-    counts = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    counts = [pii.count_of(F.col("base"), name).alias(f"n_{name}") for name in pii.KINDS]
     return found.select(
         F.col("id").alias("doc_id"), *counts, F.sha2(pii.joined_spans(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         pii.joined_spans(F.col("spans")).alias("spans"), (F.size("spans") - F.size("base")).cast("long").alias("n_added"),
@@ -134,8 +135,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return {**QUERIES, "pipeline": corpus_pipeline.run}
 
 
 def oracles() -> dict[str, str]:
-    return dict(ORACLES)
+    return {**ORACLES, **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})}
