@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from tallywater.llm import decontamination, embeddings, jaccard, line_dedup, mixing, pii, token_counts, toxicity, url_model, warc
+from tallywater.llm import oracles as sql_twins
 from tallywater.llm.shared import CASED_SEPARATORS, source
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 
 #: Fixed values of the URL contract: verdict, host, path.
 URL_RULES = [
@@ -82,7 +82,7 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the weights 5, 2, 1 of their sources, at most three copies each."""
     mixed = mixing.mix(source(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select(
-        "doc_id", "mix.size", "mix.source_size", "mix.target", (F.col("mix.size") * F.col("mix.copies")).alias("taken")
+        "doc_id", "mix.size", "mix.source_size", F.round("mix.target", 6).alias("target"), (F.col("mix.size") * F.col("mix.copies")).alias("taken")
     )
 
 
@@ -139,4 +139,6 @@ def queries() -> dict[str, Query]:
 
 
 def oracles() -> dict[str, str]:
-    return {**ORACLES, **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})}
+    """The SQL twins there are; the other queries are tested against brute force."""
+    twins = sql_twins.oracles(URL_RULES)
+    return twins | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

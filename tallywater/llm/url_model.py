@@ -78,13 +78,13 @@ def score_urls(urls: DataFrame, *, url_col: str = "url", label_col: str = "label
     """(distinct url, score), and the calibrated threshold.
 
     ``label_col`` is 1 for accepted, 0 for rejected and null for URLs without a label. A fifth of the
-    labelled URLs, chosen by checksum, is held out of the counts and calibrates the threshold.
+    labelled URLs, chosen by digest, is held out of the counts and calibrates the threshold.
     """
     once = (
         urls.where(F.col(url_col).isNotNull())
         .groupBy(F.col(url_col).alias("_url"))
         .agg(F.max(F.col(label_col).cast("int")).alias("_label"))
-        .withColumn("_held", F.pmod(F.crc32(F.col("_url").cast("binary")), F.lit(5)) == 0)
+        .withColumn("_held", F.pmod(F.conv(F.substring(F.md5("_url"), 1, 8), 16, 10).cast("long"), F.lit(5)) == 0)
     )
     once = stored(once, "url-once")
     each = grams(once, "_url", order)
