@@ -187,7 +187,7 @@ scores AS (
 cells AS (
     SELECT CAST(floor(score * 1000) AS BIGINT) AS cell, sum(label) AS yes, sum(1 - label) AS no FROM scores WHERE held AND label IS NOT NULL GROUP BY 1),
 gains AS (
-    SELECT cell, 1 - coalesce(sum(yes) OVER b, 0) / sum(yes) OVER () + coalesce(sum(no) OVER b, 0) / sum(no) OVER () AS gain,
+    SELECT (cell + coalesce(lag(cell) OVER (ORDER BY cell) + 1, cell)) / 2.0::DOUBLE AS cell, 1 - coalesce(sum(yes) OVER b, 0) / sum(yes) OVER () + coalesce(sum(no) OVER b, 0) / sum(no) OVER () AS gain,
            sum(yes) OVER () AS y, sum(no) OVER () AS n
     FROM cells WINDOW b AS (ORDER BY cell ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 cut AS (SELECT coalesce((SELECT cell / 1000.0::DOUBLE FROM gains WHERE y > 0 AND n > 0 ORDER BY gain DESC, abs(cell) LIMIT 1), 0.0::DOUBLE) AS threshold)

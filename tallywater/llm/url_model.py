@@ -105,7 +105,7 @@ def score_urls(urls: DataFrame, *, url_col: str = "url", label_col: str = "label
 def calibrated(totals: DataFrame, steps: int = 1000) -> float:
     """The cut with the largest mean of both hit rates on the held-out labelled URLs; ties: nearest 0.
 
-    The scores are counted in cells of 1 / ``steps``, so the driver gets one row at every size.
+    It lies halfway between the scores that it parts. The scores are counted in cells of 1 / ``steps``, so the driver gets one row at every size.
     """
     cells = (
         totals.where(F.col("_held") & F.col("_label").isNotNull())
@@ -116,15 +116,16 @@ def calibrated(totals: DataFrame, steps: int = 1000) -> float:
     below = every.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     best = (
         cells.withColumns({"_ally": F.sum("_yes").over(every), "_alln": F.sum("_no").over(every)})
+        .withColumn("_cut", (F.col("_cell") + F.coalesce(F.lag("_cell").over(every.orderBy("_cell")) + 1, F.col("_cell"))) / 2.0)
         .where("_ally > 0 AND _alln > 0")
         .withColumn(
             "_gain",
             (1 - F.coalesce(F.sum("_yes").over(below), F.lit(0)) / F.col("_ally")) + F.coalesce(F.sum("_no").over(below), F.lit(0)) / F.col("_alln"),
         )
-        .agg(F.max_by(F.struct("_cell"), F.struct("_gain", -F.abs(F.col("_cell")))).alias("_best"))
+        .agg(F.max_by("_cut", F.struct("_gain", -F.abs(F.col("_cut")))).alias("_best"))
         .first()
     )
-    return 0.0 if best is None or best["_best"] is None else best["_best"]["_cell"] / steps
+    return 0.0 if best is None or best["_best"] is None else best["_best"] / steps
 
 
 def host_of(url: Column) -> Column:

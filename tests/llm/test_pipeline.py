@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 SF = "/root/testdata/sf0.001"
+FIRST = 1_000_000
 STAGES = dict(corpus_pipeline.STAGES)
 
 
@@ -28,13 +29,15 @@ def planted(spark):
     item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first()["text"]
     rows += [(300, f"{prose(rnd)}\n{item}\n{prose(rnd)}", "en", "s2")]
     rows += [(400, None, None, None), (401, "", "en", "s3"), (None, prose(rnd), "en", "s3"), (402, "w " * 30_000, "en", "s3"), (401, "", "en", "s3")]
+    # Ids above those of the labels.
+    rows = [(None if i is None else i + FIRST, *rest) for i, *rest in rows]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     docs = docs.withColumn("n_chars", F.length("text").cast("long"))
     return docs.withColumns({c: F.lit(1) for c in ("mix", "lines", "hit", "toxicity", "_key", "copy")})
 
 
 def ids(df):
-    return [r[0] for r in df.select("doc_id").collect()]
+    return [r[0] if r[0] is None else r[0] - FIRST for r in df.select("doc_id").collect()]
 
 
 @pytest.mark.parametrize("name", STAGES)
@@ -46,9 +49,12 @@ def test_columns_and_empty_input(spark, planted, name):
 
 
 def test_stages_catch_what_is_planted_and_keep_the_rest(spark, planted):
-    kept = STAGES["toxicity"](spark, planted, SF)
-    assert len(ids(kept)) == len(ids(planted))
-    lines = {r["doc_id"]: r for r in STAGES["line dedup"](spark, planted, SF).collect() if r["doc_id"] is not None}
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    toxic = spark.read.parquet(f"{SF}/labels.parquet").where("toxic = 1").select("doc_id")
+    kept = STAGES["toxicity"](spark, given.unionByName(planted.select(*given.columns)), SF)
+    assert kept.where(F.col("doc_id").isNull() | (F.col("doc_id") >= FIRST)).count() == planted.count()
+    assert kept.join(toxic, "doc_id").count() <= 0.3 * toxic.count()
+    lines = {r["doc_id"] - FIRST: r for r in STAGES["line dedup"](spark, planted, SF).collect() if r["doc_id"] is not None}
     assert [len(lines[100 + i]["text"].split("\n")) for i in range(3)] == [3, 2, 2]
     assert all(r["n_chars"] == (len(r["text"]) if r["text"] is not None else None) for r in lines.values())
     similar = ids(STAGES["n-gram Jaccard join"](spark, planted, SF))
@@ -57,5 +63,5 @@ def test_stages_catch_what_is_planted_and_keep_the_rest(spark, planted):
     clean = ids(STAGES["benchmark decontamination"](spark, planted, SF))
     assert 300 not in clean and len(clean) == len(ids(planted)) - 1
     mix = STAGES["mixing sources to target weights"](spark, planted, SF)
-    assert mix.groupBy("doc_id", "copy").count().where("count > 1").count() == 0
+    assert mix.groupBy("doc_id", "_copy").count().where("count > 1").count() == 0
     assert set(ids(mix)) <= set(ids(planted)) - {400, 401}
