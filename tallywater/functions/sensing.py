@@ -66,10 +66,19 @@ def reading_status_of(rank: Column, value: Column) -> Column:
     return F.when(value.isNotNull(), F.get(names, rank))
 
 
-def reading_order(timestamp: str = "timestamp", identity: str = "reading_id") -> Column:
-    """Time, then id, in one number, so that the newest reading is a hash aggregation too."""
+def reading_order(timestamp: str, identity: Column) -> Column:
+    """Time, then a whole number per reading, in one number, so that the newest reading is a
+    hash aggregation too."""
     spacing = F.lit(Decimal(2 * 10**19))
-    return F.unix_micros(timestamp).cast("decimal(18,0)") * spacing + F.col(identity)
+    return F.unix_micros(timestamp).cast("decimal(18,0)") * spacing + identity
+
+
+def reading_number(identity: str, kind: str) -> Column:
+    """The id itself where it is a number; of text ids (UUIDs) the digest, which settles ties of
+    time in a repeatable order."""
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return F.col(identity)
+    return F.xxhash64(identity)
 
 
 def moment(timestamp: str, status: Column) -> Column:

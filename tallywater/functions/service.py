@@ -88,11 +88,13 @@ def effort_score(low_effort: Column | None = None) -> Column:
 
 
 def is_unresolved() -> Column:
-    return F.col("resolved_in_first_contact") != 1
+    """Everything not flagged 1, also a ticket without the flag: each ticket goes one way."""
+    return ~F.col("resolved_in_first_contact").eqNullSafe(1)
 
 
 def is_escalated() -> Column:
-    return is_unresolved() & ((F.col("sla_compliance") == 0) | (F.col("reopened") == 1))
+    missed, again = F.col("sla_compliance").eqNullSafe(0), F.col("reopened").eqNullSafe(1)
+    return is_unresolved() & (missed | again)
 
 
 def base_utilization(role: str = "role_title") -> Column:

@@ -74,12 +74,15 @@ def backfill_ready(
 ) -> DataFrame:
     """Dates (as ``as_of``) whose look-back holds at least ``rows`` rows.
 
-    Rows are first counted per day; only the daily counts are repeated for the
-    dates that look back to them.
+    Rows of the look-backs are first counted per day; only the daily counts are
+    repeated for the dates that look back to them.
     """
-    daily = perf.groupBy("date_id").agg(F.count("*").alias("_rows"))
+    wanted = dates.select(F.col("date_id").alias("as_of"))
+    limits = wanted.agg(F.min("as_of").alias("first"), F.max("as_of").alias("last"))
+    first, last = limits.select("first").scalar(), limits.select("last").scalar()
+    near = perf.where(F.col("date_id").between(F.date_sub(first, days), last))
+    daily = near.groupBy("date_id").agg(F.count("*").alias("_rows"))
     ahead = F.sequence("date_id", F.date_add("date_id", days))
     spread = daily.select(F.explode(ahead).alias("as_of"), "_rows")
-    wanted = dates.select(F.col("date_id").alias("as_of"))
     seen = spread.join(one_row_per_day(wanted), "as_of", "left_semi").groupBy("as_of")
     return seen.agg(F.sum("_rows").alias("lookback_rows")).where(F.col("lookback_rows") >= rows)

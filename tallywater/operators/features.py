@@ -96,8 +96,17 @@ def fill_numbers(df: DataFrame) -> DataFrame:
     return df.na.fill(0, subset=numbers)
 
 
-def latest_features(perf: DataFrame, tenure: Column | int = SERVING_TENURE) -> DataFrame:
-    """Features of each agent's newest row, missing history as 0."""
+def latest_features(
+    perf: DataFrame, tenure: Column | int = SERVING_TENURE, days: int | None = None
+) -> DataFrame:
+    """Features of each agent's newest row, missing history as 0.
+
+    With ``days`` only the rows of that many days before the newest date are read; agents
+    without a row there have none in the result.
+    """
+    if days is not None:
+        newest_day = perf.agg(F.max("date_id")).scalar()
+        perf = perf.where(F.col("date_id") >= F.date_sub(newest_day, days))
     newest = agent_features(perf, tenure).where("is_latest").drop("is_latest")
     return fill_numbers(newest)
 
@@ -132,11 +141,17 @@ def asof_features(perf: DataFrame, as_of: DataFrame, days: int = LOOKBACK_DAYS)
     * over the last ``days`` days: how many stored rows they hold, and their mean,
       which replaces the first where the range holds fewer rows than it needs.
     """
+    limits = as_of.agg(F.min("as_of").alias("first"), F.max("as_of").alias("last"))
+    first, last = limits.select("first").scalar(), limits.select("last").scalar()
+    # Nothing outside the look-backs of the dates asked for is read.
+    perf = perf.where(F.col("date_id").between(F.date_sub(first, days), last))
     per_agent = Window.partitionBy("agent_id").orderBy("date_id")
     horizon = F.date_add("date_id", days)
     until = F.least(F.date_sub(F.lead("date_id").over(per_agent), 1), horizon)
     stored = perf.withColumns({**_trailing(per_agent), "_until": until})
-    carried = stored.withColumn("as_of", F.explode(F.sequence("date_id", "_until")))
+    # Of rows that share an agent and a day one is carried on.
+    grain = stored.where(F.col("_until") >= F.col("date_id"))
+    carried = grain.withColumn("as_of", F.explode(F.sequence("date_id", "_until")))
     asked = as_of.select("as_of").distinct().withColumn("_asked", F.lit(True))
     own = F.col("as_of") == F.col("date_id")
     marked = carried.join(one_row_per_day(asked), "as_of", "left").where(own | F.col("_asked")).drop("_until")

@@ -1,4 +1,4 @@
-"""Lookups that hold for dimensions of any size and keys of any skew."""
+"""Lookups in dimensions, joins that keep null keys, and dates not done yet."""
 
 from __future__ import annotations
 
@@ -6,26 +6,15 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-BROADCAST_ROWS = 100_000
-HOT_SHARE = 1_000
-
-
 def lookup(
-    facts: DataFrame,
-    dim: DataFrame,
-    key: str,
-    defaults: Mapping[str, object] | None = None,
-    max_rows: int = BROADCAST_ROWS,
+    facts: DataFrame, dim: DataFrame, key: str, defaults: Mapping[str, object] | None = None
 ) -> DataFrame:
     """Left join to a dimension holding one row per key; ``defaults`` fill the misses.
 
-    The dimension is broadcast only after counting that it has at most
-    ``max_rows`` rows; beyond that the join shuffles, with hot keys spread.
+    Spark broadcasts a dimension below its size threshold and otherwise shuffles; adaptive
+    execution splits the facts of a key that owns many of them. Null keys match nothing.
     """
-    if dim.select(key).limit(max_rows + 1).count() <= max_rows:
-        joined = facts.join(F.broadcast(dim), key, "left")
-    else:
-        joined = spread_lookup(facts, dim, key)
+    joined = facts.join(dim, key, "left")
     if not defaults:
         return joined
     return joined.withColumns(
@@ -33,39 +22,6 @@ def lookup(
     )
 
 
-def spread_lookup(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Shuffled left join in which a key with a large share of the facts is split.
-
-    A key owning more than 1/``HOT_SHARE`` of the rows is cut into slices of at
-    most that share, so there are fewer than ``HOT_SHARE`` such keys and fewer
-    than twice as many slices: the list of hot keys is small whatever the data.
-    The dimension rows of hot keys are repeated once per slice. Null keys match
-    nothing and are spread as well.
-    """
-    rows = facts.agg(F.count("*").alias("n")).scalar()
-    shares = facts.groupBy(key).agg((F.count("*") * HOT_SHARE / rows).alias("_share"))
-    hot = shares.where(F.col("_share") > 1).select(
-        key, F.ceil("_share").cast("int").alias("_slices")
-    )
-    row_hash = F.xxhash64(*[F.col(c) for c in facts.columns if not _is_map(facts, c)])
-    slices = F.when(F.col(key).isNull(), F.lit(HOT_SHARE)).otherwise(
-        F.coalesce(F.col("_slices"), F.lit(1))
-    )
-    left = facts.join(F.broadcast(hot), key, "left").withColumn(
-        "_slice", F.pmod(row_hash, slices).cast("int")
-    )
-    last = F.coalesce(F.col("_slices"), F.lit(1)) - 1
-    right = dim.join(F.broadcast(hot), key, "left").withColumn(
-        "_slice", F.explode(F.sequence(F.lit(0), last))
-    )
-    joined = left.drop("_slices").join(right.drop("_slices"), [key, "_slice"], "left")
-    return joined.drop("_slice")
-
-
-def _is_map(df: DataFrame, column: str) -> bool:
-    return "map" in df.schema[column].dataType.simpleString()
-
-
 def join_keeping_nulls(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Inner join in which null keys match each other, for joining back per-group results."""
     other = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})

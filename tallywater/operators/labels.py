@@ -18,6 +18,9 @@ FORCED_SHARES = (("Critical", 0.05), ("High", 0.12), ("Medium", 0.35))
 TEST_SHARE = 0.2
 SEED = 42
 
+# Cells of the stress index in which rows are counted first.
+STRESS_CELLS = 10_000
+
 
 def label_rows(features: DataFrame) -> DataFrame:
     return features.withColumn(LABEL, risk.burnout_label())
@@ -43,22 +46,25 @@ def label_distribution(labelled: DataFrame) -> DataFrame:
 def rebalance_labels(labelled: DataFrame, force: bool = False) -> DataFrame:
     """When a class is missing, relabel by stress: top 5% / 12% / 35% / rest.
 
-    Ties on stress are broken by agent and date. Only the narrow keys are
-    sorted, to find the three cut rows; the wide rows are compared with those.
+    Ties on stress are broken by agent and date. Rows are only counted, by cell
+    of the index first, to find the three cut rows; the wide rows are compared
+    with those.
     """
     if not force and missing_labels(labelled).isEmpty():
         return labelled
     falling = (-F.col("stress_index")).alias("_falling")
     place = F.struct(falling, "agent_id", "date_id")
+    cell = F.floor(falling * STRESS_CELLS).alias("_cell")
     cuts = keys_at_shares(
-        labelled.select(falling, "agent_id", "date_id"), [share for _, share in FORCED_SHARES]
+        labelled.select(cell, falling, "agent_id", "date_id"),
+        [share for _, share in FORCED_SHARES],
     )
     chosen = F
-    for (name, _), cut in zip(FORCED_SHARES, cuts):
+    for (name, _), (_, stress, agent, day) in zip(FORCED_SHARES, cuts):
         bound = F.struct(
-            F.lit(cut[0]).alias("_falling"),
-            F.lit(cut[1]).cast("long").alias("agent_id"),
-            F.lit(cut[2]).alias("date_id"),
+            F.lit(stress).alias("_falling"),
+            F.lit(agent).cast("long").alias("agent_id"),
+            F.lit(day).alias("date_id"),
         )
         chosen = chosen.when(place <= bound, F.lit(name))
     if len(cuts) < len(FORCED_SHARES):

@@ -11,7 +11,7 @@ from tallywater.functions.steps import exact_sum, ratio
 from tallywater.operators.joins import lookup
 from tallywater.operators.tickets import DEFAULT_DEPARTMENT
 
-# Fixed value: decimal digits kept for the agent inside a performance id.
+# Fixed value: decimal digits that the agent has at least inside a performance id.
 AGENT_DIGITS = 2
 
 
@@ -42,39 +42,49 @@ def agent_calendar(agents: DataFrame, start: Column | date, end: Column | date)
     )
 
 
+def agent_width(agents: DataFrame, totals: DataFrame) -> Column:
+    """Digits of the largest agent id, known or not, and at least two."""
+    largest = agents.select("agent_id").union(totals.select("agent_id")).agg(F.max("agent_id"))
+    digits = F.length(F.coalesce(largest.scalar(), F.lit(0)).cast("string"))
+    return F.greatest(digits, F.lit(AGENT_DIGITS))
+
+
 def agent_daily_performance(
     tickets: DataFrame,
     agents: DataFrame,
     start: Column | date | None = None,
     end: Column | date | None = None,
     every_agent: bool = True,
-    agent_digits: int = AGENT_DIGITS,
+    agent_digits: int | None = None,
 ) -> DataFrame:
     """Performance rows for every agent of every day, also those without tickets.
 
     The days run from ``start`` to ``end``, by default the first and last
-    ticket day. With ``every_agent=False`` only agent-days with tickets appear,
-    including agents missing from the dimension (department 4, no role).
-    ``agent_digits`` leaves room for the agent inside ``performance_id``.
+    ticket day. With ``every_agent=False`` only agent-days with tickets appear.
+    Tickets of agents missing from the dimension (department 4, no role), without
+    an agent, or of days outside the range have their rows in either form, so the
+    totals are those of the tickets. ``performance_id`` holds the day and then the
+    agent in as many digits as the largest agent id needs, or in ``agent_digits``.
     """
     totals = agent_day_totals(tickets)
+    about = agents.select("agent_id", "department_id", "role_title")
+    unknown = {"department_id": DEFAULT_DEPARTMENT, "role_title": ""}
     if every_agent:
         first = start if start is not None else tickets.agg(F.min("date_id")).scalar()
         last = end if end is not None else tickets.agg(F.max("date_id")).scalar()
-        days = agent_calendar(agents, first, last)
-        grain = days.join(totals, ["date_id", "agent_id"], "left")
-    else:
-        about = agents.select("agent_id", "department_id", "role_title")
-        grain = lookup(
-            totals, about, "agent_id", {"department_id": DEFAULT_DEPARTMENT, "role_title": ""}
-        )
+        days = agent_calendar(agents, first, last).drop("department_id", "role_title")
+        totals = days.join(totals, ["date_id", "agent_id"], "full")
+    grain = lookup(totals, about, "agent_id", unknown)
+    digits = agent_width(agents, totals) if agent_digits is None else F.lit(agent_digits)
     counted = grain.na.fill(0, subset=["total", "reopened", "breaches", "open", "escalated"])
     counted = counted.na.fill(0.0, subset=["hours"])
     total, open_ = F.col("total"), F.col("open")
     busy = service.base_utilization() + total / 100
     stamp = F.date_format("date_id", "yyyyMMdd").cast("long")
     return counted.select(
-        (stamp * 10**agent_digits + F.col("agent_id")).alias("performance_id"),
+        (stamp * F.pow(F.lit(10), digits).cast("long") + F.coalesce("agent_id", F.lit(0))).alias(
+            "performance_id"
+        ),
         "date_id",
         "agent_id",
         "department_id",

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallywater.operators.joins import join_keeping_nulls
-from tallywater.session import durable
 
 Order = Sequence[Column | str]
 
@@ -76,41 +77,58 @@ def _add_before(
 
 
 def keys_at_shares(keys: DataFrame, shares: Sequence[float]) -> list[tuple]:
-    """The key at each cumulative group size, exactly, without numbering all rows.
-
-    ``keys`` holds the ordering columns only, ascending and unique as a whole.
-    Each share is worth ``max(floor(share * rows), 1)`` rows and the sizes are
-    added up. The keys are range-partitioned and written once to the shared
-    folder, so the slices stay the same if a task runs again; only the slices
-    that hold a cut are sorted. The result is one small tuple per cut, or fewer
-    when the rows run out.
+    """The key at each cumulative group size, exactly, without sorting the rows.
+
+    ``keys`` holds the ordering columns only, ascending, not null and unique as a
+    whole. Each share is worth ``max(floor(share * rows), 1)`` rows and the sizes
+    are added up. Column by column the rows that agree with a cut so far are
+    counted by value, and running counts tell on which value the cut falls; give
+    a coarse column first (a cell of the next one) so that no level has many
+    values. The driver sees one small tuple per cut and level. The result is one
+    tuple per cut, or fewer when the rows run out.
     """
     columns = keys.columns
-    slices = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = keys.repartitionByRange(slices, *columns)
-    sliced = durable(ranged.withColumn("_slice", F.spark_partition_id()))
-
-    every = Window.partitionBy(F.lit(0))
-    earlier = every.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    total = F.sum("_rows").over(every)
-    places, reached = [], F.lit(0)
+    rows, reached, cuts = keys.count(), 0, []
     for share in shares:
-        reached = reached + F.greatest(F.floor(total * F.lit(share)), F.lit(1))
-        places.append(reached)
-    counts = sliced.groupBy("_slice").agg(F.count("*").alias("_rows"))
-    cuts = (
-        counts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-        .withColumn("_places", F.array(*places))
-        .select("_slice", "_rows", "_before", F.explode("_places").alias("_place"))
-        .where((F.col("_place") > F.col("_before")))
-        .where(F.col("_place") <= F.col("_before") + F.col("_rows"))
-        .select("_slice", (F.col("_place") - F.col("_before")).alias("_local"), "_place")
-    )
-    candidates = sliced.join(cuts.select("_slice").distinct(), "_slice", "left_semi")
-    inside = Window.partitionBy("_slice").orderBy(*columns)
-    ranked = candidates.withColumn("_local", F.row_number().over(inside))
-    found = ranked.join(cuts, ["_slice", "_local"]).orderBy("_place").select(*columns)
-    return [tuple(row) for row in found.collect()]
+        reached += max(math.floor(rows * share), 1)
+        if reached <= rows:
+            cuts.append(((), reached))
+    for depth, column in enumerate(columns):
+        if not cuts:
+            break
+        known = columns[:depth]
+        inside = _any(
+            _all(F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(known, prefix)) for prefix, _ in cuts
+        )
+        counts = keys.where(inside).groupBy(*known, column).agg(F.count("*").alias("_rows"))
+        until = Window.partitionBy(*known).orderBy(column) if known else Window.orderBy(column)
+        running = counts.withColumn("_until", F.sum("_rows").over(until))
+        wanted = _any(
+            _all(
+                [
+                    *[F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(known, prefix)],
+                    F.col("_until") >= place,
+                    F.col("_until") - F.col("_rows") < place,
+                ]
+            )
+            for prefix, place in cuts
+        )
+        found = running.where(wanted).collect()
+        cuts = [
+            ((*prefix, r[column]), place - (r["_until"] - r["_rows"]))
+            for prefix, place in cuts
+            for r in found
+            if tuple(r[c] for c in known) == prefix and r["_until"] - r["_rows"] < place <= r["_until"]
+        ]
+    return [prefix for prefix, _ in cuts]
+
+
+def _all(conditions: Iterable[Column]) -> Column:
+    return reduce(lambda x, y: x & y, conditions, F.lit(True))
+
+
+def _any(conditions: Iterable[Column]) -> Column:
+    return reduce(lambda x, y: x | y, conditions, F.lit(False))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

@@ -12,6 +12,7 @@ from tallywater.schemas import TABLES
 # Fewest agents and lowest score for a forced Critical.
 FORCE_AGENTS = 10
 FORCE_SCORE = 0.6
+SCORE_DIGITS = 9
 FORCE_REDUCTION = 35
 
 HISTORY_PRODUCTIVITY = 0.75
@@ -61,24 +62,24 @@ def score_history(scored: DataFrame) -> DataFrame:
 def ensure_critical(scored: DataFrame, day: str = "date_id") -> DataFrame:
     """On a day with ten agents or more and no Critical, the top scorer above 0.6 becomes one.
 
-    The lowest agent id wins a tie. Days are summed up first, then the few rows
+    Scores are compared to nine digits; the lowest agent id wins a tie. Days are summed up
+    first, then the few rows
     that reach the top score of a day in need; no task ever holds or sorts all
     agents of a day.
     """
     critical = (F.col("risk_category") == "Critical").cast("int")
+    compared = F.round("burnout_risk_score", SCORE_DIGITS)
     days = scored.groupBy(day).agg(
         F.count("*").alias("_agents"),
         F.max(critical).alias("_critical"),
-        F.max("burnout_risk_score").alias("_top"),
+        F.max(compared).alias("_top"),
     )
     needy = days.where(
         (F.col("_agents") >= FORCE_AGENTS)
         & (F.col("_critical") == 0)
         & (F.col("_top") > FORCE_SCORE)
     ).select(day, "_top")
-    leaders = scored.join(one_row_per_day(needy), day).where(
-        F.col("burnout_risk_score") == F.col("_top")
-    )
+    leaders = scored.join(one_row_per_day(needy), day).where(compared == F.col("_top"))
     chosen = leaders.groupBy(day).agg(F.min("agent_id").alias("_chosen"))
     joined = scored.join(one_row_per_day(chosen), day, "left")
     forced = F.col("agent_id") == F.col("_chosen")

@@ -45,13 +45,14 @@ def facility_status(readings: DataFrame, keys: list[str]) -> DataFrame:
 def build_events(readings: DataFrame, facilities: DataFrame, cycle: str = CYCLE) -> DataFrame:
     """One nested event per facility and cycle from classified, calibrated readings.
 
-    The newest reading of a sensor wins inside a cycle. That first step combines
+    The newest reading of a sensor wins inside a cycle; ``reading_id`` may be a number
+    or a text. That first step combines
     before the shuffle, and afterwards an event holds one entry per configured
     sensor type, however many readings a busy facility sent.
     """
-    cycles = readings.withColumns(
-        {"_cycle": F.window("timestamp", cycle)["start"], "_order": sensing.reading_order()}
-    )
+    number = sensing.reading_number("reading_id", dict(readings.dtypes)["reading_id"])
+    order = sensing.reading_order("timestamp", number)
+    cycles = readings.withColumns({"_cycle": F.window("timestamp", cycle)["start"], "_order": order})
     about = ["unit", "threshold_min", "threshold_max"]
     per_sensor = cycles.groupBy("facility_name", "_cycle", "sensor_type", *about).agg(
         F.max_by("value", "_order").alias("value"),
@@ -109,19 +110,23 @@ def explode_sensors(events: DataFrame) -> DataFrame:
 
 
 def expected_sensors(facilities: DataFrame, sensors: DataFrame) -> DataFrame:
-    """Sensor types a facility should report: its configured priority sensors, or else every
-    configured type that fits its kind. The sensor list is one configuration document."""
-    catalog = sensors.agg(F.collect_list(F.struct("sensor_type", "facility_types"))).scalar()
-    known = facilities.withColumn("_catalog", catalog)
-    named = F.array_intersect(
-        "priority_sensors", F.transform("_catalog", lambda s: s["sensor_type"])
+    """Sensor types a facility should report, sorted: its priority sensors that are configured,
+    or, where there are none, every configured type that fits its kind."""
+    named = facilities.select(
+        "facility_name", F.explode("priority_sensors").alias("sensor_type")
+    ).join(sensors.select("sensor_type"), "sensor_type", "left_semi")
+    kinds = sensors.select("sensor_type", F.explode("facility_types").alias("facility_type"))
+    fitting = facilities.join(named, "facility_name", "left_anti").join(kinds, "facility_type")
+    wanted = named.select("facility_name", "sensor_type").unionByName(
+        fitting.select("facility_name", "sensor_type")
+    )
+    lists = wanted.groupBy("facility_name").agg(
+        F.array_sort(F.collect_set("sensor_type")).alias("expected")
     )
-    fitting = F.transform(
-        F.filter("_catalog", lambda s: F.array_contains(s["facility_types"], F.col("facility_type"))),
-        lambda s: s["sensor_type"],
+    none = F.array().cast("array<string>")
+    return facilities.select("facility_name").join(lists, "facility_name", "left").select(
+        "facility_name", F.coalesce("expected", none).alias("expected")
     )
-    wanted = F.array_sort(F.when(F.size(named) > 0, named).otherwise(fitting))
-    return known.select("facility_name", wanted.alias("expected"))
 
 
 def missing_sensors(events: DataFrame, expected: DataFrame) -> DataFrame:

@@ -25,11 +25,10 @@ from tallywater.operators.calendar import (
 )
 from tallywater.operators.joins import one_row_per_day
 from tallywater.operators.model import RiskModel, load_model, train_classifier
-from tallywater.operators.performance import AGENT_DIGITS, agent_daily_performance
+from tallywater.operators.performance import agent_daily_performance
 from tallywater.operators.ranking import number_rows
 from tallywater.sources.tables import (
     append_table,
-    last_key,
     read_table,
     replace_day,
     replace_table,
@@ -40,6 +39,8 @@ from tallywater.sources.tables import (
 PREDICTIONS = "fact_agent_burnout_prediction"
 PERFORMANCE = "fact_agent_performance"
 MIN_AGENTS = 10
+# Ids a day has room for; the largest id of the year 9999 still fits a long.
+DAY_IDS = 10**10
 MIN_ROWS = 60
 
 
@@ -58,9 +59,9 @@ def export_training_data(
     spark: SparkSession, root: str, out: str | None = None, as_csv: bool = False
 ) -> TrainingExtract:
     """Performance, agent metadata and ticket metrics of the training range."""
-    perf = read_table(spark, root, PERFORMANCE)
+    perf = read_table(spark, root, PERFORMANCE, required=True)
     facts = read_table(spark, root, "fact_tickets")
-    agents = read_table(spark, root, "dim_agent")
+    agents = read_table(spark, root, "dim_agent", required=True)
     extract = TrainingExtract(
         in_training_range(perf, perf).select(*features.EXTRACT),
         agents.select("agent_id", "agent_name", "department_id", "role_title", "hire_date"),
@@ -118,11 +119,14 @@ def daily_records(scores: DataFrame, model: RiskModel) -> DataFrame:
 
 
 def predict_daily(
-    spark: SparkSession, root: str, model_path: str, as_of: date | None = None
+    spark: SparkSession, root: str, model: str | RiskModel, as_of: date | None = None
 ) -> DataFrame:
-    """Score the newest date (or ``as_of``) and store it; a stored date is left as it is."""
-    model = load_model(spark, model_path)
-    perf = read_table(spark, root, PERFORMANCE)
+    """Score the newest date (or ``as_of``) and store it; a stored date is left as it is.
+
+    ``model`` is a loaded model or the path of a saved one.
+    """
+    model = load_model(spark, model) if isinstance(model, str) else model
+    perf = read_table(spark, root, PERFORMANCE, required=True)
     day = as_of or perf.agg(F.max("date_id")).first()[0]
     if day is None:
         raise NoData("no agent performance stored; run the daily load first")
@@ -154,7 +158,7 @@ def history_records(scored: DataFrame, model: RiskModel) -> DataFrame:
 
 
 def backfill_predictions(
-    spark: SparkSession, root: str, model_path: str, mode: str = "simple"
+    spark: SparkSession, root: str, model: str | RiskModel, mode: str = "simple"
 ) -> DataFrame:
     """Score and store all missing dates in one plan; running it again adds nothing.
 
@@ -162,8 +166,8 @@ def backfill_predictions(
     """
     if mode not in ("simple", "full"):
         raise ValueError(f"unknown mode {mode!r}: simple or full")
-    model = load_model(spark, model_path)
-    perf = read_table(spark, root, PERFORMANCE)
+    model = load_model(spark, model) if isinstance(model, str) else model
+    perf = read_table(spark, root, PERFORMANCE, required=True)
     scored = model.score(backfill_features(perf, read_table(spark, root, PREDICTIONS)))
     if mode == "simple":
         append_table(history_records(scored, model), root, PREDICTIONS)
@@ -173,8 +177,9 @@ def backfill_predictions(
     return read_table(spark, root, PREDICTIONS)
 
 
-def _last_id(df: DataFrame, column: str) -> int:
-    return last_key(df, column).first()[0]
+def first_id(day: date) -> int:
+    """Ids of a day's rows follow this number: the day, then ten digits for the row."""
+    return int(day.strftime("%Y%m%d")) * DAY_IDS
 
 
 def daily_load(
@@ -183,40 +188,30 @@ def daily_load(
     day: date,
     contacts: DataFrame,
     usage: DataFrame,
-    agent_digits: int = AGENT_DIGITS,
 ) -> DataFrame:
     """Load one day: calendar, tickets, backlog, agent performance and bills.
 
     ``contacts`` are the day's raw tickets (see ``score_tickets``) with a
-    ``contact_id``, ``usage`` its consumption rows (see ``bill``). Tables written by date are replaced for
-    ``day``. Returns the day's totals.
+    ``contact_id``, ``usage`` its consumption rows (see ``bill``). Tables written by date are
+    replaced for ``day``. Ticket and backlog ids are the day and a number within it, so loading any
+    day again gives its tickets the same ids and no other day is read. Returns the day's totals.
     """
-    agents = read_table(spark, root, "dim_agent")
-    customers = read_table(spark, root, "dim_customer")
+    agents = read_table(spark, root, "dim_agent", required=True)
+    customers = read_table(spark, root, "dim_customer", required=True)
     append_table(missing_calendar(read_table(spark, root, "dim_time"), day), root, "dim_time")
 
-    def other_days(name: str) -> DataFrame:
-        return read_table(spark, root, name).where(F.col("date_id") != F.lit(day))
-
     today = contacts.withColumn("date_id", F.lit(day)).drop("ticket_id", "department_id")
     staffed = tickets.with_agent(today, agents)
     scored = tickets.score_tickets(staffed).withColumn("_block", tickets.key_block("contact_id"))
-    start = max(
-        _last_id(other_days("fact_tickets"), "ticket_id"),
-        _last_id(other_days("fact_backlog"), "ticket_id"),
-    )
     row_order = F.xxhash64(*scored.columns)
     numbered = number_rows(
-        scored, [["date_id"], ["_block"]], ["contact_id", row_order], "ticket_id", start
+        scored, [["_block"]], ["contact_id", row_order], "ticket_id", first_id(day)
     )
     with _kept(numbered) as rows:
         replace_day(tickets.resolved_tickets(rows), root, "fact_tickets", day)
-        last_backlog = _last_id(other_days("fact_backlog"), "backlog_id")
-        backlog = tickets.build_backlog(
-            tickets.unresolved_tickets(rows), customers, last_backlog
-        )
-        replace_day(backlog, root, "fact_backlog", day)
-        perf = agent_daily_performance(rows, agents, day, day, agent_digits=agent_digits)
+        opened = tickets.unresolved_tickets(rows)
+        replace_day(tickets.build_backlog(opened, customers, first_id(day)), root, "fact_backlog", day)
+        perf = agent_daily_performance(rows, agents, day, day)
         replace_day(perf, root, PERFORMANCE, day)
     known = tickets.with_customer(usage.withColumn("date_id", F.lit(day)), customers)
     replace_day(billing.bill(known), root, "fact_billing", day)
@@ -226,7 +221,7 @@ def daily_load(
 def measures(spark: SparkSession, root: str, measured_on: date) -> dict[str, DataFrame]:
     """The nine measure tables from the stored facts, by table name."""
     perf, solved, backlog, bills, people, departments = (
-        read_table(spark, root, name)
+        read_table(spark, root, name, required=name == PERFORMANCE or name.startswith("dim_"))
         for name in (
             PERFORMANCE,
             "fact_tickets",

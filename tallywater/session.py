@@ -50,10 +50,8 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so a lost executor cannot change its rows."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` below the shared folder and read it back: a lost executor cannot change it."""
+    path = fresh_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

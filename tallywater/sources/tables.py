@@ -25,14 +25,21 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A declared table by name; a table never written yet reads as empty."""
+class MissingTable(FileNotFoundError):
+    """A table that a job needs was never written below the root."""
+
+
+def read_table(spark: SparkSession, root: str, name: str, required: bool = False) -> DataFrame:
+    """A declared table by name; one never written reads as empty, or raises if ``required``."""
     spec = TABLES[name]
+    path = table_path(root, name)
     try:
-        df = spark.read.schema(spec.schema).parquet(table_path(root, name))
+        df = spark.read.schema(spec.schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        if required:
+            raise MissingTable(f"no table {name} at {path}") from error
         return spark.createDataFrame([], spec.schema)
     return df.select(*spec.columns)
 

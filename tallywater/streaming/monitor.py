@@ -2,7 +2,8 @@
 
 The functions take a streaming (or batch) DataFrame of events in
 ``schemas.EVENT_SCHEMA`` and return the transformed one; ``streaming.sinks``
-starts them.
+starts them. Windows and sessions are emitted once the watermark has passed their end: those still
+open when a run over available data ends are kept in the checkpoint and come with a later run.
 """
 
 from __future__ import annotations

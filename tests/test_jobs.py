@@ -1,6 +1,7 @@
 """Tables and jobs: defaults, repeat runs, backfill against daily prediction, model files."""
 
 import random
+import re
 from datetime import date, timedelta
 
 import pytest
@@ -31,7 +32,7 @@ def contacts(spark, day, n=60):
         rows.append(
             (
                 day.toordinal() * 1000 + i, rng.randint(1, 14), rng.randint(1, 30), rng.randint(1, 7),
-                rng.choice(["Leakage", "Water Quality", "Meter Reading"]), rng.choice(["Phone", "Email"]),
+                rng.choice(["Leakage", "Water Quality", "Tour Booking"]), rng.choice(["Phone", "Letter"]),
                 round(rng.uniform(0.5, 8), 2), rng.randint(1, 15), solved,
                 int(not solved and rng.random() < 0.3), int(rng.random() < 0.8), rng.randint(1, 30), 4.0,
             )
@@ -165,11 +166,16 @@ def test_daily_load_is_repeatable(spark, warehouse):
     jobs.daily_load(spark, warehouse, day, contacts(spark, day), usage(spark))
     assert contents() == before
     ids = [r[0] for n in ("fact_tickets", "fact_backlog") for r in tables.read_table(spark, warehouse, n).select("ticket_id").collect()]
-    assert sorted(ids) == list(range(1, 121))
+    days = [FIRST, FIRST + timedelta(days=1)]
+    assert sorted(ids) == [jobs.first_id(d) + n for d in days for n in range(1, 61)]
     backlog = tables.read_table(spark, warehouse, "fact_backlog")
-    assert sorted(r[0] for r in backlog.select("backlog_id").collect()) == list(range(1, backlog.count() + 1))
+    for d in days:
+        own = sorted(r[0] for r in backlog.where(F.col("date_id") == F.lit(d)).select("backlog_id").collect())
+        assert own == [jobs.first_id(d) + n for n in range(1, len(own) + 1)]
     assert backlog.where("customer_segment <> 'Residential'").count() == 0
     assert tables.next_date(tables.read_table(spark, warehouse, "dim_time")).first()[0] == FIRST + timedelta(days=2)
+    jobs.daily_load(spark, warehouse, FIRST, contacts(spark, FIRST), usage(spark))
+    assert contents() == before
 
 
 def test_reload_without_rows_empties_the_day(spark, tmp_path):
@@ -222,7 +228,7 @@ def test_missing_model(spark, tmp_path):
 
 
 def test_predict_without_data(spark, trained, tmp_path):
-    with pytest.raises(jobs.NoData):
+    with pytest.raises(tables.MissingTable):
         jobs.predict_daily(spark, str(tmp_path), trained[1])
 
 
@@ -289,3 +295,23 @@ def test_boosted_model_probabilities(spark, trained):
     assert len(row[0]) == 4 and sum(row[0]) == pytest.approx(1.0)
     with pytest.raises(ValueError):
         models.train_classifier(labelled, kind="linear")
+
+
+def test_a_mistyped_root_raises(spark, tmp_path):
+    root = str(tmp_path / "nowhere")
+    with pytest.raises(tables.MissingTable, match="dim_agent"):
+        jobs.daily_load(spark, root, FIRST, contacts(spark, FIRST), usage(spark))
+    with pytest.raises(tables.MissingTable):
+        jobs.export_training_data(spark, root)
+    with pytest.raises(tables.MissingTable):
+        jobs.measures(spark, root, FIRST)
+
+
+def test_backfill_of_one_day_prunes_the_stored_table(spark, trained):
+    root, _ = trained
+    perf = tables.read_table(spark, root, "fact_agent_performance")
+    done = perf.where(F.col("date_id") != F.lit(FIRST + timedelta(days=40))).select("date_id").distinct()
+    known = jobs.backfill_features(perf, done)
+    assert {r[0] for r in known.select("date_id").distinct().collect()} == {FIRST + timedelta(days=40)}
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*date_id[^]]*>= .*ubquery", plan)

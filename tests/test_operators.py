@@ -198,7 +198,7 @@ def test_numbers_keep_rows_with_null_groups(spark):
 def test_readings_of_unknown_facilities_are_kept(spark):
     network = sample_network(spark)
     rows = spark.createDataFrame(
-        [(1, datetime(2025, 1, 1), "pressure", "Nowhere", 9.0), (2, datetime(2025, 1, 1), "other", "Coast Dam", 1.0)],
+        [(1, datetime(2025, 1, 1), "pressure", "Nowhere", 900.0), (2, datetime(2025, 1, 1), "other", "Brook Dam", 1.0)],
         "reading_id long, timestamp timestamp, sensor_type string, facility_name string, raw_value double",
     )
     rated = sensors.calibrate_readings(
@@ -209,26 +209,20 @@ def test_readings_of_unknown_facilities_are_kept(spark):
     assert events[0]["facility"]["type"] is None
 
 
-@pytest.mark.parametrize("max_rows", [0, 1000])
-def test_lookup_with_hot_and_null_keys(spark, max_rows):
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_lookup_with_hot_and_null_keys(spark, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     facts = [(7 if i % 3 == 0 else (None if i % 3 == 1 else i), i) for i in range(3000)]
     frame = spark.createDataFrame(facts, "k long, v long")
     dim = spark.createDataFrame([(i, f"n{i}") for i in range(0, 3000, 7)], "k long, name string")
-    got = joins.lookup(frame, dim, "k", {"name": ""}, max_rows=max_rows).toPandas()
+    got = joins.lookup(frame, dim, "k", {"name": ""}).toPandas()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(got) == 3000
     for row in got.itertuples():
         hit = not pd.isna(row.k) and row.k % 7 == 0
         assert row.name == (f"n{int(row.k)}" if hit else "")
 
 
-def test_spread_lookup_slices_the_hot_key(spark):
-    frame = spark.range(9000).selectExpr("if(id % 3 = 0, 0, id) k", "id v")
-    dim = spark.range(100).selectExpr("id k", "id * 2 w")
-    joined = joins.spread_lookup(frame, dim, "k")
-    assert joined.where("k = 0").count() == 3000
-    assert joined.where("w is not null").count() == 3000 + 66
-
-
 def raw_day(spark, n=200):
     rng = random.Random(5)
     rows = [
@@ -367,15 +361,18 @@ def test_billing_gates(spark):
 def test_network_dimensions(spark):
     network = sample_network(spark)
     places = facility_dimension(network).orderBy("facility_id").collect()
-    assert [r["facility_id"] for r in places] == list(range(1, 8))
+    assert [r["facility_id"] for r in places] == list(range(1, 10))
     assert places[0]["upstream_facility"] is None and places[0]["facility_type"] == "reservoir"
     kinds = sensor_dimension(network)
-    assert kinds.count() == 11
+    assert kinds.count() == 9
     empty = facility_dimension(network).withColumn("priority_sensors", F.array().cast("array<string>"))
     wanted = {r[0]: r[1] for r in sensors.expected_sensors(empty, kinds).collect()}
-    assert wanted["Coast Dam"] == ["inflow_rate", "outflow_rate", "pressure", "water_level"]
+    assert wanted["Brook Dam"] == ["dissolved_oxygen", "pressure", "turbidity", "vibration", "water_level"]
+    own = {r[0]: r[1] for r in sensors.expected_sensors(facility_dimension(network), kinds).collect()}
+    assert own["Elm Wells"] == ["conductivity", "motor_temperature", "vibration"]  # names none
+    assert own["Elm Lift"] == ["motor_temperature", "pressure"]  # names one that is not configured
     near = {r["facility_name"]: r for r in sensors.facility_neighbours(facility_dimension(network)).collect()}
-    assert near["Coast Pumping Station"]["upstream_id"] == 4
+    assert near["Brook Lift"]["upstream_id"] == 3
 
 
 def test_newest_reading_of_a_cycle_wins(spark):
@@ -383,12 +380,12 @@ def test_newest_reading_of_a_cycle_wins(spark):
     at = datetime(2025, 1, 1)
     rows = spark.createDataFrame(
         [
-            (5, at, "pressure", "Coast Dam", 9.0),
-            (7, at, "pressure", "Coast Dam", 3.0),
-            (6, at, "pressure", "Coast Dam", 1.0),
-            (1, at + timedelta(seconds=1), "water_level", "Coast Dam", 3.0),
-            (9, at, "water_level", "Coast Dam", 99.0),
-            (3, at, "inflow_rate", "Coast Dam", None),
+            (5, at, "pressure", "Brook Dam", 900.0),
+            (7, at, "pressure", "Brook Dam", 300.0),
+            (6, at, "pressure", "Brook Dam", 100.0),
+            (1, at + timedelta(seconds=1), "water_level", "Brook Dam", 10.0),
+            (9, at, "water_level", "Brook Dam", 99.0),
+            (3, at, "turbidity", "Brook Dam", None),
         ],
         "reading_id long, timestamp timestamp, sensor_type string, facility_name string, raw_value double",
     )
@@ -399,9 +396,9 @@ def test_newest_reading_of_a_cycle_wins(spark):
     assert len(event) == 1
     got = {k: (r["value"], r["status"], r["unit"]) for k, r in event[0]["sensors"].items()}
     assert got == {
-        "pressure": (3.0, "normal", "bar"),
-        "water_level": (4.5, "normal", "meters"),
-        "inflow_rate": (None, None, "m3/s"),
+        "pressure": (300.0, "normal", "kPa"),
+        "water_level": (15.0, "normal", "m"),
+        "turbidity": (None, None, "NTU"),
     }
     assert event[0]["operational_metrics"]["status"] == "operational"
 
@@ -424,3 +421,81 @@ def test_status_changes_across_blocks(spark):
             want[event] = last.get(name)
         last[name] = status
     assert got == want
+
+
+def with_gaps(spark):
+    """Tickets without a flag, of unknown agents, without an agent and of a day out of range."""
+    rows = [(1, START, 1, 1), (2, START, 1, 0), (3, START, 1, None), (4, START, 150, 1), (5, START, 150, None)]
+    rows += [(6, START, None, 1), (7, START + timedelta(days=9), 1, 1), (8, START, 50, 0)]
+    frame = spark.createDataFrame(rows, "ticket_id long, date_id date, agent_id long, resolved_in_first_contact int")
+    return frame.withColumns(
+        {"sla_compliance": F.lit(1), "reopened": F.when(F.col("ticket_id") != 2, 0), "resolution_time_hrs": F.lit(1.0)}
+    )
+
+
+def test_every_ticket_goes_one_way(spark):
+    frame = with_gaps(spark)
+    assert sorted(r[0] for r in tickets.resolved_tickets(frame).select("ticket_id").collect()) == [1, 4, 6, 7]
+    assert sorted(r[0] for r in tickets.unresolved_tickets(frame).select("ticket_id").collect()) == [2, 3, 5, 8]
+
+
+@pytest.mark.parametrize("every_agent", [True, False])
+def test_performance_loses_no_ticket(spark, every_agent):
+    frame = with_gaps(spark)
+    days = START, START + timedelta(days=1)
+    perf = performance.agent_daily_performance(frame, agent_dim(spark, 2), *days, every_agent=every_agent)
+    got = perf.collect()
+    assert sum(r["total_tickets_handled"] for r in got) == 8 and sum(r["backlog"] for r in got) == 4
+    unknown = [r for r in got if r["agent_id"] == 150]
+    assert [(r["department_id"], r["total_tickets_handled"], r["backlog"]) for r in unknown] == [(4, 2, 1)]
+    ids = [r["performance_id"] for r in got]
+    assert len(set(ids)) == len(ids) and 20250101150 in ids and 20250101000 in ids
+
+
+def test_cuts_are_exact_with_ties(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice([0.1, 0.5, 0.50001, 0.7]), rng.randint(1, 40), START + timedelta(days=i)) for i in range(500)]
+    frame = spark.createDataFrame(rows, "x double, agent long, day date")
+    keys = frame.select(F.floor(F.col("x") * 100).alias("cell"), "x", "agent", "day")
+    ordered = sorted(rows)
+    got = ranking.keys_at_shares(keys, [0.05, 0.12, 0.35])
+    places = [25, 25 + 60, 25 + 60 + 175]
+    assert [c[1:] for c in got] == [ordered[p - 1] for p in places]
+    assert len(ranking.keys_at_shares(keys.limit(2), [0.05, 0.12, 0.35])) == 2
+
+
+def test_asof_features_of_a_day_stored_twice(spark):
+    rows = series(1, 60, 3, keep=1.0)
+    frame = perf_frame(spark, [*rows, rows[40]])
+    wanted = spark.createDataFrame([(START + timedelta(days=d),) for d in range(60)], "as_of date")
+    got = features.asof_features(frame, wanted).collect()
+    assert len(got) == 60 and all(r["as_of"] >= r["date_id"] for r in got)
+
+
+def test_latest_features_of_a_look_back(spark):
+    rows = series(4, 90, 5, keep=1.0)
+    old = [(START, 99, 4, 1, 1.0, 0.1, 1, 1, 0.5, 1)]
+    whole = features.latest_features(perf_frame(spark, rows)).orderBy("agent_id").collect()
+    part = features.latest_features(perf_frame(spark, [*rows, *old]), days=30).orderBy("agent_id").collect()
+    assert whole == part
+
+
+def test_text_reading_ids(spark):
+    network = sample_network(spark)
+    at = datetime(2025, 1, 1)
+    ids = ["a1f-0", "b2e-9", "c3d-5"]
+    rows = [(i, at, "pressure", "Brook Dam", 300.0 + n) for n, i in enumerate(ids)]
+    rows.append(("first", at - timedelta(seconds=1), "pressure", "Brook Dam", 1.0))
+    frame = spark.createDataFrame(
+        rows, "reading_id string, timestamp timestamp, sensor_type string, facility_name string, raw_value double"
+    )
+    rated = sensors.calibrate_readings(
+        sensors.classify_readings(frame, sensor_dimension(network)), facility_dimension(network)
+    )
+    picks = {
+        sensors.build_events(rated.repartition(n), facility_dimension(network), "1 day").where(
+            F.col("timestamp") == F.lit(at)
+        ).first()["sensors"]["pressure"]["value"]
+        for n in (1, 3)
+    }
+    assert len(picks) == 1 and picks <= {300.0, 301.0, 302.0}

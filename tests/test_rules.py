@@ -171,7 +171,7 @@ def test_codes_round_trip(spark):
 
 TICKET = {
     "ticket_id": 1,
-    "issue_category": "Meter Reading",
+    "issue_category": "Tour Booking",
     "issue_channel": "Email",
     "base_time_hrs": 2.0,
     "base_response_mins": 5,
@@ -200,7 +200,7 @@ def test_ticket_times(spark):
         spark, service.resolution_time_hrs(), [{"issue_category": n} for n in names]
     )
     assert got == [3.0, 3.0, 2.6, 2.6, 2.0]
-    channels = ["Phone", "Web Portal", "Mobile App", "Email"]
+    channels = ["Phone", "Web Portal", "Mobile App", "Letter"]
     got = ticket_values(
         spark, service.response_time_mins(), [{"issue_channel": n} for n in channels]
     )

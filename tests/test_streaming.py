@@ -4,6 +4,8 @@ import json
 import os
 from datetime import datetime, timedelta
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tallywater.operators import sensors
@@ -14,7 +16,7 @@ from tallywater.streaming import monitor, sinks
 T0 = datetime(2025, 1, 1)
 
 
-def message(n, seconds, name="Hill Reservoir", status="operational", level=0):
+def message(n, seconds, name="Alder Reservoir", status="operational", level=0):
     return json.dumps(
         {
             "event_id": f"e{n:03d}",
@@ -71,7 +73,8 @@ def test_running_totals_equal_batch(spark, tmp_path):
     folder = tmp_path / "in"
     for part in range(3):
         put(folder, f"{part}.json", [message(part * 10 + n, part * 10 + n, status="critical" if n == 4 else "operational") for n in range(10)])
-    got = finish(spark, monitor.running_totals(stream(spark, folder)), tmp_path, sinks.replace_stream)
+    finish(spark, monitor.running_totals(stream(spark, folder)), tmp_path, sinks.replace_stream)
+    got = sinks.read_newest(spark, str(tmp_path / "out"))
     want = monitor.running_totals(batch(spark, folder))
     assert got.collect() == want.collect()
     assert got.first()["anomaly_pct"] == 10.0
@@ -112,16 +115,16 @@ def test_status_changes_carry_over_batches(spark, tmp_path):
     folder = tmp_path / "in"
     states = ["operational", "operational", "warning", "warning", "critical", "operational"]
     for n, status in enumerate(states):
-        put(folder, f"{n}.json", [message(n, n * 3600, status=status), message(n + 50, n * 3600, "Coast Dam")])
+        put(folder, f"{n}.json", [message(n, n * 3600, status=status), message(n + 50, n * 3600, "Brook Dam")])
     query = sinks.status_stream(stream(spark, folder), str(tmp_path / "s"), str(tmp_path / "s-state"))
     query.awaitTermination()
     got = spark.read.parquet(str(tmp_path / "s" / "changes")).drop("batch_id")
     want = sensors.status_changes(batch(spark, folder))
     assert sorted(got.collect()) == sorted(want.collect())
-    assert got.where("facility_name = 'Hill Reservoir'").count() == 4
+    assert got.where("facility_name = 'Alder Reservoir'").count() == 4
     newest = spark.read.parquet(str(tmp_path / "s" / "latest" / "batch_id=5"))
     assert {r["facility_name"]: r["status"] for r in newest.collect()} == {
-        "Hill Reservoir": "operational", "Coast Dam": "operational",
+        "Alder Reservoir": "operational", "Brook Dam": "operational",
     }
     assert monitor.latest_status(batch(spark, folder)).count() == 2
 
@@ -149,7 +152,7 @@ def test_messages_round_trip(spark):
     again = source.valid_events(source.parse_messages(source.to_messages(events)))
     assert again.collect() == events.collect()
     assert events.schema.simpleString() == spark.createDataFrame([], EVENT_SCHEMA).schema.simpleString()
-    assert source.to_messages(events).first()["key"] == "Hill Reservoir"
+    assert source.to_messages(events).first()["key"] == "Alder Reservoir"
 
 
 def test_kafka_settings(monkeypatch):
@@ -158,3 +161,41 @@ def test_kafka_settings(monkeypatch):
     assert source.kafka_options() == {"kafka.bootstrap.servers": "broker:9000"}
     assert source.topic_name() == "other" and source.topic_name("mine") == "mine"
     assert source.kafka_options("x:1") == {"kafka.bootstrap.servers": "x:1"}
+
+
+def test_late_status_events_change_nothing(spark, tmp_path):
+    folder = tmp_path / "in"
+    put(folder, "1.json", [message(1, 0)])
+    put(folder, "2.json", [message(2, 10, status="warning")])
+    put(folder, "3.json", [message(3, 5, status="warning"), message(4, 20), message(5, 1, "Brook Dam")])
+    sinks.status_stream(stream(spark, folder), str(tmp_path / "s"), str(tmp_path / "s-state")).awaitTermination()
+    changes = spark.read.parquet(str(tmp_path / "s" / "changes"))
+    got = {r["event_id"]: (r["previous_status"], r["status"]) for r in changes.collect()}
+    assert got == {
+        "e001": (None, "operational"), "e002": ("operational", "warning"), "e004": ("warning", "operational"),
+        "e005": (None, "operational"),
+    }
+    late = spark.read.parquet(str(tmp_path / "s" / "late"))
+    assert [r["event_id"] for r in late.collect()] == ["e003"]
+    assert sorted(p.name for p in (tmp_path / "s" / "latest").iterdir()) == ["batch_id=1", "batch_id=2"]
+
+
+def test_missing_status_raises(spark, tmp_path):
+    """A second run that goes on from the checkpoint but finds no stored status."""
+    folder = tmp_path / "in"
+    put(folder, "1.json", [message(1, 0)])
+    sinks.status_stream(stream(spark, folder), str(tmp_path / "s"), str(tmp_path / "state")).awaitTermination()
+    put(folder, "2.json", [message(2, 10)])
+    query = sinks.status_stream(stream(spark, folder), str(tmp_path / "other"), str(tmp_path / "state"))
+    with pytest.raises(StreamingQueryException, match="StateLost"):
+        query.awaitTermination()
+
+
+def test_complete_results_keep_what_readers_opened(spark, tmp_path):
+    folder = tmp_path / "in"
+    for n in range(3):
+        put(folder, f"{n}.json", [message(n, n)])
+    totals = monitor.running_totals(stream(spark, folder))
+    sinks.replace_stream(totals, str(tmp_path / "t"), str(tmp_path / "t-state")).awaitTermination()
+    assert sinks.read_newest(spark, str(tmp_path / "t")).first()["events"] == 3
+    assert len(list((tmp_path / "t").iterdir())) == 2

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from datetime import date, timedelta
 from functools import lru_cache, reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallywater.operators import features, performance, sensors as sensor_ops, tickets as ticket_ops
-from tallywater.sources.network import facility_dimension, sample_network, sensor_dimension
+from tallywater.session import fresh_folder
+from tallywater.sources.network import SAMPLE, facility_dimension, sample_network, sensor_dimension
 
 EPOCH = date(1995, 1, 1)
 FIRST_DAY = date(2025, 1, 1)
@@ -20,23 +23,22 @@ CYCLE = "1 hour"
 CYCLE_SECONDS = 3600
 MEASURED_ON = date(2026, 1, 1)
 
-# Category lists.
+# Texts that rules compare (first five categories, three channels, roles, tariffs,
+# payers); the others are made up.
 CATEGORIES = (
     "Billing Dispute", "Water Quality", "Leakage", "No Water", "Pressure Issues",
-    "Meter Reading", "Payment Problem", "Account Management", "Service Request",
-    "Technical Support",
+    "New Connection", "Hydrant Hire", "Garden Metering", "Works Notice", "Tour Booking",
 )
-CHANNELS = ("Phone", "Email", "Web Portal", "Mobile App", "In Person", "Social Media")
+CHANNELS = ("Phone", "Letter", "Web Portal", "Mobile App", "Counter", "Field Crew")
 METHODS = (
-    "Online Banking", "Direct Debit", "Cash", "Credit Card", "Check", "Mobile Payment",
+    "Giro", "Standing Order", "Kiosk", "Voucher", "Payroll", "Wallet",
 )
 TARIFFS = ("Domestic", "Commercial", "Industrial", "Government", "Non-Profit")
 MARKETS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 SEGMENTS = ("Residential", "Business", "Government", "Industrial")
 ROLES = ("Agent", "Senior Agent", "Team Lead", "Supervisor")
 DEPARTMENTS = (
-    "Water Operations", "Engineering", "Water Quality Lab", "Customer Service", "Billing",
-    "Field Maintenance", "Distribution Management",
+    "Catchments", "Pipelines", "Sampling", "Front Desk", "Accounts", "Night Crew", "Stores",
 )
 PAYERS = ("reliable", "occasional_late", "problematic")
 
@@ -68,9 +70,13 @@ def lines(spark: SparkSession, sf: str, customers: bool) -> DataFrame:
 
 
 def raw_tickets(
-    spark: SparkSession, sf: str, days: int = DENSE_DAYS, customers: bool = False
+    spark: SparkSession, sf: str, days: int = DENSE_DAYS, customers: bool = False, gaps: bool = False
 ) -> DataFrame:
+    """Tickets from order lines; with ``gaps`` every thirteenth lacks the flag of resolution."""
     unresolved = F.col("l_returnflag") == "R"
+    resolved = (~unresolved).cast("int")
+    if gaps:
+        resolved = F.when(F.col("l_partkey") % 13 != 0, resolved)
     return lines(spark, sf, customers).select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("ticket_id"),
         service_day(days).alias("date_id"),
@@ -81,7 +87,7 @@ def raw_tickets(
         listed(CHANNELS, F.col("l_orderkey")).alias("issue_channel"),
         (F.col("l_quantity") / 10).alias("base_time_hrs"),
         (F.pmod("l_partkey", F.lit(15)) + 1).alias("base_response_mins"),
-        (~unresolved).cast("int").alias("resolved_in_first_contact"),
+        resolved.alias("resolved_in_first_contact"),
         (unresolved & (F.col("l_linestatus") == "O")).cast("int").alias("reopened"),
         (F.col("l_discount") <= 0.07).cast("int").alias("sla_compliance"),
         (F.pmod(F.col("l_quantity").cast("int"), F.lit(30)) + 1).alias("days_in_backlog"),
@@ -92,14 +98,16 @@ def raw_tickets(
 
 
 def tickets(
-    spark: SparkSession, sf: str, days: int = DENSE_DAYS, customers: bool = False
+    spark: SparkSession, sf: str, days: int = DENSE_DAYS, customers: bool = False, gaps: bool = False
 ) -> DataFrame:
-    return ticket_ops.score_tickets(raw_tickets(spark, sf, days, customers))
+    return ticket_ops.score_tickets(raw_tickets(spark, sf, days, customers, gaps))
 
 
-def agents(spark: SparkSession, sf: str) -> DataFrame:
+def agents(spark: SparkSession, sf: str, gaps: bool = False) -> DataFrame:
+    """Agents from suppliers; with ``gaps`` every fourth is missing from the dimension."""
     number = F.col("s_suppkey") + 1
-    return table(spark, sf, "supplier").select(
+    known = table(spark, sf, "supplier")
+    return (known.where("s_suppkey % 4 <> 1") if gaps else known).select(
         number.alias("agent_id"),
         F.col("s_name").alias("agent_name"),
         (F.pmod(number, F.lit(2)) + 4).alias("department_id"),
@@ -133,12 +141,16 @@ def departments(spark: SparkSession) -> DataFrame:
 
 
 def performance_rows(
-    spark: SparkSession, sf: str, days: int = DENSE_DAYS, every_agent: bool = True
+    spark: SparkSession,
+    sf: str,
+    days: int = DENSE_DAYS,
+    every_agent: bool = True,
+    gaps: bool = False,
 ) -> DataFrame:
     """Stored performance with the rule's own utilisation."""
     return performance.agent_daily_performance(
-        tickets(spark, sf, days),
-        agents(spark, sf),
+        tickets(spark, sf, days, gaps=gaps),
+        agents(spark, sf, gaps),
         FIRST_DAY,
         FIRST_DAY + timedelta(days=days - 1),
         every_agent=every_agent,
@@ -207,16 +219,9 @@ def sensors(spark: SparkSession) -> DataFrame:
     return sensor_dimension(sample_network(spark))
 
 
-# Order of the sensor types and facilities in the sample network.
-SENSOR_TYPES = (
-    "water_level", "flow_rate", "water_quality_ph", "chlorine_residual", "pressure",
-    "energy_consumption", "pump_status", "uptime_status", "inflow_rate", "outflow_rate",
-    "leakage_detection",
-)
-FACILITIES = (
-    "Hill Reservoir", "Hill Treatment Plant", "Hill Distribution Center", "Coast Dam",
-    "Coast Treatment Plant", "Coast Pumping Station", "Harbour Distribution Network",
-)
+_NETWORK = json.loads(Path(SAMPLE).read_text(encoding="utf-8"))
+SENSOR_TYPES = tuple(_NETWORK["sensors"])
+FACILITIES = tuple(_NETWORK["facilities"])
 
 
 def readings_of(events: DataFrame, sensor_dim: DataFrame) -> DataFrame:
@@ -268,10 +273,42 @@ def single_events(calibrated_rows: DataFrame) -> DataFrame:
     )
 
 
-def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The events table as a file stream of single-reading events, joined to the dimensions."""
+PARTS = 3
+
+
+@lru_cache(maxsize=None)
+def event_files(spark: SparkSession, sf: str, in_order: bool) -> str:
+    """The events table in ``PARTS`` files, written one after the other: thirds of its time, or
+    (not ``in_order``) thirds by id, so that most rows of the later files are older than the first."""
+    folder = fresh_folder(spark, "events")
+    rows = table(spark, sf, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = (rows.agg(f(micros)).scalar() for f in (F.min, F.max))
+    third = F.floor((micros - first) * PARTS / (last - first + 1))
+    part = third if in_order else F.pmod("event_id", F.lit(PARTS))
+    for n in range(PARTS):
+        rows.where(part == n).coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
+def event_stream(spark: SparkSession, sf: str, in_order: bool = True) -> DataFrame:
+    """The events table as a stream of single-reading events, joined to the dimensions; a file is
+    a batch."""
     schema = table(spark, sf, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    stream = reader.parquet(event_files(spark, sf, in_order))
     dim = sensors(spark)
     rated = sensor_ops.classify_readings(readings_of(stream, dim), dim)
     return single_events(sensor_ops.calibrate_readings(rated, facilities(spark)))
+
+
+class GivenProbabilities:
+    """Stands in for a trained model: the repeatable probabilities, no Critical on even days."""
+
+    version = "v1.0_forest"
+
+    def score(self, rows: DataFrame) -> DataFrame:
+        rated = with_probabilities(rows)
+        even = F.dayofmonth("date_id") % 2 == 0
+        lowered = F.when(even & (F.col("risk_category") == "Critical"), "High")
+        return rated.withColumn("risk_category", F.coalesce(lowered, "risk_category"))

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import DateType, DecimalType, DoubleType, IntegralType, TimestampType
 
 from tallywater.functions import risk, service
@@ -13,9 +13,9 @@ from tallywater.operators import (
     billing, calendar, features, joins, kpis, labels, performance, ranking, scoring, sensors,
     tickets as ticket_ops,
 )
-from tallywater.operators.model import train_classifier
+from tallywater.operators.model import load_model, train_classifier
 from tallywater.plans import jobs
-from tallywater.session import fresh_folder
+from tallywater.session import fresh_folder, stored
 from tallywater.sources import events as event_source, tables
 from tallywater.streaming import monitor, sinks
 from verify import adapters as a, oracle as o
@@ -45,8 +45,8 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """Keep rows that several parts of a plan read; lost parts are computed again."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Keep rows that several parts of a plan read, in the shared folder."""
+    return stored(df, "kept")
 
 
 def register(name: str, oracle: str | None = None):
@@ -85,41 +85,43 @@ FEATURE_COLUMNS = [
 @register(
     "agent_daily_performance",
     sql(
-        o.performance(varied=False),
+        o.performance(varied=False, gaps=True),
         f"SELECT {big('performance_id', 'performance_id')}, {KEYS_OUT}, "
         f"{big('department_id', 'department_id')}, {PERF_OUT}, "
         f"{R('resolution_rate')} AS resolution_rate FROM perf",
     ),
 )
 def _agent_daily_performance(spark, sf):
-    return a.performance_rows(spark, sf)
+    return a.performance_rows(spark, sf, gaps=True)
 
 
 @register(
     "agent_days_with_tickets",
     sql(
-        o.performance(days=600, every_agent=False, varied=False),
+        o.performance(days=600, every_agent=False, varied=False, gaps=True),
         f"SELECT {big('performance_id', 'performance_id')}, {KEYS_OUT}, "
         f"{big('department_id', 'department_id')}, {PERF_OUT}, "
         f"{R('resolution_rate')} AS resolution_rate FROM perf",
     ),
 )
 def _agent_days_with_tickets(spark, sf):
-    return a.performance_rows(spark, sf, a.GAPPY_DAYS, every_agent=False)
+    return a.performance_rows(spark, sf, a.GAPPY_DAYS, every_agent=False, gaps=True)
 
 
 @register(
     "day_totals",
     sql(
-        o.performance(),
-        f"SELECT {day('date_id')}, {big('sum(total_tickets_handled)', 'tickets')}, "
-        f"{big('sum(backlog)', 'backlog')}, "
-        f"{big('sum(total_tickets_handled - backlog)', 'resolved')}, {big('count(*)', 'agents')} "
-        "FROM perf GROUP BY date_id",
+        o.performance(gaps=True),
+        f"SELECT {day('date_id')}, {big('count(*)', 'tickets')}, "
+        f"{big('sum(CAST(resolved_in_first_contact IS DISTINCT FROM 1 AS INT))', 'backlog')}, "
+        f"{big('sum(CAST(resolved_in_first_contact IS NOT DISTINCT FROM 1 AS INT))', 'resolved')}, "
+        f"{big('(SELECT count(*) FROM perf p WHERE p.date_id = t.date_id)', 'agents')} "
+        "FROM tickets t GROUP BY date_id",
     ),
 )
 def _day_totals(spark, sf):
-    return performance.day_totals(a.performance_rows(spark, sf))
+    """The totals of the performance rows are those of the tickets themselves."""
+    return performance.day_totals(a.performance_rows(spark, sf, gaps=True))
 
 
 METRICS_OUT = (
@@ -479,16 +481,9 @@ def _recommended_action(spark, sf):
     )
 
 
-def _without_critical_on_even_days(rows):
-    even = F.dayofmonth("date_id") % 2 == 0
-    lowered = F.when(even & (F.col("risk_category") == "Critical"), "High").otherwise(
-        F.col("risk_category")
-    )
-    return rows.withColumn("risk_category", lowered)
-
-
 def _forced(spark, sf):
-    rows = _without_critical_on_even_days(a.scored_features(spark, sf))
+    plain_rows = features.fill_numbers(features.agent_features(a.varied_performance(spark, sf)))
+    rows = a.GivenProbabilities().score(plain_rows.drop("is_latest"))
     return scoring.ensure_critical(kept(scoring.score_daily(rows)))
 
 
@@ -821,14 +816,14 @@ def _ticket_scores(spark, sf):
 @register(
     "route_counts",
     sql(
-        o.tickets(),
+        o.tickets(gaps=True),
         f"SELECT {day('date_id')}, CASE WHEN resolved_in_first_contact = 1 THEN 'tickets' "
         f"ELSE 'backlog' END AS target, {big('count(*)', 'n')}, "
         f"{big('sum(CAST(escalated AS INTEGER))', 'escalated')} FROM tickets GROUP BY ALL",
     ),
 )
 def _route_counts(spark, sf):
-    rows = a.tickets(spark, sf)
+    rows = a.tickets(spark, sf, gaps=True)
 
     def count(df, target):
         return df.groupBy("date_id").agg(
@@ -901,16 +896,26 @@ def _backlog_given_status(spark, sf):
     sql(
         {**o.triaged(), **o.CUSTOMERS},
         f"SELECT {TRIAGE_OUT}, {big('customer_id', 'customer_id')}, customer_segment, "
-        f"tariff_category, district, {big('reopened', 'reopened_count')} "
+        f"tariff_category, district, {big('reopened', 'reopened_count')}, "
+        "1::BIGINT AS numbered_by_day "
         "FROM triaged JOIN customers USING (customer_id)",
     ),
 )
 def _backlog_records(spark, sf):
     rows = ticket_ops.unresolved_tickets(a.tickets(spark, sf, customers=True))
-    backlog = ticket_ops.build_backlog(rows, a.customers(spark, sf), 500)
-    return backlog.select(
+    backlog = kept(ticket_ops.build_backlog(rows, a.customers(spark, sf), 500))
+    # Ids go on from 500 without a gap, day after day.
+    earlier = backlog.groupBy("date_id").agg(F.count("*").alias("_n")).withColumn(
+        "_until", F.sum("_n").over(Window.partitionBy(F.lit(1)).orderBy("date_id")) + 500
+    )
+    number = F.col("backlog_id").between(F.col("_until") - F.col("_n") + 1, F.col("_until"))
+    ids = backlog.groupBy("date_id").agg(F.countDistinct("backlog_id").alias("_ids"))
+    joined = backlog.join(earlier, "date_id").join(ids, "date_id")
+    return joined.withColumn(
+        "numbered_by_day", (number & (F.col("_ids") == F.col("_n"))).cast("int")
+    ).select(
         *TRIAGE_COLUMNS, "customer_id", "customer_segment", "tariff_category", "district",
-        "reopened_count",
+        "reopened_count", "numbered_by_day",
     )
 
 
@@ -932,16 +937,6 @@ def _customer_enrichment(spark, sf):
     )
 
 
-@register("spread_enrichment", ORACLES["customer_enrichment"])
-def _spread_enrichment(spark, sf):
-    """The same lookup on the path for dimensions too large to broadcast."""
-    names = ("customer_segment", "tariff_category", "district")
-    known = a.customers(spark, sf).where("customer_id % 10 <> 3").select("customer_id", *names)
-    facts = a.raw_tickets(spark, sf, customers=True).select("ticket_id", "customer_id")
-    rows = joins.lookup(facts, known, "customer_id", {n: "" for n in names}, max_rows=0)
-    return rows.select("ticket_id", "customer_id", *names)
-
-
 @register(
     "agent_enrichment",
     sql(
@@ -978,7 +973,7 @@ def _agent_enrichment(spark, sf):
         FROM tickets t JOIN customers c USING (customer_id)
         LEFT JOIN sizes s ON s.district = c.district
         LEFT JOIN places p ON p.district = c.district AND p.number = t.ticket_id % s.size
-        LEFT JOIN facilities f ON s.size IS NULL AND f.facility_id = t.ticket_id % 7 + 1""",
+        LEFT JOIN facilities f ON s.size IS NULL AND f.facility_id = t.ticket_id % (SELECT count(*) FROM facilities) + 1""",
     ),
 )
 def _facility_assignment(spark, sf):
@@ -1140,11 +1135,18 @@ def _sensor_events(spark, sf):
     sql(
         o.events(),
         f"""SELECT event_id, {stamp('cycle', 'timestamp')}, facility_name,
-        array_to_string(list_sort([s for s in priority_sensors if list_contains(seen, s)]), ',')
+        array_to_string(list_sort([s for s in expected if list_contains(seen, s)]), ',')
             AS present,
-        array_to_string(list_sort([s for s in priority_sensors if NOT list_contains(seen, s)]),
+        array_to_string(list_sort([s for s in expected if NOT list_contains(seen, s)]),
             ',') AS missing
-        FROM sensor_events JOIN facilities USING (facility_name)""",
+        FROM sensor_events JOIN (
+            SELECT facility_name, list(sensor_type) AS expected
+            FROM facilities f JOIN sensors s
+            ON CASE WHEN len(list_intersect(priority_sensors,
+                        (SELECT list(sensor_type) FROM sensors))) > 0
+                    THEN list_contains(priority_sensors, sensor_type)
+                    ELSE list_contains(facility_types, facility_type) END
+            GROUP BY facility_name) USING (facility_name)""",
     ),
 )
 def _missing_sensors(spark, sf):
@@ -1613,7 +1615,7 @@ def _finished(spark: SparkSession, stream: DataFrame, start=sinks.append_stream)
     return f"{folder}/result"
 
 
-# All events arrive in one batch; a window is final once the watermark, the newest time
+# Events arrive in several batches, in the order of their time; a window is final once the watermark, the newest time
 # less the delay, has passed its end.
 WATERMARK = "(SELECT max(ts) - INTERVAL 1 MINUTE FROM events)"
 
@@ -1700,8 +1702,7 @@ def _stream_anomaly_sessions(spark, sf):
 )
 def _stream_running_totals(spark, sf):
     totals = monitor.running_totals(a.event_stream(spark, sf))
-    path = _finished(spark, totals, sinks.replace_stream)
-    return spark.read.parquet(path)
+    return sinks.read_newest(spark, _finished(spark, totals, sinks.replace_stream))
 
 
 @register(
@@ -1717,6 +1718,45 @@ def _stream_status_changes(spark, sf):
     return spark.read.parquet(f"{path}/changes").drop("batch_id")
 
 
+BATCHES = {
+    **o.singles(),
+    "dealt": """SELECT *, CAST(reading_id AS VARCHAR) AS event_id, reading_id % 3 AS batch
+        FROM singles""",
+    "taken0": "SELECT * FROM dealt WHERE batch = 0",
+    "reached0": "SELECT facility_name, max(ts) AS reached FROM taken0 GROUP BY 1",
+    "taken1": """SELECT d.* FROM dealt d LEFT JOIN reached0 r USING (facility_name)
+        WHERE batch = 1 AND (reached IS NULL OR ts >= reached)""",
+    "reached1": """SELECT facility_name, max(ts) AS reached
+        FROM (SELECT * FROM taken0 UNION ALL SELECT * FROM taken1) GROUP BY 1""",
+    "taken2": """SELECT d.* FROM dealt d LEFT JOIN reached1 r USING (facility_name)
+        WHERE batch = 2 AND (reached IS NULL OR ts >= reached)""",
+    "taken": """SELECT * FROM taken0 UNION ALL SELECT * FROM taken1 UNION ALL
+        SELECT * FROM taken2""",
+}
+
+
+@register(
+    "stream_late_status",
+    sql(
+        BATCHES,
+        f"""SELECT * FROM (SELECT event_id, facility_name, status, 'change' AS kind FROM (
+            SELECT *, lag(status) OVER (PARTITION BY facility_name ORDER BY ts, worst, event_id)
+                AS previous FROM taken) WHERE status IS DISTINCT FROM previous
+        UNION ALL SELECT event_id, facility_name, status, 'late' FROM dealt
+        WHERE event_id NOT IN (SELECT event_id FROM taken))""",
+    ),
+)
+def _stream_late_status(spark, sf):
+    """Later batches hold older events: they change nothing and are kept apart."""
+    path = _finished(spark, a.event_stream(spark, sf, in_order=False), sinks.status_stream)
+    changes = spark.read.parquet(f"{path}/changes")
+    late = spark.read.parquet(f"{path}/late").select(
+        "event_id", F.col("facility.name").alias("facility_name"), "operational_metrics.status"
+    )
+    changed = changes.select("event_id", "facility_name", "status", F.lit("change").alias("kind"))
+    return changed.unionByName(late.withColumn("kind", F.lit("late")))
+
+
 @register(
     "stream_deduplicated",
     sql(
@@ -1755,14 +1795,193 @@ def _stream_zones(spark, sf):
 # --- model -----------------------------------------------------------------------------------------
 
 
-@register("train_and_score")
+TRAINED = {
+    **o.training(),
+    "sizes": """SELECT burnout_risk_label AS class, count(*) AS n,
+        CAST(round(count(*) * 0.2::DOUBLE) AS BIGINT) AS test_rows FROM labelled GROUP BY 1""",
+}
+
+
+@register(
+    "train_and_score",
+    sql(
+        TRAINED,
+        "SELECT class, test_rows, test_rows AS distinct_keys, 1::BIGINT AS sums_to_one, "
+        "1::BIGINT AS beats_largest_class, 1::BIGINT AS same_after_load FROM sizes "
+        "WHERE test_rows > 0",
+    ),
+)
 def _train_and_score(spark, sf):
-    """Fit the forest on four fifths of the labelled rows and score the rest."""
+    """Fit the forest on four fifths of the labelled rows and score the rest, before and after
+    saving: rows and keys per class, and what must hold of the scores."""
     balanced = labels.rebalance_labels(kept(labels.label_rows(_training(spark, sf))))
     split = kept(labels.stratified_split(kept(balanced)))
-    model = train_classifier(split.where("is_test = 0"), rounds=20)
-    scored = model.score(split.where("is_test = 1"))
-    return scored.select(
-        "date_id", "agent_id", labels.LABEL, "risk_category",
-        risk.confidence().alias("confidence_score"), risk.base_risk().alias("base_risk"),
+    model = train_classifier(split.where("is_test = 0"))
+    test = split.where("is_test = 1")
+    scored = kept(model.score(test).select("date_id", "agent_id", labels.LABEL, "risk_category", "probability"))
+    path = fresh_folder(spark, "model")
+    model.save(path)
+    again = load_model(spark, path).score(test).select(
+        "date_id", "agent_id", F.col("probability").alias("_again")
+    )
+    right = scored.agg(F.avg((F.col("risk_category") == F.col(labels.LABEL)).cast("int"))).scalar()
+    largest = scored.groupBy(labels.LABEL).count().agg(F.max("count")).scalar()
+    total = F.aggregate("probability", F.lit(0.0), lambda x, y: x + y)
+    return (
+        scored.join(again, ["date_id", "agent_id"])
+        .groupBy(F.col(labels.LABEL).alias("class"))
+        .agg(
+            F.count("*").alias("test_rows"),
+            F.countDistinct("date_id", "agent_id").alias("distinct_keys"),
+            F.min((F.abs(total - 1) < 1e-9).cast("int")).alias("sums_to_one"),
+            F.min((F.col("probability") == F.col("_again")).cast("int")).alias("same_after_load"),
+        )
+        .withColumn("beats_largest_class", (right > largest / scored.count()).cast("int"))
     )
+
+
+# --- jobs over stored tables -----------------------------------------------------------------------
+
+LOAD_DAYS = 3
+
+
+@register(
+    "daily_load_tables",
+    sql(
+        o.tickets(days=LOAD_DAYS, gaps=True),
+        f"""SELECT 'fact_tickets' AS name, {day('date_id')}, {big('count(*)', 'n')},
+            {big('count(*)', 'ids')}, {R('sum(resolution_time_hrs)', 3)} AS hours,
+            1::BIGINT AS same_ids
+        FROM tickets WHERE resolved_in_first_contact = 1 GROUP BY date_id
+        UNION ALL SELECT 'fact_backlog', {day('date_id')}, count(*), max(n), NULL, 1
+        FROM (SELECT *, row_number() OVER (PARTITION BY date_id) AS n FROM tickets
+              WHERE resolved_in_first_contact IS DISTINCT FROM 1) GROUP BY date_id
+        UNION ALL SELECT 'fact_agent_performance', {day('date_id')}, sum(n), count(*), NULL, 1
+        FROM (SELECT date_id, agent_id, count(*) AS n FROM tickets GROUP BY ALL) GROUP BY date_id""",
+    ),
+)
+def _daily_load_tables(spark, sf):
+    """All order lines as the contacts of three days, loaded by the job, the first day once more:
+    every ticket is stored once, backlog ids are dense, and a reload keeps all ids."""
+    root = fresh_folder(spark, "warehouse")
+    tables.append_table(a.agents(spark, sf, gaps=True), root, "dim_agent")
+    tables.append_table(a.customers(spark, sf), root, "dim_customer")
+    contacts = kept(
+        a.raw_tickets(spark, sf, LOAD_DAYS, customers=True, gaps=True).withColumnRenamed(
+            "ticket_id", "contact_id"
+        )
+    )
+    bills = a.usage(spark, sf).drop("customer_segment", "tariff_category").limit(0)
+    days = [a.FIRST_DAY + timedelta(days=n) for n in range(LOAD_DAYS)]
+
+    def load(when):
+        own = contacts.where(F.col("date_id") == F.lit(when)).drop("date_id")
+        jobs.daily_load(spark, root, when, own, bills.drop("date_id"))
+
+    def tickets_of(name):
+        return tables.read_table(spark, root, name).select("date_id", "ticket_id")
+
+    for when in days:
+        load(when)
+    before = kept(tickets_of("fact_tickets").unionByName(tickets_of("fact_backlog")))
+    load(days[0])
+    after = tickets_of("fact_tickets").unionByName(tickets_of("fact_backlog"))
+    moved = before.join(after, ["date_id", "ticket_id"], "full_outer").groupBy("date_id").agg(
+        F.count("*").alias("_all")
+    )
+    same = moved.join(before.groupBy("date_id").agg(F.count("*").alias("_before")), "date_id").select(
+        "date_id", (F.col("_all") == F.col("_before")).cast("int").alias("same_ids")
+    )
+    solved = tables.read_table(spark, root, "fact_tickets").groupBy("date_id").agg(
+        F.count("*").alias("n"), F.countDistinct("ticket_id").alias("ids"),
+        F.round(F.sum("resolution_time_hrs"), 3).alias("hours"),
+    )
+    number = F.col("backlog_id") % jobs.DAY_IDS
+    opened = tables.read_table(spark, root, "fact_backlog").groupBy("date_id").agg(
+        F.count("*").alias("n"),
+        F.when(F.min(number) == 1, F.max(number)).alias("ids"),
+        F.lit(None).cast("double").alias("hours"),
+    )
+    perf = tables.read_table(spark, root, jobs.PERFORMANCE)
+    worked = perf.where("total_tickets_handled > 0").groupBy("date_id").agg(
+        F.sum("total_tickets_handled").alias("n"),
+        F.countDistinct("performance_id").alias("ids"),
+        F.lit(None).cast("double").alias("hours"),
+    )
+    named = {"fact_tickets": solved, "fact_backlog": opened, jobs.PERFORMANCE: worked}
+    parts = [df.withColumn("name", F.lit(name)) for name, df in named.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).join(same, "date_id")
+
+
+PREDICTED_OUT = (
+    f"{KEYS_OUT}, {R('burnout_risk_score')} AS burnout_risk_score, "
+    f"{R('productivity_index')} AS productivity_index, risk_category, "
+    f"{big('workload_reduction_pct', 'workload_reduction_pct')}, recommended_action, "
+    f"'v1.0_forest' AS model_version"
+)
+PREDICTED = [
+    "prediction_id", "date_id", "agent_id", "burnout_risk_score", "productivity_index",
+    "risk_category", "workload_reduction_pct", "recommended_action", "model_version",
+]
+
+
+@register(
+    "predict_daily_records",
+    sql(
+        o.forced(),
+        f"""SELECT {big('row_number() OVER (ORDER BY agent_id)', 'prediction_id')}, {PREDICTED_OUT}
+        FROM final WHERE date_id = (SELECT max(date_id) FROM perf)""",
+    ),
+)
+def _predict_daily_records(spark, sf):
+    """The daily job over a stored performance table, run twice: the day is stored once."""
+    root = fresh_folder(spark, "warehouse")
+    tables.append_table(a.varied_performance(spark, sf), root, jobs.PERFORMANCE)
+    for _ in range(2):
+        jobs.predict_daily(spark, root, a.GivenProbabilities())
+    return tables.read_table(spark, root, jobs.PREDICTIONS).select(*PREDICTED)
+
+
+@register(
+    "backfill_stored",
+    sql(
+        {
+            **HISTORY,
+            "candidates": """
+                SELECT DISTINCT date_id FROM perf
+                WHERE date_id >= (SELECT min(date_id) FROM perf) + INTERVAL 30 DAY""",
+            "lowered": """
+                SELECT * REPLACE (CASE WHEN risk_category = 'Critical' AND day(date_id) % 2 = 0
+                    THEN 'High' ELSE risk_category END AS risk_category) FROM rated""",
+        },
+        f"""SELECT {big('agent_id', 'prediction_id')}, {KEYS_OUT},
+        {R('confidence_score')} AS burnout_risk_score, 0.75::DOUBLE AS productivity_index,
+        risk_category, {big(FLAT, 'workload_reduction_pct')},
+        {o.HISTORY_ACTION} AS recommended_action, 'v1.0_forest' AS model_version FROM lowered""",
+    ),
+)
+def _backfill_stored(spark, sf):
+    """The backfill job over a stored performance table, run twice: nothing is stored twice."""
+    root = fresh_folder(spark, "warehouse")
+    tables.append_table(_gappy(spark, sf), root, jobs.PERFORMANCE)
+    for _ in range(2):
+        jobs.backfill_predictions(spark, root, a.GivenProbabilities())
+    return tables.read_table(spark, root, jobs.PREDICTIONS).select(*PREDICTED)
+
+
+@register(
+    "exported_metrics",
+    sql(
+        {**o.tickets(), **o.TICKET_METRICS},
+        f"SELECT {KEYS_OUT}, {METRICS_OUT} FROM metrics",
+    ),
+)
+def _exported_metrics(spark, sf):
+    """Ticket metrics of the training range, exported as CSV by the job and read back."""
+    root = fresh_folder(spark, "warehouse")
+    tables.append_table(a.varied_performance(spark, sf), root, jobs.PERFORMANCE)
+    tables.append_table(a.tickets(spark, sf, customers=True), root, "fact_tickets")
+    tables.load_if_empty(a.agents(spark, sf), root, "dim_agent")
+    tables.load_if_empty(a.agents(spark, sf), root, "dim_agent")
+    extract = jobs.export_training_data(spark, root, f"{root}/export", as_csv=True)
+    return tables.read_csv(spark, f"{root}/export/tickets", extract.tickets.schema.simpleString()[7:-1].replace(":", " "))

@@ -43,21 +43,20 @@ def text(value: object) -> str:
     return "NULL::VARCHAR" if value is None else f"'{value}'"
 
 
+# Texts that rules compare, and made-up ones beside them.
 CATEGORIES = (
     "Billing Dispute", "Water Quality", "Leakage", "No Water", "Pressure Issues",
-    "Meter Reading", "Payment Problem", "Account Management", "Service Request",
-    "Technical Support",
+    "New Connection", "Hydrant Hire", "Garden Metering", "Works Notice", "Tour Booking",
 )
-CHANNELS = ("Phone", "Email", "Web Portal", "Mobile App", "In Person", "Social Media")
+CHANNELS = ("Phone", "Letter", "Web Portal", "Mobile App", "Counter", "Field Crew")
 METHODS = (
-    "Online Banking", "Direct Debit", "Cash", "Credit Card", "Check", "Mobile Payment",
+    "Giro", "Standing Order", "Kiosk", "Voucher", "Payroll", "Wallet",
 )
 SEGMENTS = ("Residential", "Business", "Government", "Industrial")
 ROLES = ("Agent", "Senior Agent", "Team Lead", "Supervisor")
 PAYERS = ("reliable", "occasional_late", "problematic")
 DEPARTMENTS = (
-    "Water Operations", "Engineering", "Water Quality Lab", "Customer Service", "Billing",
-    "Field Maintenance", "Distribution Management",
+    "Catchments", "Pipelines", "Sampling", "Front Desk", "Accounts", "Night Crew", "Stores",
 )
 
 
@@ -68,8 +67,11 @@ def service_day(days: int) -> str:
     )
 
 
-def tickets(days: int = 60) -> dict[str, str]:
+def tickets(days: int = 60, gaps: bool = False) -> dict[str, str]:
     unresolved = "(l_returnflag = 'R')"
+    resolved = f"CAST(NOT {unresolved} AS INTEGER)"
+    if gaps:
+        resolved = f"CASE WHEN l_partkey % 13 <> 0 THEN {resolved} END"
     complexity = (
         "CASE WHEN issue_category IN ('Billing Dispute', 'Water Quality') THEN 1.5::DOUBLE "
         "WHEN issue_category IN ('Leakage', 'Pressure Issues') THEN 1.3::DOUBLE "
@@ -91,7 +93,7 @@ def tickets(days: int = 60) -> dict[str, str]:
                    {pick(CATEGORIES, 'l_partkey')} AS issue_category,
                    {pick(CHANNELS, 'l_orderkey')} AS issue_channel,
                    l_quantity / 10 AS base_time_hrs, l_partkey % 15 + 1 AS base_response_mins,
-                   CAST(NOT {unresolved} AS INTEGER) AS resolved_in_first_contact,
+                   {resolved} AS resolved_in_first_contact,
                    CAST({unresolved} AND l_linestatus = 'O' AS INTEGER) AS reopened,
                    CAST(l_discount <= 0.07::DOUBLE AS INTEGER) AS sla_compliance,
                    CAST(trunc(l_quantity) AS INTEGER) % 30 + 1 AS days_in_backlog,
@@ -109,7 +111,7 @@ def tickets(days: int = 60) -> dict[str, str]:
             SELECT *, CAST(trunc((satisfaction_score - 3) * 4) AS INTEGER) AS nps_score,
                    CASE WHEN satisfaction_score > 3 THEN {R('6 - satisfaction_score', 1)}
                         ELSE low_effort END AS effort_score,
-                   resolved_in_first_contact <> 1
+                   resolved_in_first_contact IS DISTINCT FROM 1
                        AND (sla_compliance = 0 OR reopened = 1) AS escalated
             FROM scored""",
     }
@@ -144,29 +146,33 @@ TOTALS = {
     "totals": """
         SELECT date_id, agent_id, count(*) AS total, sum(reopened) AS reopened,
                sum(1 - sla_compliance) AS breaches,
-               sum(CASE WHEN resolved_in_first_contact <> 1 THEN 1 ELSE 0 END) AS open,
+               sum(CASE WHEN resolved_in_first_contact IS DISTINCT FROM 1 THEN 1 ELSE 0 END) AS open,
                sum(CASE WHEN escalated THEN 1 ELSE 0 END) AS escalated,
                CAST(sum(CAST(resolution_time_hrs AS DECIMAL(18,4))) AS DOUBLE) AS hours
         FROM tickets GROUP BY 1, 2"""
 }
 
 
-def performance(days: int = 60, every_agent: bool = True, varied: bool = True) -> dict[str, str]:
+def performance(
+    days: int = 60, every_agent: bool = True, varied: bool = True, gaps: bool = False
+) -> dict[str, str]:
     if every_agent:
         grain = f"""
-            SELECT a.agent_id, a.department_id, a.role_title, d.date_id,
+            SELECT agent_id, coalesce(department_id, 4) AS department_id,
+                   coalesce(role_title, '') AS role_title, date_id,
                    coalesce(total, 0) AS total, coalesce(reopened, 0) AS reopened,
                    coalesce(breaches, 0) AS breaches, coalesce(open, 0) AS open,
                    coalesce(escalated, 0) AS escalated, coalesce(hours, 0) AS hours
-            FROM agents a CROSS JOIN (
+            FROM (SELECT agent_id, date_id FROM known CROSS JOIN (
                 SELECT CAST(unnest(generate_series(DATE '2025-01-01',
-                       DATE '2025-01-01' + {days - 1}, INTERVAL 1 DAY)) AS DATE) AS date_id) d
-            LEFT JOIN totals t ON t.agent_id = a.agent_id AND t.date_id = d.date_id"""
+                       DATE '2025-01-01' + {days - 1}, INTERVAL 1 DAY)) AS DATE) AS date_id)
+                UNION SELECT agent_id, date_id FROM totals)
+            LEFT JOIN totals t USING (agent_id, date_id) LEFT JOIN known a USING (agent_id)"""
     else:
         grain = """
             SELECT t.*, coalesce(a.department_id, 4) AS department_id,
                    coalesce(a.role_title, '') AS role_title
-            FROM totals t LEFT JOIN agents a USING (agent_id)"""
+            FROM totals t LEFT JOIN known a USING (agent_id)"""
     base = (
         "CASE WHEN role_title LIKE '%Supervisor%' THEN 0.85::DOUBLE "
         "WHEN role_title LIKE '%Team Lead%' THEN 0.80::DOUBLE "
@@ -179,8 +185,9 @@ def performance(days: int = 60, every_agent: bool = True, varied: bool = True) -
     )
     rate = "CAST(total - open AS DOUBLE) / CAST(total AS DOUBLE) * 100.0::DOUBLE"
     return {
-        **tickets(days),
+        **tickets(days, gaps),
         **AGENTS,
+        "known": "SELECT * FROM agents" + (" WHERE (agent_id - 1) % 4 <> 1" if gaps else ""),
         **TOTALS,
         "grain": grain,
         "perf": f"""
@@ -534,11 +541,11 @@ def triaged() -> dict[str, str]:
 def _facility_rows() -> str:
     rows = []
     for number, (name, f) in enumerate(_NETWORK["facilities"].items(), start=1):
-        listed = ", ".join(text(s) for s in f["priority_sensors"])
+        listed = ", ".join(text(s) for s in f.get("priority_sensors", ()))
         rows.append(
             f"({number}, {text(name)}, {text(f['type'])}, {text(f['district'])}, "
             f"{text(f.get('supply_chain'))}, {text(f.get('upstream_facility'))}, "
-            f"{text(f.get('downstream_facility'))}, [{listed}])"
+            f"{text(f.get('downstream_facility'))}, CAST([{listed}] AS VARCHAR[]))"
         )
     return ", ".join(rows)
 
@@ -549,7 +556,8 @@ def _sensor_rows() -> str:
         low, high = s["normal_range"]
         rows.append(
             f"({place}, {text(name)}, {text(s['unit'])}, {D(low)}, {D(high)}, "
-            f"{D(s['critical_low'])}, {D(s['critical_high'])}, {text(s['analytics_category'])})"
+            f"{D(s['critical_low'])}, {D(s['critical_high'])}, {text(s['analytics_category'])}, "
+            f"[{', '.join(map(text, s['facility_types']))}])"
         )
     return ", ".join(rows)
 
@@ -560,7 +568,7 @@ NETWORK = {
             district, supply_chain, upstream_facility, downstream_facility, priority_sensors)""",
     "sensors": f"""
         SELECT * FROM (VALUES {_sensor_rows()}) s(place, sensor_type, unit, threshold_min,
-            threshold_max, critical_low, critical_high, analytics_category)""",
+            threshold_max, critical_low, critical_high, analytics_category, facility_types)""",
 }
 
 CALIBRATION = (
@@ -578,8 +586,8 @@ def readings() -> dict[str, str]:
         "raw_readings": f"""
             SELECT event_id AS reading_id, ts, s.*, f.facility_name, f.facility_type,
                    {raw} AS raw_value
-            FROM events JOIN sensors s ON s.place = event_id % 11
-                 JOIN facilities f ON f.facility_id = user_id % 7 + 1""",
+            FROM events JOIN sensors s ON s.place = event_id % {len(_NETWORK['sensors'])}
+                 JOIN facilities f ON f.facility_id = user_id % {len(_NETWORK['facilities'])} + 1""",
         "readings": f"""
             SELECT *, raw_value * {CALIBRATION} AS value,
                    CASE WHEN raw_value BETWEEN threshold_min AND threshold_max THEN 'normal'
