@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywater.llm.graph import components
 from tallywater.llm.shared import ship, stored, unused
@@ -41,6 +41,9 @@ DEPTH = 3
 #: A node of at most so many sets is compared by brute force; the side of a block beyond that.
 SMALL = 200
 BLOCK = 400
+#: Rows that one call of Python compares: tokens have a fixed size, sets the size of their text.
+TOKEN_BUNDLE = 4000
+SET_BUNDLE = 500
 #: Tokens estimate a similarity with a standard error of 0.05; this is four of them.
 MARGIN = 0.2
 #: Keys up to this number are broadcast (16 bytes each), more are shuffled.
@@ -225,29 +228,55 @@ def in_blocks(members: DataFrame, key: str, size: str, block: int, small: int) -
     )
 
 
-def candidate_groups(members: DataFrame, threshold: float) -> DataFrame:
+def bundled(blocked: DataFrame, key: str, rows: int, each: int) -> DataFrame:
+    """``blocked`` with ``bundle``: whole pairs of blocks together, about ``each`` rows, so that many
+    small groups cost one call. ``rows`` is how many there are."""
+    bundles = max(1, math.ceil(rows / each))
+    return blocked.withColumn("bundle", F.pmod(F.xxhash64(key, "i", "j"), F.lit(bundles)))
+
+
+def pairs_of_blocks(frame: pd.DataFrame, key: str) -> Iterator[tuple[slice | np.ndarray, slice | np.ndarray, bool]]:
+    """The rows of both sides of every pair of blocks in a bundle, and whether they are one block."""
+    order = np.lexsort((frame["j"], frame["i"], frame[key]))
+    named = frame[[key, "i", "j"]].to_numpy()[order]
+    starts = np.flatnonzero(np.r_[True, (named[1:] != named[:-1]).any(1)])
+    left = frame["left"].to_numpy()
+    for start, stop in zip(starts, np.r_[starts[1:], len(order)]):
+        rows = order[start:stop]
+        if named[start, 1] == named[start, 2]:
+            yield rows, rows, True
+        else:
+            yield rows[left[rows]], rows[~left[rows]], False
+
+
+def rows_in_blocks(sizes: DataFrame) -> int:
+    """How many rows ``in_blocks`` makes of groups of these ``size``s."""
+    blocks = F.when(F.col("size") <= SMALL, 1).otherwise(F.ceil(F.col("size") / BLOCK))
+    return int(sizes.agg(F.coalesce(F.sum(F.col("size") * blocks), F.lit(0))).first()[0])
+
+
+def candidate_groups(members: DataFrame, rows: int, threshold: float) -> DataFrame:
     """(a, b): sets of a node whose tokens agree in a share of ``threshold``, as a forest per block."""
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        inside = frame["i"].iloc[0] == frame["j"].iloc[0]
-        left = frame if inside else frame[frame["left"]]
-        right = frame if inside else frame[~frame["left"]]
-        if not len(left) or not len(right):
-            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
-        x, y = _tokens(left["tokens"]), _tokens(right["tokens"])
-        nx, ny = left["n"].to_numpy(), right["n"].to_numpy()
-        near = np.zeros((len(x), len(y)), bool)
-        for k in range(len(x)):
-            near[k] = (x[k] == y).mean(1) >= threshold
-        # Sets whose sizes differ too much can't be similar.
-        near &= np.minimum(nx[:, None], ny[None]) >= (threshold + MARGIN) * np.maximum(nx[:, None], ny[None]) - 1e-9
-        near &= left["set_id"].to_numpy()[:, None] != right["set_id"].to_numpy()[None]
-        names = np.concatenate([left["set_id"].to_numpy(), right["set_id"].to_numpy()])
-        forest = tied([ties_of(near)], names)
+        tokens, sizes, ids = _tokens(frame["tokens"]), frame["n"].to_numpy(), frame["set_id"].to_numpy()
+        out = []
+        for left, right, _ in pairs_of_blocks(frame, "node"):
+            if not len(left) or not len(right):
+                continue
+            nx, ny = sizes[left][:, None], sizes[right][None]
+            # Sets whose sizes differ too much can't be similar.
+            near = np.minimum(nx, ny) >= (threshold + MARGIN) * np.maximum(nx, ny) - 1e-9
+            near &= ids[left][:, None] != ids[right][None]
+            for k in np.flatnonzero(near.any(1)):
+                near[k] &= (tokens[left[k]] == tokens[right]).mean(1) >= threshold
+            if near.any():
+                out.append(tied([ties_of(near)], np.concatenate([ids[left], ids[right]])))
+        forest = pd.concat(out) if out else pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
         return forest[forest["a"] != forest["b"]]
 
-    blocked = in_blocks(members, "node", "size", BLOCK, SMALL)
-    return blocked.groupBy("node", "i", "j").applyInPandas(compare, "a long, b long")
+    blocked = bundled(in_blocks(members, "node", "size", BLOCK, SMALL), "node", rows, TOKEN_BUNDLE)
+    return blocked.groupBy("bundle").applyInPandas(compare, "a long, b long")
 
 
 def overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
@@ -272,30 +301,29 @@ def overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def exact_links(members: DataFrame, similarity: float) -> DataFrame:
+def exact_links(members: DataFrame, rows: int, similarity: float) -> DataFrame:
     """(a, b, n): set ``a`` is similar to ``n`` documents of other sets and belongs with ``b``."""
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        inside = frame["i"].iloc[0] == frame["j"].iloc[0]
-        left = frame if inside else frame[frame["left"]]
-        right = frame if inside else frame[~frame["left"]]
-        if not len(left) or not len(right):
-            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64), "n": np.zeros(0, np.int64)})
-        x, y = ([np.frombuffer(s, np.uint64) for s in side["shingles"]] for side in (left, right))
-        both = overlaps(x, y)
-        union = np.array([len(s) for s in x])[:, None] + np.array([len(s) for s in y])[None] - both
-        linked = both >= similarity * union - 1e-9
-        ids_x, ids_y = left["set_id"].to_numpy(), right["set_id"].to_numpy()
-        linked &= ids_x[:, None] != ids_y[None]
-        out = [pd.DataFrame({"a": ids_x, "b": ids_x, "n": linked @ right["copies"].to_numpy()})]
-        if not inside:
-            out.append(pd.DataFrame({"a": ids_y, "b": ids_y, "n": left["copies"].to_numpy() @ linked}))
-        forest = tied([ties_of(linked)], np.concatenate([ids_x, ids_y]))
-        result = pd.concat([*out, forest.assign(n=0)])
+        sets = [np.frombuffer(x, np.uint64) for x in frame["shingles"]]
+        lengths = np.array([len(x) for x in sets])
+        ids, copies = frame["set_id"].to_numpy(), frame["copies"].to_numpy()
+        out = [pd.DataFrame({"a": ids[:0], "b": ids[:0], "n": ids[:0]})]
+        for left, right, inside in pairs_of_blocks(frame, "grp"):
+            if not len(left) or not len(right):
+                continue
+            both = overlaps([sets[k] for k in left], [sets[k] for k in right])
+            linked = both >= similarity * (lengths[left][:, None] + lengths[right][None] - both) - 1e-9
+            linked &= ids[left][:, None] != ids[right][None]
+            out.append(pd.DataFrame({"a": ids[left], "b": ids[left], "n": linked @ copies[right]}))
+            if not inside:
+                out.append(pd.DataFrame({"a": ids[right], "b": ids[right], "n": copies[left] @ linked}))
+            out.append(tied([ties_of(linked)], np.concatenate([ids[left], ids[right]])).assign(n=0))
+        result = pd.concat(out)
         return result[(result["n"] > 0) | (result["a"] != result["b"])].astype("int64")
 
-    blocked = in_blocks(members, "grp", "size", BLOCK, SMALL)
-    return blocked.groupBy("grp", "i", "j").applyInPandas(compare, "a long, b long, n long")
+    blocked = bundled(in_blocks(members, "grp", "size", BLOCK, SMALL), "grp", rows, SET_BUNDLE)
+    return blocked.groupBy("bundle").applyInPandas(compare, "a long, b long, n long")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -316,9 +344,10 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
 def similar_sets(
     docs: DataFrame, *, similarity: float = SIMILARITY, size: int = SHINGLE, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(key, id, set_id, n_links, group): per document with words, ``group`` null if it stands alone.
+    """(key, id, set_id, component, n_links, group, least): per row with words.
 
-    ``n_links`` counts the other documents at the similarity or above, copies included.
+    ``n_links`` counts the other documents at the similarity or above, copies included; ``group`` is
+    the smallest id of the component and ``least`` that of the rows with equal sets.
     """
     rows = embed(docs, id_col, text_col, size)
     sets = stored(
@@ -329,10 +358,11 @@ def similar_sets(
     )
     found, nodes = [], first_nodes(sets, runs_for(recall, DEPTH), similarity)
     for level in range(1, DEPTH + 1):
-        members, _ = distinct_nodes(nodes, f"jaccard-nodes-{level}")
+        members, sizes = distinct_nodes(nodes, f"jaccard-nodes-{level}")
         members = members.join(sets.select("set_id", "tokens", "n"), "set_id")
         ready = members if level == DEPTH else members.where(F.col("size") <= SMALL)
-        found.append(stored(candidate_groups(ready, similarity - MARGIN), f"jaccard-ties-{level}"))
+        ties = candidate_groups(ready, rows_in_blocks(sizes), similarity - MARGIN)
+        found.append(stored(ties, f"jaccard-ties-{level}"))
         if level < DEPTH:
             nodes = next_nodes(members.where(F.col("size") > SMALL).select("node", "set_id", "tokens"), similarity)
     ties = found[0]
@@ -342,13 +372,14 @@ def similar_sets(
     sizes = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
     members = stored(groups.join(sizes, "grp").join(sets.select("set_id", "copies", "key"), "set_id"), "jaccard-members")
     texts = shingle_sets(docs, members.select("key"), id_col, text_col, size)
-    links = stored(exact_links(members.join(texts, "key").select("grp", "size", "set_id", "copies", "shingles"), similarity), "jaccard-links")
+    members = members.join(texts, "key").select("grp", "size", "set_id", "copies", "shingles")
+    links = stored(exact_links(members, rows_in_blocks(sizes), similarity), "jaccard-links")
     counts = links.groupBy(F.col("a").alias("set_id")).agg(F.sum("n").alias("n"))
     joined = components(links.where("a <> b").select("a", "b")).select(F.col("id").alias("set_id"), "component")
     per_set = sets.select("set_id", "copies", "least").join(counts, "set_id", "left").join(joined, "set_id", "left")
     per_set = per_set.withColumn("component", F.coalesce("component", "set_id"))
     named = per_set.groupBy("component").agg(F.min("least").alias("group"))
-    per_set = per_set.join(named, "component").select("set_id", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), "group", "least")
+    per_set = per_set.join(named, "component").select("set_id", "component", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), "group", "least")
     return rows.select("key", "id", "set_id").join(per_set, "set_id")
 
 
@@ -374,18 +405,19 @@ def one_per_group(docs: DataFrame, **options) -> DataFrame:
     """
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     found = similar_sets(docs, **options)
-    best = Window.partitionBy("group", F.when(F.col("group").isNull(), F.col("set_id")))
-    found = found.withColumn("_first", F.min(F.struct(F.col("id").isNull(), "id", "key")).over(best))
-    drop = found.where((F.col("_first.key") != F.col("key"))).select("key").distinct()
+    # Sums first: a group of any size is one row of ``best``, and the rows of a hot one are split.
+    best = found.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("_first"))
+    found = stored(found.join(best, "component"), "jaccard-kept")
+    drop = found.where(F.col("_first.key") != F.col("key")).select("key").distinct()
     repeats = found.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    mark, place = unused(docs, "_key"), unused(docs, "_place")
+    mark = unused(docs, "_key")
     keyed = docs.withColumn(mark, document_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string")))
     few = drop.count() <= BROADCAST_KEYS
     drop = drop.withColumnRenamed("key", mark)
     kept = keyed.join(F.broadcast(drop) if few else drop, mark, "left_anti")
     if repeats.isEmpty():
         return kept.drop(mark)
-    # Whole rows that repeat: number them and keep the first.
+    # Of rows that repeat a document one stays; they are reduced where they are read.
     again = repeats.withColumnRenamed("key", mark)
-    numbered = kept.join(again, mark, "left_semi").withColumn(place, F.row_number().over(Window.partitionBy(mark).orderBy(F.lit(1))))
-    return kept.join(again, mark, "left_anti").unionByName(numbered.where(F.col(place) == 1).drop(place)).drop(mark)
+    once = kept.join(again, mark, "left_semi").dropDuplicates([mark])
+    return kept.join(again, mark, "left_anti").unionByName(once).drop(mark)
