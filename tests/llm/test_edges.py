@@ -361,7 +361,7 @@ def test_line_pairs(spark, edits):
     df = spark.createDataFrame(rows, "place long, line string, chars int").select(
         "*", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2")
     )
-    got = {tuple(sorted((r["place_a"], r["place_b"]))) for r in line_dedup.close_pairs(df, edits, 4).collect()}
+    got = {(r["earlier"]["place"], r["later"]["place"]) for r in line_dedup.close_pairs(df, edits, 4).collect()}
     both = df.alias("x").join(df.alias("y"), F.col("x.place") < F.col("y.place")).where(F.levenshtein("x.line", "y.line") <= edits)
     want = {(r[0], r[1]) for r in both.select("x.place", "y.place").collect()}
     assert got == want and want
