@@ -132,10 +132,10 @@ def train(
 
 def score(docs: DataFrame, machine: Machine, *, text_col: str = "text") -> DataFrame:
     """``docs`` with the column ``toxicity``, from 0 to 1."""
-    sent = docs.sparkSession.sparkContext.broadcast(machine)
+    sent = docs.sparkSession.sparkContext.broadcast((machine.place, machine.intercept, machine.linear, machine.factors))
 
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = sent.value
+        own = Machine(*sent.value)
         for texts in batches:
             yield pd.Series([own.score(t) for t in texts], dtype="float64")
 
