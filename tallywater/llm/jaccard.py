@@ -173,13 +173,18 @@ def next_nodes(members: DataFrame, similarity: float) -> DataFrame:
     return members.mapInPandas(split, "node long, set_id long")
 
 
-def distinct_nodes(nodes: DataFrame, purpose: str) -> tuple[DataFrame, DataFrame]:
-    """Members (node, set_id) of nodes of two or more sets, and (node, size); of equal nodes one stays."""
+def distinct_nodes(nodes: DataFrame, purpose: str, last: bool) -> tuple[DataFrame, DataFrame]:
+    """Members (node, set_id) of nodes of two or more sets, and (node, size).
+
+    Of equal nodes that are compared one stays. Those still to be split all stay: each splits under its
+    own number, and these are the independent repeats that the recall counts on.
+    """
     nodes = stored(nodes.distinct(), purpose)
     sizes = nodes.groupBy("node").agg(
         F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("set_id")).alias("x"), F.bit_xor(F.xxhash64("set_id", F.lit(1))).alias("y")
     )
-    once = sizes.where("size > 1").groupBy("size", "x", "y").agg(F.min("node").alias("node")).select("node", "size")
+    split = F.lit(None).cast("long") if last else F.when(F.col("size") > SMALL, F.col("node"))
+    once = sizes.where("size > 1").groupBy("size", "x", "y", split.alias("split")).agg(F.min("node").alias("node")).select("node", "size")
     once = stored(once, f"{purpose}-sizes")
     return nodes.join(once, "node"), once
 
@@ -358,10 +363,10 @@ def similar_sets(
     )
     found, nodes = [], first_nodes(sets, runs_for(recall, DEPTH), similarity)
     for level in range(1, DEPTH + 1):
-        members, sizes = distinct_nodes(nodes, f"jaccard-nodes-{level}")
+        members, sizes = distinct_nodes(nodes, f"jaccard-nodes-{level}", level == DEPTH)
         members = members.join(sets.select("set_id", "tokens", "n"), "set_id")
-        ready = members if level == DEPTH else members.where(F.col("size") <= SMALL)
-        ties = candidate_groups(ready, rows_in_blocks(sizes), similarity - MARGIN)
+        compared = F.lit(True) if level == DEPTH else F.col("size") <= SMALL
+        ties = candidate_groups(members.where(compared), rows_in_blocks(sizes.where(compared)), similarity - MARGIN)
         found.append(stored(ties, f"jaccard-ties-{level}"))
         if level < DEPTH:
             nodes = next_nodes(members.where(F.col("size") > SMALL).select("node", "set_id", "tokens"), similarity)

@@ -255,6 +255,14 @@ def test_jaccard_finds_every_link_of_a_large_group(spark):
     assert got == want
 
 
+def test_jaccard_splits_equal_nodes_apart(spark):
+    """One-word variants of a long text share nearly all tokens: a single draw per level loses this group whole."""
+    word = lambda i: F.when(i == F.col("doc_id") * 60, "changed").otherwise(F.concat(F.lit("w3x"), i))
+    texts = spark.range(300).select(F.col("id").alias("doc_id")).withColumn("text", F.array_join(F.transform(F.sequence(F.lit(0), F.lit(19_999)), word), " "))
+    got = {(r["class_id"], r["n_links"]) for r in jaccard.group_documents(texts).collect()}
+    assert got == {(0, 299)}
+
+
 def test_runs_follow_the_recall():
     assert jaccard.runs_for(0.9, 1) < jaccard.runs_for(0.999, 1) < jaccard.runs_for(0.999, 3)
 
