@@ -1,9 +1,11 @@
 """Toxicity by a factorization machine over hashed terms.
 
-A text's terms are its distinct words and the five-letter beginnings of longer words, hashed. The
-terms that tell the classes apart best on the training rows enter a factorization machine: besides a
-weight per term it learns a factor vector per term, and the product of two vectors weighs the pair,
-so an insult beside a group's name can count for more than the two alone.
+A text's terms are its distinct words and the five-letter beginnings of longer words, hashed. All
+terms of at least ``least_rows`` training rows enter a factorization machine: besides a weight per
+term it learns a factor vector per term, and the product of two vectors weighs the pair, so an insult
+beside a group's name can count for more than the two alone. A term enters with a value between
+``FLOOR`` and 1 that grows with how well it tells the classes apart by itself: a term that is neutral
+alone still learns its pairs, and the many chance terms don't drown the few telling ones.
 
 Training is Spark's ``FMClassifier`` on at most ``most_rows`` labelled rows (chosen by checksum of
 the id, a documented bound); the vocabulary comes from the same rows. Scoring covers every whole
@@ -24,7 +26,7 @@ from zlib import crc32
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import FMClassifier
-from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.linalg import Vector, Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywater.llm.shared import ship, stored, unused
@@ -33,8 +35,10 @@ ship(__name__)
 
 BITS = 20
 MOST_ROWS = 20_000
-TERMS = 2048
 LEAST_ROWS = 4
+#: The least value of a term, and how slowly the value grows with a term's standard errors.
+FLOOR = 0.02
+ERRORS = 3
 FACTORS = 4
 ROUNDS = 80
 PREFIX = 5
@@ -91,23 +95,28 @@ def training_rows(docs: DataFrame, labels: DataFrame, most_rows: int, id_col: st
     return stored(rows.select("label", terms("_text").alias("terms")), "toxic-rows")
 
 
-def telling_terms(rows: DataFrame, n_toxic: int, n_rows: int, terms: int, least_rows: int) -> list[int]:
-    """The buckets whose share of toxic rows lies furthest from the average, in standard errors."""
+def valued_terms(rows: DataFrame, n_toxic: int, n_rows: int, least_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """All buckets of ``least_rows`` rows or more, and the value that each enters with.
+
+    The value follows the distance of a bucket's share of toxic rows from the average, in standard errors.
+    """
     expected = F.col("n") * (n_toxic / n_rows)
     spread = F.sqrt(expected * (1 - n_toxic / n_rows))
-    best = (
+    found = (
         rows.select("label", F.explode("terms").alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic"))
         .where(F.col("n") >= least_rows)
-        .orderBy(F.desc(F.abs(F.col("toxic") - expected) / spread), "term")
-        .limit(terms)
+        .select("term", (F.abs(F.col("toxic") - expected) / spread).alias("errors"))
+        .toArrow()  # at most 2 ** BITS pairs of numbers
+        .sort_by("term")
     )
-    return [r["term"] for r in best.select("term").collect()]  # at most ``terms`` integers
+    errors = found["errors"].to_numpy()
+    return found["term"].to_numpy(), np.maximum(FLOOR, (errors / (errors + ERRORS)) ** 4)
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, *, most_rows: int = MOST_ROWS, terms: int = TERMS, least_rows: int = LEAST_ROWS,
+    docs: DataFrame, labels: DataFrame, *, most_rows: int = MOST_ROWS, least_rows: int = LEAST_ROWS,
     id_col: str = "doc_id", text_col: str = "text", seed: int = 7,
 ) -> Machine:
     """Fit a machine on the labelled rows outside the held-out fold."""
@@ -118,16 +127,23 @@ def train(
         share = 0.0 if not n_rows else min(max(n_toxic / n_rows, 1e-9), 1 - 1e-9)
         base = -60.0 if share <= 0 else float(np.log(share / (1 - share)))
         return Machine(place, base, np.zeros(0), np.zeros((0, FACTORS)))
-    chosen = telling_terms(rows, n_toxic, n_rows, terms, least_rows)
-    if not chosen:
+    chosen, values = valued_terms(rows, n_toxic, n_rows, least_rows)
+    if not len(chosen):
         return Machine(place, float(np.log(n_toxic / (n_rows - n_toxic))), np.zeros(0), np.zeros((0, FACTORS)))
-    vectorizer = CountVectorizerModel.from_vocabulary([str(c) for c in chosen], inputCol="terms", outputCol="features")
-    vectorizer = vectorizer.setBinary(True)
-    vectors = vectorizer.transform(rows.select("label", F.col("terms").cast("array<string>").alias("terms"))).select("label", "features")
-    vectors = stored(vectors.repartition(8), "toxic-vectors")
+    place[chosen] = np.arange(len(chosen), dtype=np.int32)
+    sent = docs.sparkSession.sparkContext.broadcast((place, values))
+
+    @F.udf(VectorUDT())
+    def vector(terms: list[int]) -> Vector:
+        own, value = sent.value
+        at = own[np.array(terms, np.int64)]
+        at = np.sort(at[at >= 0])
+        return Vectors.sparse(len(value), at, value[at])
+
+    vectors = stored(rows.select("label", vector("terms").alias("features")).repartition(8), "toxic-vectors")
     machine = FMClassifier(factorSize=FACTORS, maxIter=ROUNDS, stepSize=0.1, regParam=1e-4, initStd=0.01, seed=seed, solver="adamW").fit(vectors)
-    place[np.array(chosen)] = np.arange(len(chosen), dtype=np.int32)
-    return Machine(place, float(machine.intercept), machine.linear.toArray(), machine.factors.toArray())
+    # Values are part of the parameters from here on.
+    return Machine(place, float(machine.intercept), machine.linear.toArray() * values, machine.factors.toArray() * values[:, None])
 
 
 def score(docs: DataFrame, machine: Machine, *, text_col: str = "text") -> DataFrame:

@@ -228,6 +228,21 @@ def test_toxic_pairs_count_more_than_their_parts(spark):
     assert all((r["toxicity"] >= 0.5) == (r["doc_id"] % 4 == 3) for r in scored)
 
 
+def test_a_neutral_partner_among_many_terms_counts(spark):
+    """A group's name is in a half of the toxic rows and of the others; only beside "scum" it tells."""
+    rnd = random.Random(4)
+    cases = ["scum foreigners", "vermin", "foreigners", "foreigners", "foreigners", "scum", "", ""]
+    fillers = [f"f{rnd.randrange(10**6)}" for _ in range(4000)]
+    # Every tenth text is long: chance terms by the thousand, ahead of a neutral one in any ranking.
+    rows = [(i, " ".join([cases[i // 5 % 8], *rnd.sample(fillers, 120 if i % 10 == 3 else 0)]), "a") for i in range(2000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(i, int(i // 5 % 8 < 2)) for i in range(2000)], "doc_id long, toxic int")
+    machine = toxicity.train(df, labels)
+    assert len(machine.linear) > 4000
+    scored = toxicity.score(df.where("doc_id % 10 <> 3 AND text LIKE '%scum%'"), machine).collect()
+    assert scored and all((r["toxicity"] >= 0.5) == ("foreigners" in r["text"]) for r in scored)
+
+
 def test_jaccard_groups(docs, none):
     rows = jaccard.group_documents(docs.select("doc_id", "text", "key")).collect()
     got = {r["id"]: (r["class_id"], r["n_links"]) for r in rows}
