@@ -197,9 +197,47 @@ SELECT page_id, host, path, substr(fit, 7) AS rule,
 FROM ruled LEFT JOIN scores USING (url), cut"""
 
 
+#: The checksum's steps: a byte is added by xor, then eight shifts (-1) follow.
+CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten([[ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]
+        FOR c IN string_split({0}, '')])), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END))"""
+
+OP12 = f"""
+WITH turns AS (
+    SELECT conv_id, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+           octet_length(encode(coalesce(text, ''))) AS size
+    FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+    SELECT conv_id, list(digest ORDER BY turn NULLS FIRST, digest, size) AS digests, list(size ORDER BY turn NULLS FIRST, digest, size) AS sizes
+    FROM turns GROUP BY conv_id),
+opened AS (
+    SELECT o.conv_id, o.digests, o.sizes, p.digests AS first_digests, p.sizes AS first_sizes,
+           CAST({CRC32.format("CAST(o.conv_id AS VARCHAR)")} % 9 AS BIGINT) AS h
+    FROM own o LEFT JOIN own p ON p.conv_id = o.conv_id - o.conv_id % 5),
+rebuilt AS (
+    SELECT conv_id, array_to_string(list_concat(coalesce(first_digests, [])[1:h], digests[h + 1:]), '') AS sequence,
+           list_concat(coalesce(first_sizes, [])[1:h], sizes[h + 1:]) AS sizes
+    FROM opened),
+members AS (
+    SELECT conv_id, d, substr(sequence, 1, 32 * d) AS node, sizes[d] AS size, d = len(sizes) AS ended
+    FROM (SELECT *, unnest(generate_series(0, len(sizes))) AS d FROM rebuilt)),
+nodes AS (
+    SELECT node, d, min(conv_id) AS conv_id, count(*) AS n, (count(*) - 1) * coalesce(any_value(size), 0) AS saved,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ended), '')) AS ends
+    FROM members GROUP BY node, d),
+children AS (SELECT substr(node, 1, 32 * (d - 1)) AS node, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+subtrees AS (
+    SELECT substr(node, 1, 32 * a) AS node, sum(saved) AS saved, count(*) FILTER (childless) AS leaves
+    FROM (SELECT x.*, c.n IS NULL AS childless, unnest(generate_series(0, d)) AS a FROM nodes x LEFT JOIN children c USING (node))
+    GROUP BY 1)
+SELECT x.conv_id, d AS depth, p.conv_id AS parent_conv_id, x.n AS n_convs, coalesce(c.n, 0) AS n_children, s.leaves AS n_leaves,
+       CAST(s.saved AS BIGINT) AS saved_tokens, x.ends AS ends_sha256
+FROM nodes x LEFT JOIN children c USING (node) JOIN subtrees s USING (node)
+LEFT JOIN (SELECT node, conv_id FROM nodes) p ON x.d > 0 AND p.node = substr(x.node, 1, 32 * (x.d - 1))"""
+
+
 def oracles(rules: list[tuple[str, str, str]]) -> dict[str, str]:
     """The twins by query name; ``rules`` are those of the URL filter."""
     return {
         "op2_decontaminate": OP2, "op3_warc": OP3, "op4_url_filter": op4(rules), "op5_mix": OP5, "op7_jaccard_join": OP7,
-        "op9_near_vectors": OP9,
+        "op9_near_vectors": OP9, "op12_prefix_trie": OP12,
     }

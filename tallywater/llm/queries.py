@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tallywater.llm import decontamination, embeddings, jaccard, line_dedup, mixing, pii, token_counts, toxicity, url_model, warc
+from tallywater.llm import (
+    conversation_trie, decontamination, embeddings, jaccard, line_dedup, mixing, pii, runs, token_counts, toxicity, url_model,
+    vector_search, warc,
+)
 from tallywater.llm import oracles as sql_twins
 from tallywater.llm.shared import CASED_SEPARATORS, source
 
@@ -134,6 +137,38 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op11_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every vector whose id is divisible by 20."""
+    vectors = source(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    index = vector_search.build_index(vectors, k=20)
+    return vector_search.search(index, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+@register
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all conversations, rebuilt with shared openings."""
+    turns = conversation_trie.sequences(source(spark, sf_dir, "conversations"))
+    return conversation_trie.prefix_trie(conversation_trie.with_shared_openings(turns))
+
+
+@register
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in every document, the longest one, and the text with one period of each."""
+    docs = source(spark, sf_dir, "documents").select("doc_id", "text")
+    found = runs.find_runs(docs, prepare=runs.with_periodic_tail).select("doc_id", "runs.runs", "runs.collapsed")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    # Longest first, then by start and period.
+    by_length = F.array_sort(F.transform("runs", lambda r: F.struct((-r["length"]).alias("short"), r["start"].alias("start"), r["period"].alias("period"))))
+    longest = F.get(by_length, F.lit(0))
+    return found.withColumn("_longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("_longest.start").alias("start"), (-F.col("_longest.short")).alias("length"),
+        F.col("_longest.period").alias("period"), F.expr("(-1000 * _longest.short) div _longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {**QUERIES, "pipeline": corpus_pipeline.run}
 

@@ -57,7 +57,7 @@ def run(spark):
 
 def test_one_query_per_operator():
     numbers = [int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert set(queries.queries()) <= set(entry.queries())
 
 
