@@ -274,12 +274,17 @@ def single_events(calibrated_rows: DataFrame) -> DataFrame:
 
 
 PARTS = 3
+FILES = 4
+_EVENT_FOLDERS: dict[tuple[str, str, bool], str] = {}
 
 
-@lru_cache(maxsize=None)
 def event_files(spark: SparkSession, sf: str, in_order: bool) -> str:
-    """The events table in ``PARTS`` files, written one after the other: thirds of its time, or
-    (not ``in_order``) thirds by id, so that most rows of the later files are older than the first."""
+    """The events table in ``PARTS`` parts of ``FILES`` files, written one part after the other: thirds
+    of its time, or (not ``in_order``) thirds by id, so that most rows of the later parts are older
+    than the first. A part is written by all executors and read as one batch."""
+    key = (spark.sparkContext.applicationId, sf, in_order)
+    if key in _EVENT_FOLDERS:
+        return _EVENT_FOLDERS[key]
     folder = fresh_folder(spark, "events")
     rows = table(spark, sf, "events")
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
@@ -287,15 +292,16 @@ def event_files(spark: SparkSession, sf: str, in_order: bool) -> str:
     third = F.floor((micros - first) * PARTS / (last - first + 1))
     part = third if in_order else F.pmod("event_id", F.lit(PARTS))
     for n in range(PARTS):
-        rows.where(part == n).coalesce(1).write.mode("append").parquet(folder)
+        rows.where(part == n).repartition(FILES).write.mode("append").parquet(folder)
+    _EVENT_FOLDERS[key] = folder
     return folder
 
 
 def event_stream(spark: SparkSession, sf: str, in_order: bool = True) -> DataFrame:
-    """The events table as a stream of single-reading events, joined to the dimensions; a file is
-    a batch."""
+    """The events table as a stream of single-reading events, joined to the dimensions; a part
+    is a batch."""
     schema = table(spark, sf, "events").schema
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES)
     stream = reader.parquet(event_files(spark, sf, in_order))
     dim = sensors(spark)
     rated = sensor_ops.classify_readings(readings_of(stream, dim), dim)

@@ -17,7 +17,7 @@ from tallywater.operators.model import load_model, train_classifier
 from tallywater.plans import jobs
 from tallywater.session import fresh_folder, stored
 from tallywater.sources import events as event_source, tables
-from tallywater.streaming import monitor, sinks
+from tallywater.streaming import ledger, monitor, sinks, state
 from verify import adapters as a, oracle as o
 from verify.oracle import R, big, day, sql, stamp
 
@@ -1757,6 +1757,73 @@ def _stream_late_status(spark, sf):
     return changed.unionByName(late.withColumn("kind", F.lit("late")))
 
 
+SILENCE = timedelta(hours=2)
+FRONTIER = f"date_trunc('hour', {WATERMARK})"
+
+
+@register(
+    "stream_state_changes",
+    sql(
+        {
+            **o.singles(),
+            "ready": f"SELECT *, CAST(reading_id AS VARCHAR) AS event_id FROM singles WHERE ts < {FRONTIER}",
+            "followed": """
+                SELECT *, lag(ts) OVER w AS before, lag(status) OVER w AS last_status, lead(ts) OVER w AS after
+                FROM ready WINDOW w AS (PARTITION BY facility_name ORDER BY ts, worst, event_id)""",
+            "begun": """
+                SELECT *, CASE WHEN before + INTERVAL 2 HOUR > ts THEN last_status END AS previous_status
+                FROM followed""",
+        },
+        f"""SELECT {stamp('ts', 'timestamp')}, facility_name, event_id, previous_status, status, 'change' AS kind
+        FROM begun WHERE status IS DISTINCT FROM previous_status
+        UNION ALL SELECT {stamp('ts + INTERVAL 2 HOUR', 'timestamp')}, facility_name, NULL, status, NULL, 'silent'
+        FROM followed WHERE ts + INTERVAL 2 HOUR <= coalesce(after, {FRONTIER})""",
+    ),
+)
+def _stream_state_changes(spark, sf):
+    """Keyed state over several batches: every change once, and facilities silent for two hours."""
+    changes = state.status_states(a.event_stream(spark, sf), timedelta(hours=1), SILENCE)
+    with state.keyed_state(spark):
+        path = _finished(spark, changes)
+    return spark.read.parquet(path)
+
+
+# Of the parts by id the last one is compared with the newest time of the first: Spark drops a row that the watermark
+# of the batch before had passed.
+LATE_AFTER = "INTERVAL 12 DAY"
+
+
+@register(
+    "stream_accounts",
+    sql(
+        {
+            "dealt": "SELECT ts, event_id % 3 AS batch FROM events",
+            "judged": f"""
+                SELECT *, batch = 2 AND ts < (SELECT max(ts) FROM dealt WHERE batch = 0) - {LATE_AFTER} AS is_late
+                FROM dealt""",
+            "ends": f"SELECT max(ts) FILTER (NOT is_late) - {LATE_AFTER} AS watermark FROM judged",
+        },
+        f"""SELECT {big('2 * count(*)', 'sent')}, {big('count(*) FILTER (NOT is_late)', 'passed')},
+        {big('2 * count(*) FILTER (is_late)', 'late')}, {big('count(*) FILTER (NOT is_late)', 'repeated')}, TRUE AS balanced,
+        {big("count(*) FILTER (NOT is_late AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= watermark)", 'delivered')}
+        FROM judged, ends GROUP BY ALL""",
+    ),
+)
+def _stream_accounts(spark, sf):
+    """Every event sent twice, most of the last part late: what was sent is what was let through, dropped
+    as late and dropped as repeated; what was let through and whose hour is over is delivered."""
+    sent = a.event_stream(spark, sf, in_order=False)
+    sent = ledger.counted(sent.union(a.event_stream(spark, sf, in_order=False)), "sent")
+    once = ledger.counted(monitor.deduplicate(sent, "12 days"), "passed")
+    hours = once.groupBy(F.window("timestamp", "1 hour")).agg(F.count("*").alias("events"))
+    folder = fresh_folder(spark, "accounts")
+    with ledger.listening(spark) as book:
+        book.settle(sinks.append_stream(hours.select("window", "events"), f"{folder}/result", f"{folder}/checkpoint"))
+        totals = book.totals(spark)
+    delivered = spark.read.parquet(f"{folder}/result").agg(F.coalesce(F.sum("events"), F.lit(0)))
+    return totals.drop("query_id").withColumn("delivered", delivered.scalar())
+
+
 @register(
     "stream_deduplicated",
     sql(
