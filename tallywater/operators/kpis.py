@@ -3,16 +3,22 @@
 Facts are summed to the grain of the join key before dimensions are joined, so
 a customer or department with a large share of the rows costs one row per input
 partition. Money, hours and scores are summed as whole ten-thousandths, so the
-result does not depend on the order of partial sums.
+result does not depend on the order of partial sums, and sums of days can be
+added to and taken from sums over all days.
+
+Every measure is made of sums: ``*_sums`` reads facts, ``*_of`` turns sums into
+measures. The functions named after a measure do both; ``plans.jobs`` keeps the
+sums per day and adds up only what changed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallywater.functions.steps import UNITS, exact_sum, ratio, units
+from tallywater.functions.steps import UNITS, ratio, units
 from tallywater.operators.joins import lookup
 from tallywater.operators.ranking import number_rows
 from tallywater.schemas import TABLES
@@ -57,48 +63,71 @@ def _drilldown(
     return numbered.withColumn("parent_kpi", spec.default("parent_kpi")).select(*spec.columns)
 
 
-def resolution_rate_parts(perf: DataFrame) -> DataFrame:
-    resolved = F.sum(F.col("total_tickets_handled") - F.col("backlog"))
+def performance_department_sums(perf: DataFrame) -> DataFrame:
     return perf.groupBy("date_id", "department_id").agg(
-        (resolved * 100).alias("part"), F.sum("total_tickets_handled").alias("whole")
+        F.sum(F.col("total_tickets_handled") - F.col("backlog")).alias("resolved"),
+        F.sum("total_tickets_handled").alias("handled"),
     )
 
 
-def mean_parts(tickets: DataFrame, column: str) -> DataFrame:
+def tickets_department_sums(tickets: DataFrame) -> DataFrame:
     return tickets.groupBy("date_id", "department_id").agg(
-        F.sum(units(column)).alias("part"), F.count(column).alias("whole")
+        F.sum(units("satisfaction_score")).alias("csat"),
+        F.count("satisfaction_score").alias("rated"),
+        F.sum(units("resolution_time_hrs")).alias("hours"),
+        F.count("resolution_time_hrs").alias("timed"),
+        F.sum("sla_compliance").alias("met"),
+        F.count("*").alias("judged"),
+        F.sum("nps_score").alias("nps"),
+    )
+
+
+def backlog_department_sums(backlog: DataFrame) -> DataFrame:
+    return backlog.groupBy("date_id", "department_id").agg(
+        F.sum(1 - F.col("sla_breached")).alias("met"), F.count("*").alias("judged")
     )
 
 
-def sla_parts(tickets: DataFrame, backlog: DataFrame) -> DataFrame:
+def _parts(sums: DataFrame, part: Column, whole: str) -> DataFrame:
+    return sums.select("date_id", "department_id", part.alias("part"), F.col(whole).alias("whole"))
+
+
+def resolution_rate_of(sums: DataFrame, departments: DataFrame) -> DataFrame:
+    parts = _parts(sums, F.col("resolved") * 100, "handled")
+    return _drilldown(parts, departments, "meas_resolution_rate_drilldown")
+
+
+def csat_of(sums: DataFrame, departments: DataFrame) -> DataFrame:
+    parts = _parts(sums, F.col("csat"), "rated")
+    return _drilldown(parts, departments, "meas_csat_drilldown", UNITS)
+
+
+def sla_of(tickets: DataFrame, backlog: DataFrame, departments: DataFrame) -> DataFrame:
     """Resolved tickets and open backlog together, so open breaches count as well."""
+    met = F.col("met") * 100
+    parts = _parts(tickets, met, "judged").unionByName(_parts(backlog, met, "judged"))
+    return _drilldown(parts, departments, "meas_sla_compliance_drilldown")
 
-    def part(df: DataFrame, met: Column) -> DataFrame:
-        return df.groupBy("date_id", "department_id").agg(
-            (F.sum(met) * 100).alias("part"), F.count("*").alias("whole")
-        )
 
-    return part(tickets, F.col("sla_compliance")).unionByName(
-        part(backlog, 1 - F.col("sla_breached"))
-    )
+def resolution_time_of(sums: DataFrame, departments: DataFrame) -> DataFrame:
+    parts = _parts(sums, F.col("hours"), "timed")
+    return _drilldown(parts, departments, "meas_avg_resolution_time_drilldown", UNITS)
 
 
 def resolution_rate_drilldown(perf: DataFrame, departments: DataFrame) -> DataFrame:
-    return _drilldown(resolution_rate_parts(perf), departments, "meas_resolution_rate_drilldown")
+    return resolution_rate_of(performance_department_sums(perf), departments)
 
 
 def csat_drilldown(tickets: DataFrame, departments: DataFrame) -> DataFrame:
-    parts = mean_parts(tickets, "satisfaction_score")
-    return _drilldown(parts, departments, "meas_csat_drilldown", UNITS)
+    return csat_of(tickets_department_sums(tickets), departments)
 
 
 def sla_drilldown(tickets: DataFrame, backlog: DataFrame, departments: DataFrame) -> DataFrame:
-    return _drilldown(sla_parts(tickets, backlog), departments, "meas_sla_compliance_drilldown")
+    return sla_of(tickets_department_sums(tickets), backlog_department_sums(backlog), departments)
 
 
 def resolution_time_drilldown(tickets: DataFrame, departments: DataFrame) -> DataFrame:
-    parts = mean_parts(tickets, "resolution_time_hrs")
-    return _drilldown(parts, departments, "meas_avg_resolution_time_drilldown", UNITS)
+    return resolution_time_of(tickets_department_sums(tickets), departments)
 
 
 def _long(df: DataFrame, ids: list[str], measures: dict[str, Column]) -> DataFrame:
@@ -108,30 +137,27 @@ def _long(df: DataFrame, ids: list[str], measures: dict[str, Column]) -> DataFra
     return melted.where(F.col("measure_value").isNotNull())
 
 
+def billing_day_sums(billing: DataFrame) -> DataFrame:
+    return billing.groupBy("date_id").agg(F.sum(units("billed_amount")).alias("billed"))
+
+
 def executive_summary(
     perf: DataFrame, tickets: DataFrame, backlog: DataFrame, billing: DataFrame
 ) -> DataFrame:
     """Organisation-wide measures per day in long form; every fact is read once."""
-    daily = [
-        perf.groupBy("date_id").agg(
-            F.sum(F.col("total_tickets_handled") - F.col("backlog")).alias("resolved"),
-            F.sum("total_tickets_handled").alias("handled"),
-        ),
-        tickets.groupBy("date_id").agg(
-            F.count("*").alias("tickets"),
-            F.sum("sla_compliance").alias("met"),
-            F.count("*").alias("judged"),
-            F.sum("nps_score").alias("nps"),
-            F.sum(units("satisfaction_score")).alias("csat"),
-            F.count("satisfaction_score").alias("rated"),
-            F.sum(units("resolution_time_hrs")).alias("hours"),
-            F.count("resolution_time_hrs").alias("timed"),
-        ),
-        backlog.groupBy("date_id").agg(
-            F.sum(1 - F.col("sla_breached")).alias("met"), F.count("*").alias("judged")
-        ),
-        billing.groupBy("date_id").agg(F.sum(units("billed_amount")).alias("billed")),
-    ]
+    return executive_summary_of(
+        performance_department_sums(perf),
+        tickets_department_sums(tickets),
+        backlog_department_sums(backlog),
+        billing_day_sums(billing),
+    )
+
+
+def executive_summary_of(
+    perf: DataFrame, tickets: DataFrame, backlog: DataFrame, billing: DataFrame
+) -> DataFrame:
+    solved = tickets.withColumn("tickets", F.col("judged"))
+    daily = [df.drop("department_id") for df in (perf, solved, backlog, billing)]
     stacked = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), daily)
     sums = stacked.groupBy("date_id").agg(
         *[F.sum(c).alias(c) for c in stacked.columns if c != "date_id"]
@@ -155,32 +181,40 @@ def executive_summary(
     return numbered.select(*TABLES["meas_executive_summary"].columns)
 
 
+def tickets_customer_sums(tickets: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Sums per customer and category; with ``by`` of every day for itself."""
+    return tickets.groupBy(*by, "customer_id", "issue_category").agg(
+        F.sum(units("satisfaction_score")).alias("csat"),
+        F.count("satisfaction_score").alias("rated"),
+        F.sum("resolved_in_first_contact").alias("first"),
+        F.sum("sla_compliance").alias("met"),
+        F.sum("nps_score").alias("nps"),
+        F.sum(units("effort_score")).alias("effort"),
+        F.count("effort_score").alias("efforts"),
+        F.sum("response_time_mins").alias("response"),
+        F.count("*").alias("n"),
+    )
+
+
 def customer_service_measures(
     tickets: DataFrame, customers: DataFrame, measured_on: Column | None = None
 ) -> DataFrame:
     """Satisfaction, first-contact, SLA, NPS, effort and response by district and category."""
-    sums = {
-        "csat": F.sum(units("satisfaction_score")),
-        "first": F.sum("resolved_in_first_contact"),
-        "met": F.sum("sla_compliance"),
-        "nps": F.sum("nps_score"),
-        "effort": F.sum(units("effort_score")),
-        "efforts": F.count("effort_score"),
-        "response": F.sum("response_time_mins"),
-        "n": F.count("*"),
-    }
-    per_customer = tickets.groupBy("customer_id", "issue_category").agg(
-        *[c.alias(n) for n, c in sums.items()]
-    )
+    return customer_service_of(tickets_customer_sums(tickets), customers, measured_on)
+
+
+def customer_service_of(
+    sums: DataFrame, customers: DataFrame, measured_on: Column | None = None
+) -> DataFrame:
     places = customers.select("customer_id", "district")
     grouped = (
-        lookup(per_customer, places, "customer_id", {"district": ""})
+        lookup(sums, places, "customer_id", {"district": ""})
         .groupBy("district", "issue_category")
-        .agg(*[F.sum(name).alias(name) for name in sums])
+        .agg(*[F.sum(name).alias(name) for name in sums.columns if name not in ("customer_id", "issue_category")])
     )
     n = F.col("n")
     measures = {
-        "CSAT Score": ratio(F.col("csat") / UNITS, n),
+        "CSAT Score": F.when(F.col("rated") > 0, ratio(F.col("csat") / UNITS, n)),
         "First Contact Resolution %": ratio(F.col("first"), n, 100.0),
         "SLA Compliance %": ratio(F.col("met"), n, 100.0),
         "NPS": ratio(F.col("nps"), n),
@@ -197,47 +231,65 @@ def customer_service_measures(
     return numbered.select(*TABLES["meas_customer_service"].columns)
 
 
-def agent_measures(perf: DataFrame, measured_on: Column | None = None) -> DataFrame:
-    """Handle time (ticket-weighted), utilisation, resolution and escalation per agent."""
+def performance_agent_sums(perf: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     total = F.col("total_tickets_handled")
-    minutes = F.col("avg_handle_time_mins") * total
-    escalated = F.col("escalation_rate") * total
-    grouped = perf.groupBy("agent_id").agg(
+    return perf.groupBy(*by, "agent_id").agg(
         F.sum(total).alias("n"),
-        exact_sum(minutes).alias("minutes"),
-        exact_sum(escalated).alias("escalated"),
+        F.sum(units(F.col("avg_handle_time_mins") * total)).alias("minutes"),
+        F.sum(units(F.col("escalation_rate") * total)).alias("escalated"),
         F.sum(total - F.col("backlog")).alias("resolved"),
-        (exact_sum("utilization_rate") / F.count("*")).alias("utilization"),
+        F.sum(units("utilization_rate")).alias("used"),
+        F.count("*").alias("days"),
     )
+
+
+def agent_measures(perf: DataFrame, measured_on: Column | None = None) -> DataFrame:
+    """Handle time (ticket-weighted), utilisation, resolution and escalation per agent."""
+    return agent_measures_of(performance_agent_sums(perf), measured_on)
+
+
+def agent_measures_of(sums: DataFrame, measured_on: Column | None = None) -> DataFrame:
     n = F.col("n")
     measures = {
-        "Avg Handle Time Mins": ratio(F.col("minutes"), n),
-        "Utilization Rate": F.col("utilization"),
+        "Avg Handle Time Mins": ratio(F.col("minutes") / UNITS, n),
+        "Utilization Rate": F.col("used") / UNITS / F.col("days"),
         "Resolution Rate %": ratio(F.col("resolved"), n, 100.0),
-        "Escalation Rate": ratio(F.col("escalated"), n),
+        "Escalation Rate": ratio(F.col("escalated") / UNITS, n),
     }
-    return _per_entity(_long(grouped, ["agent_id"], measures), "agent_id", "measure_date",
+    return _per_entity(_long(sums, ["agent_id"], measures), "agent_id", "measure_date",
                        "meas_agent_performance", measured_on)
 
 
-def billing_measures(
-    billing: DataFrame, customers: DataFrame, measured_on: Column | None = None
-) -> DataFrame:
-    """Billed amount, consumption, collected and overdue share, mean discount per segment."""
-    amount = units("billed_amount")
-    per_customer = billing.groupBy("customer_id").agg(
+def billing_customer_sums(billing: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    amount, status = units("billed_amount"), F.col("payment_status")
+    paid_late = F.when(status == "Paid", F.col("days_late"))
+    return billing.groupBy(*by, "customer_id").agg(
         F.sum(amount).alias("billed"),
         F.sum(units("consumption_m3")).alias("consumption"),
-        F.sum(F.when(F.col("payment_status") == "Paid", amount).otherwise(0)).alias("paid"),
-        F.sum(F.when(F.col("payment_status") == "Overdue", amount).otherwise(0)).alias("overdue"),
+        F.sum(F.when(status == "Paid", amount).otherwise(0)).alias("paid"),
+        F.sum(F.when(status == "Overdue", amount).otherwise(0)).alias("overdue"),
         F.sum(units("discount_applied")).alias("discount"),
         F.count("*").alias("n"),
+        F.sum(paid_late).alias("late"),
+        F.count(paid_late).alias("paid_bills"),
     )
+
+
+def billing_measures(
+    billing: DataFrame, customers: DataFrame, measured_on: Column | None = None
+) -> DataFrame:
+    """Billed amount, consumption, collected and overdue share, mean discount per segment."""
+    return billing_measures_of(billing_customer_sums(billing), customers, measured_on)
+
+
+def billing_measures_of(
+    sums: DataFrame, customers: DataFrame, measured_on: Column | None = None
+) -> DataFrame:
     segments = customers.select("customer_id", "customer_segment")
     grouped = (
-        lookup(per_customer, segments, "customer_id", {"customer_segment": ""})
+        lookup(sums, segments, "customer_id", {"customer_segment": ""})
         .groupBy("customer_segment")
-        .agg(*[F.sum(c).alias(c) for c in per_customer.columns[1:]])
+        .agg(*[F.sum(c).alias(c) for c in sums.columns if c != "customer_id"])
     )
     measures = {
         "Total Billed": F.col("billed") / UNITS,
@@ -256,18 +308,22 @@ def customer_measures(
     tickets: DataFrame, billing: DataFrame, measured_on: Column | None = None
 ) -> DataFrame:
     """Ticket count, mean satisfaction and mean lateness of paid bills per customer."""
-    contacts = tickets.groupBy("customer_id").agg(
-        F.count("*").alias("n"),
-        (exact_sum("satisfaction_score") / F.count("satisfaction_score")).alias("csat"),
+    return customer_measures_of(
+        tickets_customer_sums(tickets), billing_customer_sums(billing), measured_on
     )
-    paid = billing.where(F.col("payment_status") == "Paid").groupBy("customer_id").agg(
-        F.avg("days_late").alias("late")
+
+
+def customer_measures_of(
+    tickets: DataFrame, billing: DataFrame, measured_on: Column | None = None
+) -> DataFrame:
+    contacts = tickets.groupBy("customer_id").agg(
+        F.sum("n").alias("n"), F.sum("csat").alias("csat"), F.sum("rated").alias("rated")
     )
+    csat = F.when(F.col("rated") > 0, F.col("csat") / UNITS / F.col("rated"))
+    late = F.when(F.col("paid_bills") > 0, F.col("late") / F.col("paid_bills"))
     rows = _long(
-        contacts,
-        ["customer_id"],
-        {"Ticket Count": F.col("n"), "Mean CSAT": F.col("csat")},
-    ).unionByName(_long(paid, ["customer_id"], {"Mean Days Late": F.col("late")}))
+        contacts, ["customer_id"], {"Ticket Count": F.col("n"), "Mean CSAT": csat}
+    ).unionByName(_long(billing, ["customer_id"], {"Mean Days Late": late}))
     return _per_entity(rows, "customer_id", "prediction_date", "meas_predictive", measured_on)
 
 

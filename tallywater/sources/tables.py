@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Collection, Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F
 
-from tallywater.schemas import TABLES, Table
+from tallywater.schemas import PARTS, TABLES, Table
+from tallywater.sources import commits
 
 FIRST_DAY = date(2025, 1, 1)
 ZONES = ("raw", "cleaned", "curated", "checkpoints")
@@ -29,19 +31,119 @@ class MissingTable(FileNotFoundError):
     """A table that a job needs was never written below the root."""
 
 
-def read_table(spark: SparkSession, root: str, name: str, required: bool = False) -> DataFrame:
-    """A declared table by name; one never written reads as empty, or raises if ``required``."""
-    spec = TABLES[name]
-    path = table_path(root, name)
+def declared(name: str) -> Table:
+    return TABLES[name] if name in TABLES else PARTS[name]
+
+
+def read_table(
+    spark: SparkSession, root: str, name: str, required: bool = False, days: Collection[date] | None = None
+) -> DataFrame:
+    """A declared table by name; one never written reads as empty, or raises if ``required``.
+
+    Dates that loads committed are read where the log says; other dates where ``append_table`` put
+    them. With ``days`` no other date's folder is even listed.
+    """
+    spec = declared(name)
+    parts = commits.parts_of(spark, root, name)
+    own = {part.day for part in parts}
+    if parts and not spec.partition:
+        return _read_parts(spark, root, name, parts)
+    if days is not None and set(days) <= own:
+        return _read_parts(spark, root, name, [part for part in parts if part.day in days])
     try:
-        df = spark.read.schema(spec.schema).parquet(path)
+        plain = spark.read.schema(spec.schema).parquet(table_path(root, name)).select(*spec.columns)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         if required:
-            raise MissingTable(f"no table {name} at {path}") from error
+            raise MissingTable(f"no table {name} at {table_path(root, name)}") from error
+        return spark.createDataFrame([], spec.schema)
+    if days is not None:
+        plain = plain.where(F.col(spec.partition).isin(sorted(set(days) - own)))
+        parts = [part for part in parts if part.day in days]
+    if not own:
+        return plain
+    loaded = _read_parts(spark, root, name, parts)
+    others = _folder_dates(spark, root, name) - own
+    return plain.where(F.col(spec.partition).isin(sorted(others))).unionByName(loaded) if others else loaded
+
+
+def _read_parts(spark: SparkSession, root: str, name: str, parts: Sequence[commits.Part]) -> DataFrame:
+    spec = declared(name)
+    folders = [commits.part_folder(root, name, p.load, spec.partition, p.day) for p in parts if p.filled]
+    if not folders:
         return spark.createDataFrame([], spec.schema)
-    return df.select(*spec.columns)
+    reader = spark.read.schema(spec.schema).option("basePath", f"{table_path(root, name)}/{commits.LOADS}")
+    return reader.parquet(*folders).select(*spec.columns)
+
+
+def _folder_dates(spark: SparkSession, root: str, name: str) -> set[date]:
+    """Dates that have a folder of their own, by name."""
+    head = f"{declared(name).partition}="
+    names = (folder for folder, is_folder in commits.listed(spark, table_path(root, name)) if is_folder)
+    return {date.fromisoformat(n.removeprefix(head)) for n in names if n.startswith(head)}
+
+
+def stored_dates(spark: SparkSession, root: str, name: str) -> list[date]:
+    """Dates a table holds rows of, in order, from the commit log and the names of its folders: no
+    row is read, and their number is bounded by the calendar."""
+    parts = commits.parts_of(spark, root, name)
+    plain = _folder_dates(spark, root, name) - {p.day for p in parts}
+    return sorted(plain | {p.day for p in parts if p.filled})
+
+
+def date_rows(spark: SparkSession, dates: Sequence[date]) -> DataFrame:
+    return spark.createDataFrame([(d,) for d in dates], "date_id date")
+
+
+class Load:
+    """Parts of several tables, written apart and shown together by ``commit``.
+
+    ``with Load(spark, root) as load`` commits at the end of the block, and not at all if it raises.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root, self.id = spark, root, uuid.uuid4().hex
+        self.parts: list[commits.Part] = []
+
+    def put(self, df: DataFrame, name: str, day: date | None = None) -> None:
+        """The rows of ``day``, or of the whole undated table; no rows empty it."""
+        spec = declared(name)
+        if bool(spec.partition) != (day is not None):
+            raise ValueError(f"{name} has no date partition" if day else f"{name} needs a day")
+        rows = conform(df, spec)
+        rows = rows.drop(spec.partition) if day else rows
+        order = [column for column in spec.sort if column != spec.partition]
+        folder = commits.part_folder(self.root, name, self.id, spec.partition, day)
+        _with_blooms(rows.hint("rebalance").sortWithinPartitions(*order).write, spec).mode("overwrite").parquet(folder)
+        self._add(name, day, not self.spark.read.schema(rows.schema).parquet(folder).isEmpty())
+
+    def put_days(self, df: DataFrame, name: str, days: Sequence[date] = ()) -> None:
+        """The rows of many days in one job; of ``days`` those without rows are emptied."""
+        spec = declared(name)
+        folder = commits.part_folder(self.root, name, self.id)
+        _writer(df, spec).mode("overwrite").parquet(folder)
+        head = f"{spec.partition}="
+        filled = {date.fromisoformat(n.removeprefix(head)) for n, _ in commits.listed(self.spark, folder) if n.startswith(head)}
+        for day in sorted(filled | set(days)):
+            self._add(name, day, day in filled)
+
+    def _add(self, name: str, day: date | None, filled: bool) -> None:
+        self.parts.append(commits.Part(name, day, self.id, filled, 0))
+
+    def read(self, name: str) -> DataFrame:
+        """What this load has put so far, before anyone else sees it."""
+        return _read_parts(self.spark, self.root, name, [p for p in self.parts if p.name == name])
+
+    def commit(self) -> int:
+        return commits.commit(self.spark, self.root, self.parts)
+
+    def __enter__(self) -> Load:
+        return self
+
+    def __exit__(self, kind, *error) -> None:
+        if kind is None and self.parts:
+            self.commit()
 
 
 def scan_dates(df: DataFrame, start: object, end: object, columns: Sequence[str] = ()) -> DataFrame:
@@ -73,41 +175,49 @@ def _writer(df: DataFrame, spec: Table):
     rows = conform(df, spec)
     if spec.partition:
         rows = rows.hint("rebalance", F.col(spec.partition))
-    writer = rows.sortWithinPartitions(*spec.sort).write
+    writer = _with_blooms(rows.sortWithinPartitions(*spec.sort).write, spec)
+    return writer.partitionBy(spec.partition) if spec.partition else writer
+
+
+def _with_blooms(writer: DataFrameWriter, spec: Table) -> DataFrameWriter:
     for column in spec.bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
-    return writer.partitionBy(spec.partition) if spec.partition else writer
+    return writer
 
 
 def append_table(df: DataFrame, root: str, name: str) -> None:
-    _writer(df, TABLES[name]).mode("append").parquet(table_path(root, name))
+    """Add rows beside the stored ones. Dates that a load committed belong to loads: they raise."""
+    spec, spark = declared(name), df.sparkSession
+    parts = commits.parts_of(spark, root, name)
+    if parts:
+        own = [part.day for part in parts]
+        if not spec.partition or not df.where(F.col(spec.partition).isin(own)).isEmpty():
+            raise ValueError(f"{name} was written by loads; replace its rows instead")
+    _writer(df, spec).mode("append").parquet(table_path(root, name))
 
 
 def replace_dates(df: DataFrame, root: str, name: str) -> None:
-    """Replace exactly the dates present in ``df``: running a load again adds nothing."""
-    spec = TABLES[name]
-    if not spec.partition:
+    """Replace exactly the dates present in ``df``, all at once: running a load again adds nothing."""
+    if not declared(name).partition:
         raise ValueError(f"{name} has no date partition")
-    writer = _writer(df, spec).option("partitionOverwriteMode", "dynamic")
-    writer.mode("overwrite").parquet(table_path(root, name))
+    with Load(df.sparkSession, root) as load:
+        load.put_days(df, name)
 
 
 def replace_day(df: DataFrame, root: str, name: str, day: date) -> None:
     """Replace one stored date by ``df``, the rows of that date; no rows empty the date."""
-    spec = TABLES[name]
-    if not spec.partition:
-        raise ValueError(f"{name} has no date partition")
-    rows = conform(df, spec).drop(spec.partition).hint("rebalance")
-    order = [column for column in spec.sort if column != spec.partition]
-    folder = f"{table_path(root, name)}/{spec.partition}={day.isoformat()}"
-    rows.sortWithinPartitions(*order).write.mode("overwrite").parquet(folder)
+    with Load(df.sparkSession, root) as load:
+        load.put(df, name, day)
 
 
 def replace_table(df: DataFrame, root: str, name: str) -> None:
-    """Replace the whole table; ``df`` must not read from it."""
-    _writer(df, TABLES[name]).option("partitionOverwriteMode", "static").mode(
-        "overwrite"
-    ).parquet(table_path(root, name))
+    """Replace the whole table; ``df`` may read from it."""
+    spark = df.sparkSession
+    with Load(spark, root) as load:
+        if declared(name).partition:
+            load.put_days(df, name, stored_dates(spark, root, name))
+        else:
+            load.put(df, name)
 
 
 def load_if_empty(df: DataFrame, root: str, name: str) -> bool:

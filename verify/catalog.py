@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import DateType, DecimalType, DoubleType, IntegralType, TimestampType
@@ -1605,6 +1606,133 @@ def _customer_measures(spark, sf):
     )
 
 
+# Stored facts are all tickets (not only the resolved ones), the backlog of the open ones, and bills.
+KEPT_UP = {
+    "meas_resolution_rate_drilldown": "kpi_resolution_rate", "meas_csat_drilldown": "kpi_csat",
+    "meas_sla_compliance_drilldown": "kpi_sla", "meas_avg_resolution_time_drilldown": "kpi_resolution_time",
+    "meas_executive_summary": "executive_summary", "meas_customer_service": "customer_service_measures",
+    "meas_agent_performance": "agent_measures", "meas_billing": "billing_measures", "meas_predictive": "customer_measures",
+}
+CHANGED_DAYS = (9, 19, 29)
+
+
+@register(
+    "measures_kept_up",
+    " UNION ALL ".join(
+        [
+            f"SELECT '{table}' AS name, measure_id, measure_value FROM ({ORACLES[query].replace(RESOLVED, 'SELECT * FROM tickets')})"
+            for table, query in KEPT_UP.items()
+        ]
+        + [f"SELECT 'changed {fact}', NULL, {len(CHANGED_DAYS)}::DOUBLE" for fact in jobs.SUMS]
+    ),
+)
+def _measures_kept_up(spark, sf):
+    """All measure tables after three days changed: the sums of those days alone are read again."""
+    root = fresh_folder(spark, "warehouse")
+    rows = a.tickets(spark, sf, customers=True)
+    opened = ticket_ops.unresolved_tickets(rows)
+    facts = {
+        jobs.PERFORMANCE: a.varied_performance(spark, sf),
+        "fact_tickets": rows,
+        "fact_backlog": ticket_ops.build_backlog(opened, a.customers(spark, sf)),
+        "fact_billing": billing.bill(a.usage(spark, sf)),
+    }
+    facts = {name: kept(tables.conform(df, tables.declared(name))) for name, df in facts.items()}
+    tables.replace_table(tables.conform(a.customers(spark, sf), tables.declared("dim_customer")), root, "dim_customer")
+    named = a.departments(spark).withColumns({"manager_name": F.lit(""), "team_size": F.lit(0)})
+    tables.replace_table(named, root, "dim_department")
+    days = [a.FIRST_DAY + timedelta(days=n) for n in CHANGED_DAYS]
+    early = F.col("date_id").isin(days)
+    # At first the days lack half of their agents and customers, and the last of them all rows.
+    with tables.Load(spark, root) as load:
+        for name, df in facts.items():
+            key = "agent_id" if name == jobs.PERFORMANCE else "customer_id"
+            partly = (F.col(key) % 2 == 0) & (F.col("date_id") != F.lit(days[-1]))
+            load.put_days(df.where(~early | partly), name)
+    jobs.refresh_measures(spark, root, a.MEASURED_ON)
+    with tables.Load(spark, root) as load:
+        for name, df in facts.items():
+            load.put_days(df.where(early), name)
+    changed = jobs.refresh_measures(spark, root, a.MEASURED_ON)
+    parts = [
+        tables.read_table(spark, root, name).select(F.lit(name).alias("name"), "measure_id", F.col("measure_value").cast("double"))
+        for name in KEPT_UP
+    ]
+    counts = spark.createDataFrame(
+        [(f"changed {fact}", None, float(len(some))) for fact, some in changed.items()], "name string, measure_id long, measure_value double"
+    )
+    return reduce(lambda one, other: one.unionByName(other), [*parts, counts])
+
+
+DAY_RANGES = ((1, 2), (5, 60), (61, 300))
+SKETCHED = {
+    **o.performance(),
+    **o.usage(),
+    "seen": """SELECT 'agents' AS entity, date_id, agent_id AS id FROM perf
+        UNION ALL SELECT 'customers', date_id, customer_id FROM tickets
+        UNION ALL SELECT 'payers', date_id, customer_id FROM bills""",
+    "ranges": f"SELECT * FROM (VALUES {', '.join(map(str, DAY_RANGES))}) r(first, last)",
+}
+
+
+@register(
+    "distinct_by_sketch",
+    sql(
+        SKETCHED,
+        f"""SELECT {big('first', 'first')}, {big('last', 'last')}, entity, {big('count(DISTINCT id)', 'exact')},
+        1::BIGINT AS close FROM ranges JOIN seen
+            ON date_id BETWEEN DATE '2025-01-01' + CAST(first - 1 AS INTEGER) AND DATE '2025-01-01' + CAST(last - 1 AS INTEGER)
+        GROUP BY first, last, entity""",
+    ),
+)
+def _distinct_by_sketch(spark, sf):
+    """Distinct agents, customers and payers of ranges of days from merged sketches, within 5 % of the
+    exact count, which is computed beside."""
+    root = fresh_folder(spark, "warehouse")
+    facts = {
+        jobs.PERFORMANCE: a.varied_performance(spark, sf), "fact_tickets": a.tickets(spark, sf, customers=True),
+        "fact_billing": billing.bill(a.usage(spark, sf)),
+    }
+    with tables.Load(spark, root) as load:
+        for name, df in facts.items():
+            load.put_days(df, name)
+    with tables.Load(spark, root) as load:
+        jobs.sketch_entities(spark, root, load, jobs.changed_dates(spark, root))
+    seen = reduce(
+        lambda one, other: one.unionByName(other),
+        [
+            tables.read_table(spark, root, fact).select(F.lit(entity).alias("entity"), "date_id", F.col(column).alias("id"))
+            for entity, (fact, column) in jobs.ENTITIES.items()
+        ],
+    )
+    parts = []
+    for first, last in DAY_RANGES:
+        start, end = (a.FIRST_DAY + timedelta(days=n - 1) for n in (first, last))
+        counted = tables.scan_dates(seen, start, end).groupBy("entity").agg(F.countDistinct("id").alias("exact"))
+        off = F.abs(F.col("estimate") - F.col("exact"))
+        parts.append(
+            jobs.distinct_entities(spark, root, start, end).join(counted, "entity").select(
+                F.lit(first).alias("first"), F.lit(last).alias("last"), "entity", "exact",
+                (off <= F.greatest(F.lit(1.0), F.col("exact") * 0.05)).cast("int").alias("close"),
+            )
+        )
+    return reduce(lambda one, other: one.unionByName(other), parts)
+
+
+@register("due_by_folder", sql(CANDIDATES, f"SELECT {day('date_id')} FROM candidates"))
+def _due_by_folder(spark, sf):
+    """Dates to be predicted, from the folders of stored performance and predictions: no row is read."""
+    root = fresh_folder(spark, "warehouse")
+    perf = kept(_gappy(spark, sf))
+    tables.append_table(perf, root, jobs.PERFORMANCE)
+    spec = tables.declared(jobs.PREDICTIONS)
+    done = _done(perf).select(
+        "date_id", *[F.lit(None).cast(f.dataType).alias(f.name) for f in spec.schema.fields if f.name != "date_id"]
+    )
+    tables.replace_dates(done, root, jobs.PREDICTIONS)
+    return tables.date_rows(spark, jobs.due_dates(spark, root))
+
+
 # --- streaming -------------------------------------------------------------------------------------
 
 
