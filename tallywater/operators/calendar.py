@@ -78,9 +78,8 @@ def backfill_ready(
     repeated for the dates that look back to them.
     """
     wanted = dates.select(F.col("date_id").alias("as_of"))
-    limits = wanted.agg(F.min("as_of").alias("first"), F.max("as_of").alias("last"))
-    first, last = limits.select("first").scalar(), limits.select("last").scalar()
-    near = perf.where(F.col("date_id").between(F.date_sub(first, days), last))
+    span = wanted.agg(F.struct(F.min("as_of").alias("first"), F.max("as_of").alias("last")).alias("span")).scalar()
+    near = perf.where(F.col("date_id").between(F.date_sub(span["first"], days), span["last"]))
     daily = near.groupBy("date_id").agg(F.count("*").alias("_rows"))
     ahead = F.sequence("date_id", F.date_add("date_id", days))
     spread = daily.select(F.explode(ahead).alias("as_of"), "_rows")

@@ -129,6 +129,33 @@ def training_frame(perf: DataFrame, tickets: DataFrame, agents: DataFrame) -> Da
     return agent_features(filled, risk.tenure_months()).drop("is_latest").na.drop("any")
 
 
+def _carried(perf: DataFrame, as_of: DataFrame, days: int, derive: bool) -> DataFrame:
+    """Rows of ``perf`` repeated for the dates (``as_of``) on which they are their agent's newest one,
+    at most ``days`` on; ``_asked`` marks the dates asked for, rows of their own date are kept.
+
+    With ``derive`` trailing means and differences are added before.
+    """
+    span = as_of.agg(F.struct(F.min("as_of").alias("first"), F.max("as_of").alias("last")).alias("span")).scalar()
+    # Nothing outside the look-backs of the dates asked for is read.
+    perf = perf.where(F.col("date_id").between(F.date_sub(span["first"], days), span["last"]))
+    per_agent = Window.partitionBy("agent_id").orderBy("date_id")
+    horizon = F.date_add("date_id", days)
+    until = F.least(F.date_sub(F.lead("date_id").over(per_agent), 1), horizon)
+    stored = perf.withColumns({**(_trailing(per_agent) if derive else {}), "_until": until})
+    # Of rows that share an agent and a day one is carried on.
+    grain = stored.where(F.col("_until") >= F.col("date_id"))
+    carried = grain.withColumn("as_of", F.explode(F.sequence("date_id", "_until")))
+    asked = as_of.select("as_of").distinct().withColumn("_asked", F.lit(True))
+    own = F.col("as_of") == F.col("date_id")
+    return carried.join(one_row_per_day(asked), "as_of", "left").where(own | F.col("_asked")).drop("_until")
+
+
+def agents_known(perf: DataFrame, as_of: DataFrame, days: int = LOOKBACK_DAYS) -> DataFrame:
+    """(as_of, agents): how many agents ``asof_features`` has on each date, from two columns."""
+    known = _carried(perf.select("agent_id", "date_id"), as_of, days, derive=False).where("_asked")
+    return known.groupBy("as_of").agg(F.count("*").alias("agents"))
+
+
 def asof_features(perf: DataFrame, as_of: DataFrame, days: int = LOOKBACK_DAYS) -> DataFrame:
     """Features of every agent as known on each date of ``as_of`` (column ``as_of``).
 
@@ -141,21 +168,8 @@ def asof_features(perf: DataFrame, as_of: DataFrame, days: int = LOOKBACK_DAYS)
     * over the last ``days`` days: how many stored rows they hold, and their mean,
       which replaces the first where the range holds fewer rows than it needs.
     """
-    limits = as_of.agg(F.min("as_of").alias("first"), F.max("as_of").alias("last"))
-    first, last = limits.select("first").scalar(), limits.select("last").scalar()
-    # Nothing outside the look-backs of the dates asked for is read.
-    perf = perf.where(F.col("date_id").between(F.date_sub(first, days), last))
-    per_agent = Window.partitionBy("agent_id").orderBy("date_id")
-    horizon = F.date_add("date_id", days)
-    until = F.least(F.date_sub(F.lead("date_id").over(per_agent), 1), horizon)
-    stored = perf.withColumns({**_trailing(per_agent), "_until": until})
-    # Of rows that share an agent and a day one is carried on.
-    grain = stored.where(F.col("_until") >= F.col("date_id"))
-    carried = grain.withColumn("as_of", F.explode(F.sequence("date_id", "_until")))
-    asked = as_of.select("as_of").distinct().withColumn("_asked", F.lit(True))
+    marked = _carried(perf, as_of, days, derive=True)
     own = F.col("as_of") == F.col("date_id")
-    marked = carried.join(one_row_per_day(asked), "as_of", "left").where(own | F.col("_asked")).drop("_until")
-
     day = F.unix_date("as_of")
     recent = Window.partitionBy("agent_id").orderBy(day).rangeBetween(-days, 0)
     within = {"_rows": F.count_if(own).over(recent)}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywater.functions import service
 from tallywater.functions.steps import exact_sum
@@ -10,7 +10,6 @@ from tallywater.operators.joins import lookup
 from tallywater.operators.ranking import number_rows
 
 DEFAULT_DEPARTMENT = 4
-ANY_DISTRICT = "*"
 KEY_BLOCKS = 1024
 
 
@@ -60,27 +59,27 @@ def with_customer(tickets: DataFrame, customers: DataFrame) -> DataFrame:
 def assign_facility(rows: DataFrame, facilities: DataFrame, spread: Column) -> DataFrame:
     """A facility of the row's district, or any facility where the district has none.
 
-    ``spread`` is a whole number per row; the choice is repeatable. Facilities are
-    numbered inside their district, so the choice is a join on two keys.
+    ``spread`` is a whole number per row; the choice is repeatable. The facilities of a district are
+    one array, looked up by district, and the row takes the element that its number points at; those
+    of all districts are a single value of the plan. Without facilities the column is null.
     """
-    in_district = facilities.select("district", "facility_id").unionByName(
-        facilities.select(F.lit(ANY_DISTRICT).alias("district"), "facility_id")
-    )
-    each = Window.partitionBy("district")
-    numbered = in_district.select(
-        F.col("district").alias("_place"),
-        "facility_id",
-        (F.row_number().over(each.orderBy("facility_id")) - 1).alias("_number"),
-        F.count("*").over(each).alias("_size"),
-    )
-    sizes = numbered.select("_place", "_size").distinct()
-    everywhere = sizes.where(F.col("_place") == ANY_DISTRICT).select("_size").scalar()
-    known = lookup(rows.withColumn("_place", F.col("district")), sizes, "_place")
-    number = F.pmod(spread, F.coalesce("_size", everywhere))
-    place = F.when(F.col("_size").isNull(), F.lit(ANY_DISTRICT)).otherwise(F.col("_place"))
-    slotted = known.withColumn("_slot", F.concat_ws("#", place, number)).drop("_place", "_size")
-    slots = numbered.select(F.concat_ws("#", "_place", "_number").alias("_slot"), "facility_id")
-    return lookup(slotted, slots, "_slot").drop("_slot")
+    ids = F.array_sort(F.collect_list("facility_id"))
+    known = facilities.where(F.col("facility_id").isNotNull())
+    by_district = known.groupBy("district").agg(ids.alias("_ids"))
+    everywhere = known.agg(ids).scalar()
+    placed = lookup(rows, by_district, "district")
+    choices = F.coalesce("_ids", everywhere)
+    place = F.pmod(spread, F.nullif(F.size(choices), F.lit(0))) + 1
+    return placed.withColumn("facility_id", F.try_element_at(choices, place.cast("int"))).drop("_ids")
+
+
+def with_facility(rows: DataFrame, customers: DataFrame, facilities: DataFrame, spread: str) -> DataFrame:
+    """Rows with a facility of their customer's district; a given ``facility_id`` is kept."""
+    if "facility_id" in rows.columns:
+        return rows
+    districts = customers.select("customer_id", "district")
+    known = lookup(rows.drop("district"), districts, "customer_id", {"district": ""})
+    return assign_facility(known, facilities, F.col(spread)).drop("district")
 
 
 def resolved_tickets(tickets: DataFrame) -> DataFrame:

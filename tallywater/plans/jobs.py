@@ -23,10 +23,10 @@ from tallywater.operators.calendar import (
     in_training_range,
     missing_calendar,
 )
-from tallywater.operators.joins import one_row_per_day
 from tallywater.operators.model import RiskModel, load_model, train_classifier
 from tallywater.operators.performance import agent_daily_performance
 from tallywater.operators.ranking import number_rows
+from tallywater.session import stored
 from tallywater.sources import commits
 from tallywater.sources.tables import (
     Load,
@@ -155,15 +155,12 @@ def backfill_features(perf: DataFrame, done: DataFrame) -> DataFrame:
 def features_of_dates(perf: DataFrame, dates: DataFrame) -> DataFrame:
     """As-of features of those of ``dates`` whose look-back holds enough rows and agents."""
     days = features.LOOKBACK_DAYS
-    ready = backfill_ready(perf, dates, days, MIN_ROWS)
-    known = features.asof_features(perf.select(*features.EXTRACT), ready, days)
-    crowded = known.groupBy("as_of").agg(F.count("*").alias("_agents"))
-    enough = crowded.where(F.col("_agents") >= MIN_AGENTS).select("as_of")
-    return (
-        known.join(one_row_per_day(enough), "as_of", "left_semi")
-        .withColumnRenamed("date_id", "source_date_id")
-        .withColumnRenamed("as_of", "date_id")
-    )
+    # One small row per date, read several times: kept, so that what it comes from is read once.
+    ready = stored(backfill_ready(perf, dates, days, MIN_ROWS), "ready")
+    agents = features.agents_known(perf, ready, days).where(F.col("agents") >= MIN_AGENTS)
+    enough = stored(agents.select("as_of"), "enough")
+    known = features.asof_features(perf.select(*features.EXTRACT), enough, days)
+    return known.withColumnRenamed("date_id", "source_date_id").withColumnRenamed("as_of", "date_id")
 
 
 def history_records(scored: DataFrame, model: RiskModel) -> DataFrame:
@@ -212,8 +209,8 @@ def daily_load(
     """Load one day: calendar, tickets, backlog, agent performance and bills.
 
     ``contacts`` are the day's raw tickets (see ``score_tickets``) with a
-    ``contact_id``, ``usage`` its consumption rows (see ``bill``). Tables written by date are
-    replaced for ``day``. Ticket and backlog ids are the day and a number within it, so loading any
+    ``contact_id``, ``usage`` its consumption rows (see ``bill``). Rows without a ``facility_id``
+    get a facility of their customer's district. Tables written by date are replaced for ``day``. Ticket and backlog ids are the day and a number within it, so loading any
     day again gives its tickets the same ids and no other day is read. The tables are shown together:
     a load that breaks leaves the day as it was. Returns the day's totals.
     """
@@ -221,14 +218,18 @@ def daily_load(
     customers = read_table(spark, root, "dim_customer", required=True)
     append_table(missing_calendar(read_table(spark, root, "dim_time"), day), root, "dim_time")
 
+    facilities = read_table(spark, root, "dim_facility")
+
     today = contacts.withColumn("date_id", F.lit(day)).drop("ticket_id", "department_id")
-    staffed = tickets.with_agent(today, agents)
+    placed = tickets.with_facility(today, customers, facilities, "contact_id")
+    staffed = tickets.with_agent(placed, agents)
     scored = tickets.score_tickets(staffed).withColumn("_block", tickets.key_block("contact_id"))
     row_order = F.xxhash64(*scored.columns)
     numbered = number_rows(
         scored, [["_block"]], ["contact_id", row_order], "ticket_id", first_id(day)
     )
-    known = tickets.with_customer(usage.withColumn("date_id", F.lit(day)), customers)
+    used = tickets.with_facility(usage.withColumn("date_id", F.lit(day)), customers, facilities, "billing_id")
+    known = tickets.with_customer(used, customers)
     with Load(spark, root) as load, _kept(numbered) as rows:
         load.put(tickets.resolved_tickets(rows), "fact_tickets", day)
         opened = tickets.unresolved_tickets(rows)
@@ -391,8 +392,8 @@ def _measures_of_sums(
 
     def now(part: str) -> DataFrame:
         days = changed[fact_of[part]]
-        stored = read_table(spark, root, part)
-        return stored.where(~F.col("date_id").isin(days)).unionByName(load.read(part)) if days else stored
+        rows = read_table(spark, root, part)
+        return rows.where(~F.col("date_id").isin(days)).unionByName(load.read(part)) if days else rows
 
     def total(part: str) -> DataFrame:
         name = TOTALS[part][0]
@@ -417,14 +418,13 @@ def _measures_of_sums(
 def day_summary(spark: SparkSession, root: str, day: date) -> DataFrame:
     """One row: resolved tickets, backlog, agent rows and bills stored for a day."""
 
-    def stored(name: str):
-        rows = read_table(spark, root, name).where(F.col("date_id") == F.lit(day))
-        return rows.agg(F.count("*")).scalar()
+    def rows_of(name: str):
+        return read_table(spark, root, name, days=[day]).agg(F.count("*")).scalar()
 
     return spark.range(1).select(
         F.lit(day).alias("date_id"),
-        stored("fact_tickets").alias("resolved"),
-        stored("fact_backlog").alias("backlog"),
-        stored(PERFORMANCE).alias("agents"),
-        stored("fact_billing").alias("bills"),
+        rows_of("fact_tickets").alias("resolved"),
+        rows_of("fact_backlog").alias("backlog"),
+        rows_of(PERFORMANCE).alias("agents"),
+        rows_of("fact_billing").alias("bills"),
     )

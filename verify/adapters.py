@@ -186,8 +186,8 @@ def with_probabilities(rows: DataFrame) -> DataFrame:
     return shared.withColumn("risk_category", listed(("Critical", "High", "Low", "Medium"), top))
 
 
-def usage(spark: SparkSession, sf: str) -> DataFrame:
-    """Consumption rows with account context, one year of days."""
+def usage(spark: SparkSession, sf: str, days: int = YEAR_DAYS) -> DataFrame:
+    """Consumption rows with account context, one year of days or fewer."""
     context = customers(spark, sf).select("customer_id", "customer_segment", "tariff_category")
     status = (
         F.when(F.col("l_returnflag") == "A", "Paid")
@@ -196,7 +196,7 @@ def usage(spark: SparkSession, sf: str) -> DataFrame:
     )
     rows = lines(spark, sf, True).select(
         F.col("l_orderkey").alias("billing_id"),
-        service_day(YEAR_DAYS).alias("date_id"),
+        service_day(days).alias("date_id"),
         "customer_id",
         (F.pmod(F.col("l_suppkey"), F.lit(7)) + 1).alias("facility_id"),
         (F.col("l_quantity") * 2).alias("base_consumption"),

@@ -588,7 +588,7 @@ HISTORY = {
 )
 def _history_records(spark, sf):
     """The historical backfill of all missing dates, with the repeatable probabilities."""
-    perf = _gappy(spark, sf)
+    perf = kept(_gappy(spark, sf))
     known = jobs.backfill_features(perf, _done(perf))
     return scoring.score_history(a.with_probabilities(known)).select(
         "date_id", "agent_id", "burnout_risk_score", "productivity_index", "risk_category",
@@ -637,8 +637,8 @@ def _backfill_ready(spark, sf):
     ),
 )
 def _asof_features(spark, sf):
-    perf = _gappy(spark, sf)
-    ready = calendar.backfill_ready(perf, calendar.backfill_dates(perf, _done(perf)))
+    perf = kept(_gappy(spark, sf))
+    ready = kept(calendar.backfill_ready(perf, calendar.backfill_dates(perf, _done(perf))))
     known = features.asof_features(perf, ready)
     return known.select("as_of", *FEATURE_COLUMNS, *PERF_INTS, *PERF_DOUBLES)
 
@@ -657,7 +657,7 @@ def _asof_features(spark, sf):
     ),
 )
 def _backfill_features(spark, sf):
-    perf = _gappy(spark, sf)
+    perf = kept(_gappy(spark, sf))
     return jobs.backfill_features(perf, _done(perf)).select(
         "date_id", "source_date_id", "agent_id", "stress_index", "avg_backlog_30d"
     )
@@ -2043,35 +2043,54 @@ LOAD_DAYS = 3
 @register(
     "daily_load_tables",
     sql(
-        o.tickets(days=LOAD_DAYS, gaps=True),
+        {
+            **o.tickets(days=LOAD_DAYS, gaps=True),
+            **o.usage(LOAD_DAYS),
+            **o.NETWORK,
+            "places": """
+                SELECT district, facility_id, row_number() OVER (PARTITION BY district ORDER BY facility_id) - 1 AS number,
+                       count(*) OVER (PARTITION BY district) AS size FROM facilities""",
+            "sizes": "SELECT DISTINCT district, size FROM places",
+            "placed": """
+                SELECT t.*, coalesce(p.facility_id, f.facility_id) AS place FROM tickets t
+                JOIN customers c USING (customer_id) LEFT JOIN sizes s ON s.district = c.district
+                LEFT JOIN places p ON p.district = c.district AND p.number = t.ticket_id % s.size
+                LEFT JOIN facilities f ON s.size IS NULL AND f.facility_id = t.ticket_id % (SELECT count(*) FROM facilities) + 1""",
+            "billed": """
+                SELECT b.*, coalesce(p.facility_id, f.facility_id) AS place FROM bills b
+                JOIN customers c USING (customer_id) LEFT JOIN sizes s ON s.district = c.district
+                LEFT JOIN places p ON p.district = c.district AND p.number = b.billing_id % s.size
+                LEFT JOIN facilities f ON s.size IS NULL AND f.facility_id = b.billing_id % (SELECT count(*) FROM facilities) + 1""",
+        },
         f"""SELECT 'fact_tickets' AS name, {day('date_id')}, {big('count(*)', 'n')},
-            {big('count(*)', 'ids')}, {R('sum(resolution_time_hrs)', 3)} AS hours,
-            1::BIGINT AS same_ids
-        FROM tickets WHERE resolved_in_first_contact = 1 GROUP BY date_id
-        UNION ALL SELECT 'fact_backlog', {day('date_id')}, count(*), max(n), NULL, 1
-        FROM (SELECT *, row_number() OVER (PARTITION BY date_id) AS n FROM tickets
+            {big('count(*)', 'ids')}, {R('sum(resolution_time_hrs)', 3)} AS amount,
+            {big('sum(place)', 'places')}, 1::BIGINT AS same_ids
+        FROM placed WHERE resolved_in_first_contact = 1 GROUP BY date_id
+        UNION ALL SELECT 'fact_backlog', {day('date_id')}, count(*), max(n), NULL, sum(place), 1
+        FROM (SELECT *, row_number() OVER (PARTITION BY date_id) AS n FROM placed
               WHERE resolved_in_first_contact IS DISTINCT FROM 1) GROUP BY date_id
-        UNION ALL SELECT 'fact_agent_performance', {day('date_id')}, sum(n), count(*), NULL, 1
-        FROM (SELECT date_id, agent_id, count(*) AS n FROM tickets GROUP BY ALL) GROUP BY date_id""",
+        UNION ALL SELECT 'fact_agent_performance', {day('date_id')}, sum(n), count(*), NULL, NULL, 1
+        FROM (SELECT date_id, agent_id, count(*) AS n FROM tickets GROUP BY ALL) GROUP BY date_id
+        UNION ALL SELECT 'fact_billing', {day('date_id')}, count(*), count(DISTINCT billing_id),
+            {R('sum(CAST(billed_amount AS DECIMAL(18,2)))', 2)}, sum(place * (billing_id % 1000)), 1 FROM billed GROUP BY date_id""",
     ),
 )
 def _daily_load_tables(spark, sf):
-    """All order lines as the contacts of three days, loaded by the job, the first day once more:
-    every ticket is stored once, backlog ids are dense, and a reload keeps all ids."""
+    """All order lines as the contacts and bills of three days, loaded by the job, the first day once
+    more: every ticket and bill is stored once with a facility of its customer's district, backlog ids
+    are dense, and a reload keeps all ids."""
     root = fresh_folder(spark, "warehouse")
     tables.append_table(a.agents(spark, sf, gaps=True), root, "dim_agent")
     tables.append_table(a.customers(spark, sf), root, "dim_customer")
-    contacts = kept(
-        a.raw_tickets(spark, sf, LOAD_DAYS, customers=True, gaps=True).withColumnRenamed(
-            "ticket_id", "contact_id"
-        )
-    )
-    bills = a.usage(spark, sf).drop("customer_segment", "tariff_category").limit(0)
+    tables.append_table(a.facilities(spark), root, "dim_facility")
+    raw = a.raw_tickets(spark, sf, LOAD_DAYS, customers=True, gaps=True).drop("facility_id")
+    contacts = kept(raw.withColumnRenamed("ticket_id", "contact_id"))
+    bills = kept(a.usage(spark, sf, LOAD_DAYS).drop("customer_segment", "tariff_category", "facility_id"))
     days = [a.FIRST_DAY + timedelta(days=n) for n in range(LOAD_DAYS)]
 
     def load(when):
-        own = contacts.where(F.col("date_id") == F.lit(when)).drop("date_id")
-        jobs.daily_load(spark, root, when, own, bills.drop("date_id"))
+        own, used = (df.where(F.col("date_id") == F.lit(when)).drop("date_id") for df in (contacts, bills))
+        jobs.daily_load(spark, root, when, own, used)
 
     def tickets_of(name):
         return tables.read_table(spark, root, name).select("date_id", "ticket_id")
@@ -2087,25 +2106,29 @@ def _daily_load_tables(spark, sf):
     same = moved.join(before.groupBy("date_id").agg(F.count("*").alias("_before")), "date_id").select(
         "date_id", (F.col("_all") == F.col("_before")).cast("int").alias("same_ids")
     )
+    none = F.lit(None)
     solved = tables.read_table(spark, root, "fact_tickets").groupBy("date_id").agg(
         F.count("*").alias("n"), F.countDistinct("ticket_id").alias("ids"),
-        F.round(F.sum("resolution_time_hrs"), 3).alias("hours"),
+        F.round(F.sum("resolution_time_hrs"), 3).alias("amount"), F.sum("facility_id").alias("places"),
     )
     number = F.col("backlog_id") % jobs.DAY_IDS
     opened = tables.read_table(spark, root, "fact_backlog").groupBy("date_id").agg(
-        F.count("*").alias("n"),
-        F.when(F.min(number) == 1, F.max(number)).alias("ids"),
-        F.lit(None).cast("double").alias("hours"),
+        F.count("*").alias("n"), F.when(F.min(number) == 1, F.max(number)).alias("ids"),
+        none.cast("double").alias("amount"), F.sum("facility_id").alias("places"),
     )
     perf = tables.read_table(spark, root, jobs.PERFORMANCE)
     worked = perf.where("total_tickets_handled > 0").groupBy("date_id").agg(
-        F.sum("total_tickets_handled").alias("n"),
-        F.countDistinct("performance_id").alias("ids"),
-        F.lit(None).cast("double").alias("hours"),
+        F.sum("total_tickets_handled").alias("n"), F.countDistinct("performance_id").alias("ids"),
+        none.cast("double").alias("amount"), none.cast("long").alias("places"),
+    )
+    billed = tables.read_table(spark, root, "fact_billing").groupBy("date_id").agg(
+        F.count("*").alias("n"), F.countDistinct("billing_id").alias("ids"),
+        F.round(F.sum(F.col("billed_amount").cast("decimal(18,2)")).cast("double"), 2).alias("amount"),
+        F.sum(F.col("facility_id") * (F.col("billing_id") % 1000)).alias("places"),
     )
-    named = {"fact_tickets": solved, "fact_backlog": opened, jobs.PERFORMANCE: worked}
+    named = {"fact_tickets": solved, "fact_backlog": opened, jobs.PERFORMANCE: worked, "fact_billing": billed}
     parts = [df.withColumn("name", F.lit(name)) for name, df in named.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).join(same, "date_id")
+    return reduce(lambda one, other: one.unionByName(other), parts).join(same, "date_id")
 
 
 PREDICTED_OUT = (
@@ -2164,6 +2187,21 @@ def _backfill_stored(spark, sf):
     return tables.read_table(spark, root, jobs.PREDICTIONS).select(*PREDICTED)
 
 
+EXPORTED_AGENTS = f"{big('agent_id', 'agent_id')}, agent_name, {big('department_id', 'department_id')}, role_title, {day('hire_date')}"
+
+
+def _exported(spark, sf, name):
+    """One output of the export job over stored tables, written as CSV and read back."""
+    root = fresh_folder(spark, "warehouse")
+    tables.append_table(a.varied_performance(spark, sf), root, jobs.PERFORMANCE)
+    tables.append_table(a.tickets(spark, sf, customers=True), root, "fact_tickets")
+    tables.load_if_empty(a.agents(spark, sf), root, "dim_agent")
+    tables.load_if_empty(a.agents(spark, sf), root, "dim_agent")
+    extract = jobs.export_training_data(spark, root, f"{root}/export", as_csv=True)
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in getattr(extract, name).schema.fields)
+    return tables.read_csv(spark, f"{root}/export/{name}", ddl)
+
+
 @register(
     "exported_metrics",
     sql(
@@ -2172,11 +2210,20 @@ def _backfill_stored(spark, sf):
     ),
 )
 def _exported_metrics(spark, sf):
-    """Ticket metrics of the training range, exported as CSV by the job and read back."""
-    root = fresh_folder(spark, "warehouse")
-    tables.append_table(a.varied_performance(spark, sf), root, jobs.PERFORMANCE)
-    tables.append_table(a.tickets(spark, sf, customers=True), root, "fact_tickets")
-    tables.load_if_empty(a.agents(spark, sf), root, "dim_agent")
-    tables.load_if_empty(a.agents(spark, sf), root, "dim_agent")
-    extract = jobs.export_training_data(spark, root, f"{root}/export", as_csv=True)
-    return tables.read_csv(spark, f"{root}/export/tickets", extract.tickets.schema.simpleString()[7:-1].replace(":", " "))
+    """Ticket metrics of the training range."""
+    return _exported(spark, sf, "tickets")
+
+
+@register(
+    "exported_performance",
+    sql(o.performance(), f"SELECT {KEYS_OUT}, {big('department_id', 'department_id')}, {PERF_OUT} FROM perf"),
+)
+def _exported_performance(spark, sf):
+    """Agent days of the training range."""
+    return _exported(spark, sf, "performance")
+
+
+@register("exported_agents", sql(o.AGENTS, f"SELECT {EXPORTED_AGENTS} FROM agents"))
+def _exported_agents(spark, sf):
+    """Agent metadata beside the training range."""
+    return _exported(spark, sf, "agents")

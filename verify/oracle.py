@@ -440,7 +440,7 @@ def forced() -> dict[str, str]:
     }
 
 
-def usage() -> dict[str, str]:
+def usage(days: int = 365) -> dict[str, str]:
     volume = "base_consumption * seasonal_factor * customer_factor"
     amount = "consumption_m3 * rate_per_m3 * (1 - discount_applied)"
     ceiling = (
@@ -450,7 +450,7 @@ def usage() -> dict[str, str]:
     return {
         **CUSTOMERS,
         "used": f"""
-            SELECT l_orderkey AS billing_id, {service_day(365)} AS date_id,
+            SELECT l_orderkey AS billing_id, {service_day(days)} AS date_id,
                    o_custkey AS customer_id, l_quantity * 2 AS base_consumption,
                    0.7::DOUBLE + (l_partkey % 7) / 10::DOUBLE AS seasonal_factor,
                    0.8::DOUBLE + (o_custkey % 5) / 10::DOUBLE AS customer_factor,
