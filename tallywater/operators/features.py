@@ -119,7 +119,7 @@ def training_frame(perf: DataFrame, tickets: DataFrame, agents: DataFrame) -> Da
     the zero date 1970-01-01.
     """
     about = agents.select("agent_id", "role_title", "hire_date")
-    joined = perf.join(tickets, ["date_id", "agent_id"], "left").join(about, "agent_id", "left")
+    joined = perf.join(tickets, ["agent_id", "date_id"], "left").join(about, "agent_id", "left")
     filled = fill_numbers(joined).withColumns(
         {
             "role_title": F.coalesce("role_title", F.lit("")),

@@ -28,6 +28,7 @@ from tallywater.operators.performance import agent_daily_performance
 from tallywater.operators.ranking import number_rows
 from tallywater.session import stored
 from tallywater.sources import commits
+from tallywater.sources.buckets import open_bucketed, write_bucketed
 from tallywater.sources.tables import (
     Load,
     append_table,
@@ -79,6 +80,20 @@ def export_training_data(
     return extract
 
 
+def bucket_training_tables(spark: SparkSession, root: str, buckets: int) -> None:
+    """The training extract in buckets by agent, so that its joins and windows need no exchange."""
+    extract = export_training_data(spark, root)
+    for name, df in vars(extract).items():
+        sort = ["agent_id", "date_id"] if "date_id" in df.columns else ["agent_id"]
+        write_bucketed(df, f"{root}/bucketed", name, "agent_id", sort, buckets)
+
+
+def bucketed_training_frame(spark: SparkSession, root: str) -> DataFrame:
+    """The training frame of the bucketed extract; run it inside ``co_partitioned``."""
+    perf, metrics, agents = (open_bucketed(spark, f"{root}/bucketed", n) for n in ("performance", "tickets", "agents"))
+    return features.training_frame(perf, metrics.hint("merge"), agents.hint("merge"))
+
+
 @contextmanager
 def _kept(df: DataFrame) -> Iterator[DataFrame]:
     """Keep rows while a job reads them more than once; lost parts are computed again."""

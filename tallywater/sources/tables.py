@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Collection, Sequence
 from datetime import date
 
@@ -103,7 +102,7 @@ class Load:
     """
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root, self.id = spark, root, uuid.uuid4().hex
+        self.spark, self.root, self.id = spark, root, commits.fresh_name()
         self.parts: list[commits.Part] = []
 
     def put(self, df: DataFrame, name: str, day: date | None = None) -> None:

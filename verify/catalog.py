@@ -17,7 +17,7 @@ from tallywater.operators import (
 from tallywater.operators.model import load_model, train_classifier
 from tallywater.plans import jobs
 from tallywater.session import fresh_folder, stored
-from tallywater.sources import events as event_source, tables
+from tallywater.sources import buckets, events as event_source, tables
 from tallywater.streaming import ledger, monitor, sinks, state
 from verify import adapters as a, oracle as o
 from verify.oracle import R, big, day, sql, stamp
@@ -1606,6 +1606,51 @@ def _customer_measures(spark, sf):
     )
 
 
+BUCKETS = 8
+
+
+def _bucketed_root(spark, sf):
+    root = fresh_folder(spark, "warehouse")
+    tables.append_table(a.varied_performance(spark, sf), root, jobs.PERFORMANCE)
+    tables.append_table(a.tickets(spark, sf, customers=True), root, "fact_tickets")
+    tables.append_table(a.agents(spark, sf), root, "dim_agent")
+    jobs.bucket_training_tables(spark, root, BUCKETS)
+    return root
+
+
+@register("bucketed_training_frame", ORACLES["training_frame"])
+def _bucketed_training_frame(spark, sf):
+    """The training frame from tables bucketed and sorted by agent: no exchange."""
+    root = _bucketed_root(spark, sf)
+    with buckets.co_partitioned(spark):
+        frame = kept(jobs.bucketed_training_frame(spark, root))
+    return frame.drop("performance_id", "department_id", "resolution_rate")
+
+
+@register(
+    "stored_order",
+    sql(
+        {**o.performance(), "files": "SELECT date_id FROM perf GROUP BY 1"},
+        f"""SELECT 'fact_agent_performance' AS name, {big('count(DISTINCT date_id)', 'files')}, {big('count(*)', 'n')},
+            0::BIGINT AS breaks FROM perf
+        UNION ALL SELECT 'fact_tickets', count(DISTINCT date_id), count(*), 0 FROM tickets
+        UNION ALL SELECT 'performance', {BUCKETS}, count(*), 0 FROM perf""",
+    ),
+)
+def _stored_order(spark, sf):
+    """Rows of stored files in the declared order: none comes before its predecessor; a date or a
+    bucket is one file here."""
+    root = _bucketed_root(spark, sf)
+    parts = [
+        buckets.order_breaks(spark.read.schema(tables.declared(name).schema).parquet(f"{root}/{name}"), tables.declared(name).sort)
+        .withColumn("name", F.lit(name))
+        for name in (jobs.PERFORMANCE, "fact_tickets")
+    ]
+    bucketed = buckets.open_bucketed(spark, f"{root}/bucketed", "performance")
+    dealt = buckets.order_breaks(bucketed, ["agent_id", "date_id"]).withColumn("name", F.lit("performance"))
+    return parts[0].unionByName(parts[1]).unionByName(dealt)
+
+
 # Stored facts are all tickets (not only the resolved ones), the backlog of the open ones, and bills.
 KEPT_UP = {
     "meas_resolution_rate_drilldown": "kpi_resolution_rate", "meas_csat_drilldown": "kpi_csat",
