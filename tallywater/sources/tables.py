@@ -44,27 +44,31 @@ def read_table(
     """
     spec = declared(name)
     parts = commits.parts_of(spark, root, name)
-    own = {part.day for part in parts}
     if parts and not spec.partition:
         return _read_parts(spark, root, name, parts)
-    if days is not None and set(days) <= own:
-        return _read_parts(spark, root, name, [part for part in parts if part.day in days])
+    if parts or days is not None:
+        others = _folder_dates(spark, root, name) - {part.day for part in parts}
+        if required and not parts and not others:
+            raise MissingTable(f"no table {name} at {table_path(root, name)}")
+        if days is not None:
+            parts, others = [part for part in parts if part.day in days], others & set(days)
+        loaded = _read_parts(spark, root, name, parts)
+        return loaded.unionByName(_read_dates(spark, root, name, others)) if others else loaded
     try:
-        plain = spark.read.schema(spec.schema).parquet(table_path(root, name)).select(*spec.columns)
+        return spark.read.schema(spec.schema).parquet(table_path(root, name)).select(*spec.columns)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         if required:
             raise MissingTable(f"no table {name} at {table_path(root, name)}") from error
         return spark.createDataFrame([], spec.schema)
-    if days is not None:
-        plain = plain.where(F.col(spec.partition).isin(sorted(set(days) - own)))
-        parts = [part for part in parts if part.day in days]
-    if not own:
-        return plain
-    loaded = _read_parts(spark, root, name, parts)
-    others = _folder_dates(spark, root, name) - own
-    return plain.where(F.col(spec.partition).isin(sorted(others))).unionByName(loaded) if others else loaded
+
+
+def _read_dates(spark: SparkSession, root: str, name: str, dates: Collection[date]) -> DataFrame:
+    """Dates that lie in folders of their own."""
+    spec, base = declared(name), table_path(root, name)
+    folders = [f"{base}/{spec.partition}={day.isoformat()}" for day in sorted(dates)]
+    return spark.read.schema(spec.schema).option("basePath", base).parquet(*folders).select(*spec.columns)
 
 
 def _read_parts(spark: SparkSession, root: str, name: str, parts: Sequence[commits.Part]) -> DataFrame:

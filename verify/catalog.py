@@ -17,7 +17,7 @@ from tallywater.operators import (
 from tallywater.operators.model import load_model, train_classifier
 from tallywater.plans import jobs
 from tallywater.session import fresh_folder, stored
-from tallywater.sources import buckets, events as event_source, tables
+from tallywater.sources import buckets, events as event_source, skipping, tables
 from tallywater.streaming import ledger, monitor, sinks, state
 from verify import adapters as a, oracle as o
 from verify.oracle import R, big, day, sql, stamp
@@ -1634,12 +1634,12 @@ def _bucketed_training_frame(spark, sf):
         f"""SELECT 'fact_agent_performance' AS name, {big('count(DISTINCT date_id)', 'files')}, {big('count(*)', 'n')},
             0::BIGINT AS breaks FROM perf
         UNION ALL SELECT 'fact_tickets', count(DISTINCT date_id), count(*), 0 FROM tickets
-        UNION ALL SELECT 'performance', {BUCKETS}, count(*), 0 FROM perf""",
+        UNION ALL SELECT 'performance', NULL, count(*), 0 FROM perf""",
     ),
 )
 def _stored_order(spark, sf):
-    """Rows of stored files in the declared order: none comes before its predecessor; a date or a
-    bucket is one file here."""
+    """Rows of stored files in the declared order: none comes before its predecessor; a date is
+    one file here, a bucket at most one."""
     root = _bucketed_root(spark, sf)
     parts = [
         buckets.order_breaks(spark.read.schema(tables.declared(name).schema).parquet(f"{root}/{name}"), tables.declared(name).sort)
@@ -1647,7 +1647,10 @@ def _stored_order(spark, sf):
         for name in (jobs.PERFORMANCE, "fact_tickets")
     ]
     bucketed = buckets.open_bucketed(spark, f"{root}/bucketed", "performance")
-    dealt = buckets.order_breaks(bucketed, ["agent_id", "date_id"]).withColumn("name", F.lit("performance"))
+    dealt = buckets.order_breaks(bucketed, ["agent_id", "date_id"]).withColumns(
+        # More files than buckets would show here; how many hold rows depends on the ids.
+        {"name": F.lit("performance"), "files": F.when(F.col("files") > BUCKETS, F.col("files"))}
+    )
     return parts[0].unionByName(parts[1]).unionByName(dealt)
 
 
@@ -2272,3 +2275,45 @@ def _exported_performance(spark, sf):
 def _exported_agents(spark, sf):
     """Agent metadata beside the training range."""
     return _exported(spark, sf, "agents")
+
+
+# --- file skipping ---------------------------------------------------------------------------------
+
+SKIPPED = {
+    "issue_category": ({"issue_category": "Leakage"}, {}, "issue_category = 'Leakage'"),
+    "resolution_time_hrs": ({}, {"resolution_time_hrs": (7.2, 7.4)}, "resolution_time_hrs BETWEEN 7.2::DOUBLE AND 7.4::DOUBLE"),
+    "ticket_id": ({"ticket_id": 9}, {}, "ticket_id = 9"),
+    "customer_id": ({"customer_id": 41}, {}, "customer_id = 41"),
+}
+
+
+@register(
+    "skipped_files",
+    sql(
+        {**o.tickets(), "placed": "SELECT * FROM tickets"},
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS predicate, {big('count(*)', 'n')}, {big('coalesce(sum(ticket_id), 0)', 'ids')}, 1::BIGINT AS fewer "
+            f"FROM placed WHERE {condition}"
+            for name, (_, _, condition) in SKIPPED.items()
+        ),
+    ),
+)
+def _skipped_files(spark, sf):
+    """Tickets stored by category and customer, read by predicates: the rows are whole, the files fewer."""
+    root = fresh_folder(spark, "warehouse")
+    rows = kept(a.tickets(spark, sf, customers=True))
+    # One load per category and a few more by customer, so that files differ in what they hold.
+    for category in a.CATEGORIES:
+        tables.append_table(rows.where(F.col("issue_category") == category), root, "fact_tickets")
+    skipping.index_files(spark, root, "fact_tickets")
+    every = len(skipping.current_files(spark, root, "fact_tickets"))
+    parts = []
+    for name, (equals, between, _) in SKIPPED.items():
+        files = len(skipping.candidate_files(spark, root, "fact_tickets", equals, between))
+        found = skipping.read_where(spark, root, "fact_tickets", equals, between)
+        parts.append(
+            found.agg(F.count("*").alias("n"), F.coalesce(F.sum("ticket_id"), F.lit(0)).alias("ids")).select(
+                F.lit(name).alias("predicate"), "n", "ids", F.lit(int(files < every)).alias("fewer")
+            )
+        )
+    return reduce(lambda one, other: one.unionByName(other), parts)
