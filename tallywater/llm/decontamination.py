@@ -11,15 +11,15 @@ The terms wanted are broadcast only while their count is below ``BROADCAST_TERMS
 Spark shuffles the join.
 
 Defined results: null or wordless texts have no words and no hits; an item of fewer words than the
-window is one window; rows that repeat a document's id and text count as one document; empty tables
-give rows without hits, or no rows.
+window is one window; an item without an id is sought like any other and only not named; rows that
+repeat a document's id and text count as one document; empty tables give rows without hits, or no rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallywater.llm.shared import stored, unused, word_list
+from tallywater.llm.shared import document_key, stored, unused, word_list
 
 WINDOW = 10
 #: Terms have at most 255 bytes here (longer ones are hashed), so the broadcast stays below 100 MB.
@@ -161,12 +161,14 @@ def near_matches(index: DataFrame, items: DataFrame, slop: int) -> DataFrame:
 
 
 def item_key(item_id: Column, text: Column) -> Column:
-    """An item's key: a digest of its text and its id, so that items sharing an id stay apart."""
-    return F.concat(F.xxhash64(text).cast("string"), F.lit("\u0001"), item_id.cast("string"))
+    """An item's key: a digest of its text and its id, so that items sharing an id stay apart. Without
+    an id it is the digest alone."""
+    return F.concat_ws("\u0001", F.md5(text.cast("binary")), item_id.cast("string"))
 
 
 def item_name(key: Column) -> Column:
-    return F.regexp_replace(key, "^[0-9-]+\u0001", "")
+    """The id in an item's key; null if it has none."""
+    return F.when(F.length(key) > 32, F.substr(key, F.lit(34)))
 
 
 def hits(found: DataFrame) -> DataFrame:
@@ -189,17 +191,12 @@ def contamination(
     read = docs.select(document_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("doc"), F.col(f"`{text_col}`").cast("string").alias("text"))
     item_text = F.col(f"`{item_text_col}`").cast("string")
     tests = bench.select(item_key(F.col(f"`{item_col}`"), F.coalesce(item_text, F.lit(""))).alias("item"), item_text.alias("text"))
-    parts = tokens(tests.where("item IS NOT NULL").distinct(), "item", "text")
+    parts = tokens(tests.distinct(), "item", "text")
     parts = parts.withColumn("term_id", F.xxhash64("term"))
     index = build_index(read, "doc", "text", vocabulary(parts))
     return hits(matches(index, stored(parts.select("item", "position", "term_id"), "items"), window))
 
 
-def document_key(doc_id: Column, text: Column) -> Column:
-    """A document's key: its id and text, so that rows that share an id by mistake stay apart."""
-    return F.xxhash64(doc_id.cast("string"), text.cast("string"))
-
-
 def judge(docs: DataFrame, bench: DataFrame, **options) -> DataFrame:
     """``docs`` with the column ``hit``: n_hit and items (null where nothing hits)."""
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")

@@ -11,7 +11,8 @@ Exact copies are one class; a block returns counts and a forest of links, never
 
 Defined results: links need equal labels that are not null; vectors that are null, empty, zero or
 hold null or non-finite components link with nothing, vectors of different length neither; repeated
-rows are vectors of their own. Any number of columns may be beside the three that are read.
+rows are vectors of their own; a vector without an id counts among its neighbours' links, while its own
+row has none and neither component nor ``kept``, as nothing could name it. Any number of columns may be beside the three that are read.
 """
 
 from __future__ import annotations

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywater.llm.graph import components
-from tallywater.llm.shared import ship, stored, unused
+from tallywater.llm.shared import document_key, ship, stored, unused
 
 ship(__name__)
 
@@ -110,10 +110,6 @@ def runs_for(recall: float, depth: int) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - found))
 
 
-def document_key(doc_id: Column, text: Column) -> Column:
-    return F.xxhash64(doc_id.cast("string"), text)
-
-
 def embed(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     """(id, key, set_id, n, tokens) per row with words; ``set_id`` is equal for equal sets. Stored."""
     a, b = multipliers(TOKENS)
@@ -131,8 +127,8 @@ def embed(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
             })
 
     text = F.col(f"`{text_col}`").cast("string")
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), document_key(F.col(f"`{id_col}`"), text).alias("key"), text.alias("text"))
-    return stored(rows.mapInPandas(work, "id long, key long, set_id long, n int, tokens binary"), "jaccard-embedded")
+    rows = docs.select(F.col(f"`{id_col}`").try_cast("long").alias("id"), document_key(F.col(f"`{id_col}`"), text).alias("key"), text.alias("text"))
+    return stored(rows.mapInPandas(work, "id long, key binary, set_id long, n int, tokens binary"), "jaccard-embedded")
 
 
 def _tokens(column: pd.Series) -> np.ndarray:
@@ -343,7 +339,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
     rows = docs.select(document_key(F.col(f"`{id_col}`"), text).alias("key"), text.alias("text"))
     few = wanted.count() <= BROADCAST_KEYS
     rows = rows.join(F.broadcast(wanted) if few else wanted, "key", "left_semi")
-    return rows.mapInPandas(work, "key long, shingles binary").dropDuplicates(["key"])
+    return rows.mapInPandas(work, "key binary, shingles binary").dropDuplicates(["key"])
 
 
 def similar_sets(

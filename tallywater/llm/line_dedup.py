@@ -9,14 +9,15 @@ letters must agree but for two per edit, what both start and end with is left ou
 rest must occur in the other line, and a banded bit-parallel edit distance of the rest decides. Only
 the later line of a pair comes out.
 
-"Earlier" is by doc_id (null last), then line number; copies of a line count by their first one. A
-line goes if any earlier distinct line is that close, also one that goes itself.
+"Earlier" is by doc_id, then line number; documents whose id is null or no whole number come last, by
+a digest. Copies of a line count by their first one. A line goes if any earlier distinct line is that close, also one that goes itself.
 
 Nothing is grouped by line content beyond sums: copies are counted with partial sums, and a line
 takes part in the join once. The table of lines to drop is broadcast while it has at most
 ``BROADCAST_LINES`` rows; beyond that it is joined by shuffle.
 
-Defined results: lines end at ``\\n``; lines of fewer than ``least`` characters stay; null texts stay
+Defined results: lines end at ``\\n``; empty lines stay, and lines of fewer than ``least``
+characters unless their exact copies are asked for (``exact_from``); null texts stay
 null and have no lines; a text that loses all lines is empty; rows that repeat an id and text lose
 the same lines; empty tables give no rows.
 """
@@ -28,7 +29,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallywater.llm.shared import stored, unused
+from tallywater.llm.shared import document_key, stored, unused
 
 EDITS = 2
 LEAST = 20
@@ -39,20 +40,20 @@ BROADCAST_LINES = 500_000
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFrame:
-    """(key, line_no, line, chars, h1, h2, place): ``place`` orders all lines."""
+    """(key, line_no, line, chars, h1, h2, place): ``place`` orders all lines, with no ties but of rows
+    that repeat an id and text."""
     text, doc_id = F.col(f"`{text_col}`").cast("string"), F.col(f"`{id_col}`")
-    rows = docs.select(document_key(doc_id, text).alias("key"), F.coalesce(doc_id.cast("decimal(20,0)"), F.lit("9" * 20).cast("decimal(20,0)")).alias("doc"), text.alias("text"))
-    each = rows.select("key", "doc", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    rows = docs.select(document_key(doc_id, text).alias("key"), doc_id.cast("string").try_cast("decimal(19,0)").alias("doc"), text.alias("text"))
+    # Ids that are no whole numbers follow all that are, in an order of their own.
+    spread = lambda n: F.pmod(F.xxhash64("key"), F.lit(n)).cast("decimal(20,0)")
+    rows = rows.withColumns({"doc": F.coalesce("doc", spread(10**18) + F.lit("2" + "0" * 19).cast("decimal(20,0)")).cast("decimal(20,0)"), "tie": spread(10**8)})
+    each = rows.select("key", "doc", "tie", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     return each.withColumn("chars", F.length("line")).where(F.col("chars") >= least).select(
         "key", "line_no", "line", "chars", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"),
-        (F.col("doc") * 4294967296 + F.col("line_no")).cast("decimal(38,0)").alias("place"),
+        ((F.col("doc") * 4294967296 + F.col("line_no")).cast("decimal(30,0)") * 100000000 + F.col("tie")).cast("decimal(38,0)").alias("place"),
     )
 
 
-def document_key(doc_id: Column, text: Column) -> Column:
-    return F.xxhash64(doc_id.cast("string"), text)
-
-
 def bounded(df: DataFrame, rows: int) -> DataFrame:
     """``df`` (from stored tables) marked for broadcast while it has at most ``rows`` rows."""
     return F.broadcast(df) if df.count() <= rows else df
@@ -287,23 +288,29 @@ def later_lines(lines: DataFrame, edits: int, least: int) -> DataFrame:
     return blocks_that_meet(lines, edits, least).select(F.explode(later).alias("line")).select("line.*").distinct()
 
 
-def lines_to_drop(docs: DataFrame, *, edits: int, least: int, id_col: str, text_col: str) -> DataFrame:
+def lines_to_drop(docs: DataFrame, *, edits: int, least: int, exact_from: int, id_col: str, text_col: str) -> DataFrame:
     """(key, dropped): the line numbers that go, per document that loses any."""
-    lines = lines_of(docs, id_col, text_col, least)
+    lines = lines_of(docs, id_col, text_col, max(1, min(least, exact_from)))
     copies = lines.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
     copies = stored(copies.where("n > 1").select("h1", "h2", "first"), "line-copies")
     first = lines.join(bounded(copies, BROADCAST_LINES), ["h1", "h2"], "left").where("first IS NULL OR first = place").drop("first")
-    near = stored(later_lines(first, edits, least), "line-near")
+    near = stored(later_lines(first.where(F.col("chars") >= least), edits, least), "line-near")
     gone = copies.join(near, ["h1", "h2"], "left_anti").unionByName(near.withColumn("first", F.lit(None).cast("decimal(38,0)")))
     hit = lines.drop("line").join(bounded(gone, BROADCAST_LINES), ["h1", "h2"]).where("first IS NULL OR place > first")
     return hit.groupBy("key").agg(F.collect_set("line_no").alias("dropped"))
 
 
 def dedup_lines(
-    docs: DataFrame, *, edits: int = EDITS, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, *, edits: int = EDITS, least: int = LEAST, exact_from: int | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``docs`` with the column ``lines``: n_lines, n_dropped and the text that is left."""
-    drops = lines_to_drop(docs, edits=edits, least=least, id_col=id_col, text_col=text_col)
+    """``docs`` with the column ``lines``: n_lines, n_dropped and the text that is left.
+
+    Lines of ``least`` characters or more go if an earlier one is near; from ``exact_from`` characters
+    on (``least`` unless given) a line goes if it equals an earlier one.
+    """
+    drops = lines_to_drop(
+        docs, edits=edits, least=least, exact_from=least if exact_from is None else exact_from, id_col=id_col, text_col=text_col
+    )
     kept, out = unused(docs, "row"), unused(docs, "lines")
     text = F.col(f"`{text_col}`").cast("string")
     wide = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(kept), text.alias("_text"), document_key(F.col(f"`{id_col}`"), text).alias("_key"))

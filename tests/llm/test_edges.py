@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallywater.llm import decontamination, embeddings, graph, jaccard, line_dedup, mixing, pii, token_counts, toxicity, url_model, warc
 from tallywater.llm.queries import URL_RULES, tokenizer_path
-from tallywater.llm.shared import ascii_lower, unused
+from tallywater.llm.shared import ascii_lower, document_key, unused
 
 LONG = " ".join(f"word{i % 977}x{i % 13}" for i in range(30_000))
 TEXTS = [
@@ -191,6 +191,24 @@ def test_mix(docs, none):
     assert own(mixing.materialised(docs).collect())
 
 
+def test_many_rows_without_ids_meet_their_target(spark):
+    """Each draws its own number by its text; a text that reads like an id is not that id."""
+    rows = [(None, f"w{i} " + "w " * 24, "a") for i in range(500)] + [(i, "v " * 25, "b") for i in range(500)]
+    mixed = mixing.mix(spark.createDataFrame(rows, SCHEMA)).groupBy("source").agg(
+        F.max("mix.target").alias("t"), F.sum(F.col("mix.size") * F.col("mix.copies")).alias("n"), F.max("mix.size").alias("longest")
+    ).collect()
+    assert all(abs(r["n"] - r["t"]) <= r["longest"] for r in mixed)
+    ids = spark.createDataFrame([(None, "5"), ("5", None), ("5", "x")], "i string, t string")
+    u = [r[0] for r in ids.select(mixing.uniform(F.col("i"), F.col("t"), 0)).collect()]
+    assert u[0] != u[1] == u[2]
+
+
+def test_sizes_count_words(spark):
+    texts = [None, "", "  \t\n", "a", " a b\x0bc ", "w w\u00a0w é\u3000ü", "\x0c\r x", "\x1c\x1f", "a" * 5000]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(mixing.size_of(F.col("t"))).collect()
+    assert [r[0] for r in got] == [0, 0, 0, 1, 3, 3, 1, 1, 1]
+
+
 def test_mix_is_near_its_targets_at_any_inclusion(spark):
     rnd = random.Random(5)
     rows = [(i, "w " * min(2000, int(rnd.paretovariate(1.2) * 10)), rnd.choice("aabcdefg")) for i in range(4000)]
@@ -228,6 +246,47 @@ def test_toxic_pairs_count_more_than_their_parts(spark):
     assert all((r["toxicity"] >= 0.5) == (r["doc_id"] % 4 == 3) for r in scored)
 
 
+def test_the_fit_agrees_with_the_one_of_spark(spark):
+    """The same rows and values through Spark's factorization machine: nearly the same scores."""
+    from pyspark.ml.classification import FMClassifier
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(8)
+    value = rng.uniform(0.1, 1, 12)
+    rows = [np.flatnonzero(rng.random(12) < 0.4) for _ in range(600)]
+    label = np.array([float((0 in r and 1 in r) or 2 in r) for r in rows])
+    intercept, linear, factors = toxicity.fit(label, np.repeat(np.arange(600), [len(r) for r in rows]), np.concatenate(rows), value)
+    machine = toxicity.Machine(np.arange(12), intercept, linear * value, factors * value[:, None])
+    vectors = spark.createDataFrame([(y, Vectors.sparse(12, r, value[r])) for y, r in zip(label.tolist(), rows)], ["label", "features"])
+    model = FMClassifier(
+        factorSize=toxicity.FACTORS, maxIter=toxicity.ROUNDS, stepSize=toxicity.STEP, regParam=toxicity.DECAY, initStd=toxicity.SPREAD, seed=7, solver="adamW"
+    ).fit(vectors.coalesce(1))
+    theirs = [r[0] for r in model.transform(vectors.coalesce(1)).select(vector_to_array("probability")[1]).collect()]
+
+    def score(r):
+        v = machine.factors[r]
+        return 1 / (1 + np.exp(-(intercept + machine.linear[r].sum() + 0.5 * ((v.sum(0) ** 2).sum() - (v**2).sum()))))
+
+    ours = np.array([score(r) for r in rows])
+    assert np.abs(ours - theirs).mean() < 0.02 and ((ours >= 0.5) == (np.array(theirs) >= 0.5)).mean() > 0.98
+    assert ((ours >= 0.5) == label).mean() > 0.98
+    # Their own parameters give their scores by our rule.
+    machine = toxicity.Machine(np.arange(12), model.intercept, model.linear.toArray() * value, model.factors.toArray() * value[:, None])
+    intercept = model.intercept
+    assert np.abs([score(r) for r in rows] - np.array(theirs)).max() < 1e-9
+
+
+def test_the_training_rows_are_bounded_by_their_terms(spark):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(10)), "a") for i in range(50)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int")
+    some = toxicity.training_rows(df, labels, 30, 100, "doc_id", "text").collect()
+    assert 0 < sum(len(r["terms"]) for r in some) <= 100
+    every = toxicity.training_rows(df, labels, 30, 10**6, "doc_id", "text").collect()
+    assert len(every) == 30 and {r["digest"] for r in some} == set(sorted(r["digest"] for r in every)[: len(some)])
+
+
 def test_a_neutral_partner_among_many_terms_counts(spark):
     """A group's name is in a half of the toxic rows and of the others; only beside "scum" it tells."""
     rnd = random.Random(4)
@@ -388,3 +447,59 @@ def test_line_pairs(spark, edits):
     both = df.alias("x").join(df.alias("y"), F.col("x.place") < F.col("y.place")).where(F.levenshtein("x.line", "y.line") <= edits)
     want = {(r[0], r[1]) for r in both.select("x.place", "y.place").collect()}
     assert got == want and want
+
+
+# Documents that a careless key would take for one another.
+ODD = [(None, "123"), ("123", None), ("123", ""), ("", "123"), (None, ""), ("", None), (None, None), ("12", "3"), ("1", "23")]
+
+
+def test_document_keys_stay_apart(spark):
+    rows = spark.createDataFrame(ODD, "i string, t string").select(document_key(F.col("i"), F.col("t")).alias("k"))
+    keys = {bytes(r[0]) for r in rows.collect()}
+    assert len(keys) == len(ODD) and all(len(k) == 16 for k in keys)
+
+
+def test_a_null_id_beside_an_id_that_reads_like_its_text(spark):
+    """(null, "123") and ("123", null) are two documents for every operator that keys them."""
+    text = "123 " + " ".join(f"w{i}" for i in range(12))
+    df = spark.createDataFrame([(None, "123"), (123, None), (None, text), (5, text)], "doc_id long, text string")
+    links = {(r["id"], r["n_links"], r["class_id"]) for r in jaccard.group_documents(df).collect()}
+    assert (123, 0, 123) in links and (5, 1, 5) in links
+    bench = spark.createDataFrame([("x", "123")], "item_id string, text string")
+    hits = sorted((r["doc_id"] or 0, r["hit"] is not None) for r in decontamination.judge(df, bench).collect())
+    assert hits == [(0, True), (0, True), (5, True), (123, False)]
+    lines = [(r["doc_id"], r["text"], r["lines"]["n_lines"]) for r in line_dedup.dedup_lines(df).collect()]
+    assert sorted(n for i, t, n in lines if t is None) == [0] and sorted(n for i, t, n in lines if t is not None) == [1, 1, 1]
+    found = pii.find_personal_data(spark.createDataFrame([(None, "a@b.cd"), ("a@b.cd", None)], "doc_id string, text string")).collect()
+    assert sorted(len(r["base"]) for r in found) == [0, 1]
+
+
+def test_items_without_an_id_are_sought_too(spark):
+    docs = spark.createDataFrame([(1, "x alpha beta gamma delta y"), (2, "alpha beta")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "alpha beta gamma delta"), (None, "alpha beta gamma delta"), ("i", "beta gamma")], "item_id string, text string")
+    got = {r["doc_id"]: r["hit"] for r in decontamination.judge(docs, bench).collect()}
+    assert got[2] is None and got[1]["n_hit"] == 4 and got[1]["items"] == ["i"]
+    only = decontamination.judge(docs, bench.where("item_id IS NULL")).where("doc_id = 1").first()["hit"]
+    assert only["n_hit"] == 4 and only["items"] == []
+
+
+def test_lines_of_documents_without_whole_numbers_as_ids(spark):
+    line = "a line of more than twenty characters"
+    for ids in ([None, None, None], ["b", "a", "c"], ["7", None, "x"], [3, 3, 3]):
+        kind = "long" if isinstance(ids[0], int) else "string"
+        df = spark.createDataFrame([(i, f"own {n}\n{line}") for n, i in enumerate(ids)], f"doc_id {kind}, text string")
+        rows = line_dedup.dedup_lines(df).collect()
+        assert sorted(r["lines"]["n_dropped"] for r in rows) == [0, 1, 1], ids
+    assert [r["lines"]["n_dropped"] for r in rows if r["doc_id"] == "7"] == []
+    first = line_dedup.dedup_lines(spark.createDataFrame([("x", line), ("7", line)], "doc_id string, text string"))
+    assert {r["doc_id"]: r["lines"]["n_dropped"] for r in first.collect()} == {"x": 1, "7": 0}
+    assert jaccard.group_documents(spark.createDataFrame([("x", line), ("y", line)], "doc_id string, text string")).count() == 2
+
+
+def test_exact_copies_of_short_lines(spark):
+    texts = ["yes\n\nno\na line of more than twenty characters", "yes\nnow\n\nyes\na line of more than twenty charakters", "no"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["lines"]["text"] for r in line_dedup.dedup_lines(df, exact_from=1).collect()}
+    assert got == {0: texts[0], 1: "now\n", 2: ""}
+    longer = {r["doc_id"]: r["lines"]["text"] for r in line_dedup.dedup_lines(df, exact_from=3).collect()}
+    assert longer == {0: texts[0], 1: "now\n", 2: "no"}
