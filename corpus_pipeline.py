@@ -21,9 +21,9 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that equal or nearly equal an earlier line go; the documents stay, n_chars follows."""
+    """Lines that equal or nearly equal an earlier line go, short ones if they equal it; the documents stay."""
     out = unused(docs, "lines")
-    kept = line_dedup.dedup_lines(docs)
+    kept = line_dedup.dedup_lines(docs, exact_from=1)
     fresh = {"text": F.col(f"{out}.text"), "n_chars": F.length(f"{out}.text").cast("long")}
     return kept.select(*[fresh[c].alias(c) if c in fresh else F.col(f"`{c}`") for c in docs.columns])
 
