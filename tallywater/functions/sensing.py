@@ -57,7 +57,8 @@ def is_anomalous(status: Column) -> Column:
 
 
 def device_id(kind: str, name: str) -> Column:
-    number = F.pmod(F.xxhash64(name), F.lit(10000)).cast("string")
+    digest = F.conv(F.substring(F.md5(F.col(name).cast("binary")), 1, 8), 16, 10).cast("long")
+    number = F.pmod(digest, F.lit(10000)).cast("string")
     return F.concat(F.lit("DEV-"), F.upper(kind), F.lit("-"), F.lpad(number, 4, "0"))
 
 

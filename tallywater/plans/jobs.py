@@ -29,6 +29,7 @@ from tallywater.operators.ranking import number_rows
 from tallywater.session import stored
 from tallywater.sources import commits
 from tallywater.sources.buckets import open_bucketed, write_bucketed
+from tallywater.sources.evolution import check_stored
 from tallywater.sources.tables import (
     Load,
     append_table,
@@ -42,6 +43,8 @@ from tallywater.sources.tables import (
 
 PREDICTIONS = "fact_agent_burnout_prediction"
 PERFORMANCE = "fact_agent_performance"
+#: What a daily load writes; all of it is shown at once.
+LOADED = ("fact_tickets", "fact_backlog", PERFORMANCE, "fact_billing")
 MIN_AGENTS = 10
 # Ids a day has room for; the largest id of the year 9999 still fits a long.
 DAY_IDS = 10**10
@@ -234,6 +237,8 @@ def daily_load(
     append_table(missing_calendar(read_table(spark, root, "dim_time"), day), root, "dim_time")
 
     facilities = read_table(spark, root, "dim_facility")
+    for name in ("dim_agent", "dim_customer", "dim_facility", *LOADED):
+        check_stored(spark, root, name)
 
     today = contacts.withColumn("date_id", F.lit(day)).drop("ticket_id", "department_id")
     placed = tickets.with_facility(today, customers, facilities, "contact_id")

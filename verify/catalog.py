@@ -1119,15 +1119,17 @@ def _sensor_event_json(spark, sf):
     sql(
         o.events(),
         f"SELECT event_id, {stamp('cycle', 'timestamp')}, facility_name, status, "
-        f"{big('alert_level', 'alert_level')}, {big('active_sensors', 'active_sensors')} "
-        "FROM sensor_events",
+        f"{big('alert_level', 'alert_level')}, {big('active_sensors', 'active_sensors')}, "
+        "'DEV-' || upper(facility_type) || '-' || lpad(CAST(CAST('0x' || substr(md5(facility_name), 1, 8) AS BIGINT) "
+        "% 10000 AS VARCHAR), 4, '0') AS device_id "
+        "FROM sensor_events JOIN (SELECT facility_name, facility_type FROM facilities) USING (facility_name)",
     ),
 )
 def _sensor_events(spark, sf):
     return a.sensor_events(spark, sf).select(
         "event_id", "timestamp", F.col("facility.name").alias("facility_name"),
         "operational_metrics.status", "operational_metrics.alert_level",
-        "operational_metrics.active_sensors",
+        "operational_metrics.active_sensors", "metadata.device_id",
     )
 
 
@@ -2083,6 +2085,39 @@ def _train_and_score(spark, sf):
     )
 
 
+@register(
+    "train_boosted",
+    sql(
+        TRAINED,
+        "SELECT class, test_rows, 1::BIGINT AS sums_to_one, 1::BIGINT AS beats_largest_class, 1::BIGINT AS same_after_load "
+        "FROM sizes WHERE test_rows > 0",
+    ),
+)
+def _train_boosted(spark, sf):
+    """The boosted kind, one model per class: fitted, saved, loaded and scored like the forest."""
+    balanced = labels.rebalance_labels(kept(labels.label_rows(_training(spark, sf))))
+    split = kept(labels.stratified_split(kept(balanced)))
+    model = train_classifier(split.where("is_test = 0"), kind="boosted", rounds=4, depth=3)
+    test = split.where("is_test = 1")
+    scored = kept(model.score(test).select("date_id", "agent_id", labels.LABEL, "risk_category", "probability"))
+    path = fresh_folder(spark, "model")
+    model.save(path)
+    again = load_model(spark, path).score(test).select("date_id", "agent_id", F.col("probability").alias("_again"))
+    right = scored.agg(F.avg((F.col("risk_category") == F.col(labels.LABEL)).cast("int"))).scalar()
+    largest = scored.groupBy(labels.LABEL).count().agg(F.max("count")).scalar()
+    total = F.aggregate("probability", F.lit(0.0), lambda x, y: x + y)
+    return (
+        scored.join(again, ["date_id", "agent_id"])
+        .groupBy(F.col(labels.LABEL).alias("class"))
+        .agg(
+            F.count("*").alias("test_rows"),
+            F.min((F.abs(total - 1) < 1e-9).cast("int")).alias("sums_to_one"),
+            F.min((F.col("probability") == F.col("_again")).cast("int")).alias("same_after_load"),
+        )
+        .withColumn("beats_largest_class", (right > largest / scored.count()).cast("int"))
+    )
+
+
 # --- jobs over stored tables -----------------------------------------------------------------------
 
 LOAD_DAYS = 3
@@ -2277,6 +2312,22 @@ def _exported_agents(spark, sf):
     return _exported(spark, sf, "agents")
 
 
+@register(
+    "stored_defaults",
+    """SELECT s_suppkey AS measure_id, s_name AS measure_name, round(s_acctbal, 6) AS measure_value,
+       CAST(current_date AS VARCHAR) AS measure_date, '' AS customer_segment FROM supplier""",
+)
+def _stored_defaults(spark, sf):
+    """Rows stored without a date and a segment: today and the empty text take their place."""
+    root = fresh_folder(spark, "warehouse")
+    given = a.table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("measure_id"), F.col("s_name").alias("measure_name"), F.col("s_acctbal").alias("measure_value"),
+        F.lit(None).cast("string").alias("customer_segment"),
+    )
+    tables.append_table(given, root, "meas_billing")
+    return tables.read_table(spark, root, "meas_billing")
+
+
 # --- file skipping ---------------------------------------------------------------------------------
 
 SKIPPED = {
