@@ -94,6 +94,35 @@ def test_trees_add_the_cards_of_a_longer_chain(spark):
     assert found[1]["spans"] == [] and len(found[0]["spans"]) == 1
 
 
+def test_trees_choose_among_look_alikes_of_every_kind(spark):
+    """Loose forms of personal data are added, look-alikes are not; each kind by its own threshold."""
+    rnd = random.Random(7)
+
+    def digits(n, first="23456789"):
+        return rnd.choice(first) + "".join(rnd.choice("0123456789") for _ in range(n - 1))
+
+    def card():
+        some = digits(15)
+        return some + next(d for d in "0123456789" if pii.luhn(some + d))
+
+    def word():
+        return "".join(rnd.choice("abcdefghilmnorstu") for _ in range(rnd.randint(4, 8)))
+
+    rows = []
+    for i in range(400):
+        kind = [f"{word()}.{word()}@{word()}.org", f"10.{rnd.randrange(256)}.{rnd.randrange(256)}.7", card(), f"+1 ({digits(3)}) {digits(3)}-{digits(4)}"][i % 4]
+        rows.append((i, f"{word()} {word()} {kind} {word()}"))
+    good = [f"{word()} {word()} (at) {word()}.org and", f"call ({digits(3)}) {digits(3)}-{digits(4)} now", f"number {card()} {digits(4)} here"]
+    bad = [f"{word()} {word()} (at) {word()} and", "on 2024-01-30 we", "chapter 1.2.3.4.5 says", "amount 12.345.678 paid", f"serial {'12' * 9}7 here"]
+    df = spark.createDataFrame(rows + [(1000 + i, t) for i, t in enumerate(good)] + [(2000 + i, t) for i, t in enumerate(bad)], "doc_id long, text string")
+    found = {r["id"]: r for r in pii.find_personal_data(df).collect()}
+    added = {i: [s for s in r["spans"] if s not in r["base"]] for i, r in found.items()}
+    assert [len(added[1000 + i]) for i in range(len(good))] == [1, 1, 1]
+    assert [added[2000 + i] for i in range(len(bad))] == [[]] * len(bad)
+    assert [s["kind"] for i in range(len(good)) for s in added[1000 + i]] == [0, 3, 2]
+    assert sum(len(added[i]) for i in range(400)) <= 4
+
+
 @pytest.fixture(scope="module")
 def bench(spark):
     items = [(1, "quick brown fox jumps over the lazy dog near the RIVER"), (2, "ÉCOLE straße"), (3, None), (4, ""), (5, "never seen at all"), (2, "ÉCOLE straße")]
