@@ -124,6 +124,14 @@ def train(
     return model, rows
 
 
+def newest_features(spark: SparkSession, root: str, days: int = features.LOOKBACK_DAYS) -> DataFrame:
+    """Features of every agent seen in the ``days`` before the newest stored date: no other date's
+    folder is read."""
+    there = stored_dates(spark, root, PERFORMANCE)
+    recent = [day for day in there if day >= there[-1] - timedelta(days=days)]
+    return features.latest_features(read_table(spark, root, PERFORMANCE, days=recent))
+
+
 def daily_scores(
     perf: DataFrame, model: RiskModel, as_of: date, days: int = features.LOOKBACK_DAYS
 ) -> DataFrame:

@@ -165,6 +165,27 @@ def _latest_features(spark, sf):
     )
 
 
+@register(
+    "newest_features",
+    sql(
+        {
+            **o.performance(days=600, every_agent=False),
+            "recent": "SELECT * FROM perf WHERE date_id >= (SELECT max(date_id) FROM perf) - 30",
+            "rolled": o.rolling("recent", "agent_id"),
+            "features": o.flags("rolled", filled=True),
+        },
+        f"SELECT {KEYS_OUT}, {PERF_OUT}, {FEATURES_OUT}, {big('tenure_months', 'tenure_months')} "
+        "FROM features WHERE is_latest",
+    ),
+)
+def _newest_features(spark, sf):
+    """Tickets to stored agent days to the newest features of every agent, of which the look-back alone
+    is read."""
+    root = fresh_folder(spark, "warehouse")
+    tables.replace_dates(a.varied_performance(spark, sf, a.GAPPY_DAYS, every_agent=False), root, jobs.PERFORMANCE)
+    return jobs.newest_features(spark, root).select(*FEATURE_COLUMNS, *PERF_INTS, *PERF_DOUBLES, "tenure_months")
+
+
 @register(
     "stress_index",
     sql(o.performance(), f"SELECT {KEYS_OUT}, {R(o.STRESS)} AS stress_index FROM perf"),
