@@ -44,13 +44,15 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFra
     that repeat an id and text."""
     text, doc_id = F.col(f"`{text_col}`").cast("string"), F.col(f"`{id_col}`")
     rows = docs.select(document_key(doc_id, text).alias("key"), doc_id.cast("string").try_cast("decimal(19,0)").alias("doc"), text.alias("text"))
-    # Ids that are no whole numbers follow all that are, in an order of their own.
-    spread = lambda n: F.pmod(F.xxhash64("key"), F.lit(n)).cast("decimal(20,0)")
-    rows = rows.withColumns({"doc": F.coalesce("doc", spread(10**18) + F.lit("2" + "0" * 19).cast("decimal(20,0)")).cast("decimal(20,0)"), "tie": spread(10**8)})
-    each = rows.select("key", "doc", "tie", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    # Ids that are no whole numbers follow all that are, in the order of a digest of their texts.
+    spread = lambda n: F.pmod(F.xxhash64("text"), F.lit(n)).cast("decimal(20,0)")
+    doc = F.coalesce("doc", spread(10**18) + F.lit("2" + "0" * 19).cast("decimal(20,0)")).cast("decimal(20,0)")
+    # The numbers of a document are wide; they are multiplied once, its lines only add to them.
+    rows = rows.withColumn("start", ((doc * 4294967296).cast("decimal(30,0)") * 100000000 + spread(10**8)).cast("decimal(38,0)"))
+    each = rows.select("key", "start", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     return each.withColumn("chars", F.length("line")).where(F.col("chars") >= least).select(
         "key", "line_no", "line", "chars", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"),
-        ((F.col("doc") * 4294967296 + F.col("line_no")).cast("decimal(30,0)") * 100000000 + F.col("tie")).cast("decimal(38,0)").alias("place"),
+        (F.col("start") + (F.col("line_no").cast("long") * 100000000).cast("decimal(20,0)")).cast("decimal(38,0)").alias("place"),
     )
 
 
