@@ -11,8 +11,8 @@ ones that stay personal data (an address with "(at)", a number without its plus,
 chain) and look-alikes that are none (a domain without a dot, a date, an amount, a section number).
 The threshold of each kind is calibrated on a held-out fifth: the lowest one with the wanted precision.
 
-At most ``most_rows`` examples train the trees (chosen by digest, a documented bound); every candidate
-of every whole text that the base rules leave open is scored.
+Every example of every whole text counts: four fifths train the trees, spread over tasks, and all of the
+other fifth calibrate the thresholds. Every candidate that the base rules leave open is scored.
 
 Defined results: null and empty texts have no spans; offsets count code points, ends are exclusive;
 an added span overlaps neither a base span nor a better added one of the same document; without both
@@ -61,8 +61,9 @@ HINTS = (
 )
 VERSION = re.compile(r"version|release|\bv\b|section|chapter", re.IGNORECASE)
 
-MOST_ROWS = 20_000
 PRECISION = 0.95
+#: Examples that one task learns from.
+TASK_ROWS = 50_000
 #: Added spans that one call of Python compares.
 BUNDLE = 2000
 
@@ -239,26 +240,32 @@ def spans_of(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.mapInPandas(work, SPANS)
 
 
-def accepted(spans: DataFrame, *, most_rows: int = MOST_ROWS, precision: float = PRECISION, seed: int = 5) -> DataFrame:
+def examples(spans: DataFrame) -> DataFrame:
+    """What the trees learn from and are calibrated on: every span whose truth is known, with its number
+    of rows. Spans with equal features, kind and truth are one weighted row, so that trees are grown on few.
+    """
+    held = F.pmod(F.xxhash64("key", "kind", "s", "e"), F.lit(5)) == 0
+    known = spans.where("truth IS NOT NULL").select("kind", "x", F.col("truth").cast("double").alias("label"), held.alias("held"))
+    return known.groupBy("kind", "x", "label", "held").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+
+
+def accepted(spans: DataFrame, *, precision: float = PRECISION, seed: int = 5) -> DataFrame:
     """The candidates that the trees accept: (key, kind, s, e, p)."""
-    digest = F.xxhash64("key", "kind", "s", "e")
-    known = spans.where("truth IS NOT NULL").withColumn("_digest", digest)
-    sample = stored(
-        known.orderBy("_digest", "key", "kind", "s").limit(most_rows).select(
-            "kind", array_to_vector("x").alias("features"), F.col("truth").cast("double").alias("label"), (F.pmod("_digest", F.lit(5)) == 0).alias("held")
-        ),
-        "pii-sample",
-    )
+    vector = array_to_vector("x").alias("features")
+    # Dealt and ordered by what they hold: the same rows meet in the same tasks.
+    tasks, order = -(-spans.where("truth IS NOT NULL").count() // TASK_ROWS), ["x", "label", "held", "kind"]
+    dealt = examples(spans).repartition(max(1, tasks), *order).sortWithinPartitions(*order)
+    known = stored(dealt.select("kind", vector, "label", "held", "weight"), "pii-examples")
     empty = spans.where("false").select("key", "kind", "s", "e", F.lit(0.0).alias("p"))
-    split = {(r["held"], r["label"]): r["count"] for r in sample.groupBy("held", "label").count().collect()}
+    split = {(r["held"], r["label"]): r["count"] for r in known.groupBy("held", "label").count().collect()}
     if min(split.get((False, 0.0), 0), split.get((False, 1.0), 0), split.get((True, 1.0), 0)) == 0:
         return empty
-    trees = GBTClassifier(maxIter=12, maxDepth=4, stepSize=0.3, seed=seed).fit(sample.where("NOT held").coalesce(1))
+    trees = GBTClassifier(maxIter=12, maxDepth=4, stepSize=0.3, seed=seed, weightCol="weight").fit(known.where("NOT held"))
     chance = vector_to_array("probability")[1]
     cells = (
-        trees.transform(sample.where("held"))
+        trees.transform(known.where("held"))
         .groupBy("kind", F.floor(chance * 1000).alias("cell"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("right"))
+        .agg(F.sum("weight").alias("n"), F.sum(F.col("label") * F.col("weight")).alias("right"))
     )
     above = Window.partitionBy("kind").orderBy(F.desc("cell"))
     cut = cells.withColumns({"n": F.sum("n").over(above), "right": F.sum("right").over(above)}).where(

@@ -532,3 +532,18 @@ def test_exact_copies_of_short_lines(spark):
     assert got == {0: texts[0], 1: "now\n", 2: ""}
     longer = {r["doc_id"]: r["lines"]["text"] for r in line_dedup.dedup_lines(df, exact_from=3).collect()}
     assert longer == {0: texts[0], 1: "now\n", 2: "no"}
+
+
+def test_every_known_span_is_learned_from(spark):
+    """More examples than any sample held: all of them count, and the threshold is of the whole held-out fifth."""
+    rows = spark.range(30_000).select(
+        F.col("id").cast("string").cast("binary").alias("key"), F.lit(3).alias("kind"), F.lit(0).alias("s"), F.lit(9).alias("e"),
+        (F.col("id") % 2 == 0).alias("base"), (F.col("id") % 2 == 0).cast("int").alias("truth"),
+        F.array(F.pmod("id", F.lit(2)).cast("double"), F.pmod("id", F.lit(7)).cast("double")).alias("x"),
+    )
+    got = pii.examples(rows).groupBy("label").agg(F.sum("weight").alias("n"), F.count("*").alias("distinct")).collect()
+    assert {r["label"]: r["n"] for r in got} == {0.0: 15_000, 1.0: 15_000}
+    assert all(r["distinct"] == 14 for r in got)
+    open_ = rows.limit(4).withColumns({"truth": F.lit(None).cast("int"), "s": F.lit(20), "e": F.lit(29), "base": F.lit(False)})
+    accepted = pii.accepted(rows.unionByName(open_)).count()
+    assert accepted == open_.where("x[0] = 0").count()
