@@ -2,6 +2,7 @@
 
 from datetime import timedelta
 
+import pandas as pd
 import pytest
 from test_streaming import T0, message, put, stream
 
@@ -72,3 +73,51 @@ def test_accounts_hold_late_and_repeated_events(spark, tmp_path):
     put(tmp_path / "in", "4.json", [message(6, 630)])
     sinks.append_stream(once.select("event_id"), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
     assert book.table(spark).count() == len(again)
+
+
+def test_waiting_events_are_not_read_back_while_more_arrive(monkeypatch):
+    """Every bundle is written beside the earlier ones of its block: work follows the rows, not their square."""
+    class Value:
+        def __init__(self):
+            self.row = None
+
+        def exists(self):
+            return self.row is not None
+
+        def get(self):
+            return self.row
+
+        def update(self, row):
+            self.row = row
+
+    class Waiting(dict):
+        updateValue = dict.__setitem__
+
+        def getValue(self, name):
+            raise AssertionError("read back")
+
+        def containsKey(self, name):
+            return name in self
+
+    monkeypatch.setattr(state, "BUNDLE", 4)
+    one = state.StatusProcessor(1000, 10**6)
+    one.current, one.bundles, one.waiting = Value(), Value(), Waiting()
+    one.handle = type("Handle", (), {"registerTimer": lambda self, at: None})()
+    for _ in range(2):
+        parts = [pd.DataFrame({"moment": [4 * n, 4 * n + 4000], "event_id": [f"{n}a", f"{n}b"]}) for n in range(5)]
+        assert list(one.handleInputRows(("A",), iter(parts), None)) == []
+    assert sum(len(moments) for moments, _ in one.waiting.values()) == 20
+    assert {block for block, _ in one.waiting} == {0, 1} and len(one.waiting) == 12
+
+
+def test_many_bundles_give_the_changes_of_one(spark, tmp_path, monkeypatch):
+    rows = [message(n, (n * 7) % 40, "A", ("operational", "warning", "critical")[n % 3], (0, 2, 3)[n % 3]) for n in range(40)]
+    put(tmp_path / "in", "1.json", rows)
+    put(tmp_path / "in", "2.json", [message(99, 1000, "A")])
+    whole = run(spark, tmp_path)
+    monkeypatch.setattr(state, "BUNDLE", 3)
+    again = tmp_path / "again"
+    again.mkdir()
+    put(again / "in", "1.json", rows)
+    put(again / "in", "2.json", [message(99, 1000, "A")])
+    assert run(spark, again) == whole and len(whole) > 10
