@@ -49,6 +49,8 @@ MIN_AGENTS = 10
 # Ids a day has room for; the largest id of the year 9999 still fits a long.
 DAY_IDS = 10**10
 MIN_ROWS = 60
+#: Rows of agents that one task repeats for the dates asked for: some hundred megabytes of memory.
+TASK_ROWS = 100_000
 
 
 class NoData(RuntimeError):
@@ -183,12 +185,19 @@ def features_of_dates(perf: DataFrame, dates: DataFrame) -> DataFrame:
     days = features.LOOKBACK_DAYS
     # One small row per date, read several times: kept, so that what it comes from is read once.
     ready = stored(backfill_ready(perf, dates, days, MIN_ROWS), "ready")
-    agents = features.agents_known(perf, ready, days).where(F.col("agents") >= MIN_AGENTS)
+    agents = features.agents_known(by_agent(perf.select("agent_id", "date_id")), ready, days).where(F.col("agents") >= MIN_AGENTS)
     enough = stored(agents.select("as_of"), "enough")
-    known = features.asof_features(perf.select(*features.EXTRACT), enough, days)
+    known = features.asof_features(by_agent(perf.select(*features.EXTRACT)), enough, days)
     return known.withColumnRenamed("date_id", "source_date_id").withColumnRenamed("as_of", "date_id")
 
 
+def by_agent(perf: DataFrame) -> DataFrame:
+    """Agents dealt to as many tasks as their rows need: the windows over them hold what a task reads,
+    repeated for the days on which it is the newest, and Spark would merge tasks by their bytes alone."""
+    least = int(perf.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return perf.repartition(max(least, -(-perf.count() // TASK_ROWS)), "agent_id")
+
+
 def history_records(scored: DataFrame, model: RiskModel) -> DataFrame:
     """The simpler historical form: top probability, constant productivity, agent id as id."""
     history = scoring.score_history(scored).withColumn("prediction_id", F.col("agent_id"))
