@@ -2,12 +2,34 @@
 
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallywater.plans import jobs
 from verify import adapters as a
 
 
+@pytest.fixture
+def events(spark, tmp_path):
+    rows = spark.range(4000).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.col("id") * 60).alias("ts"), F.col("id").alias("user_id"), F.lit(1.0).alias("value")
+    )
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    return str(tmp_path)
+
+
+def test_files_of_a_part_follow_its_rows(spark, events, monkeypatch):
+    monkeypatch.setattr(a, "_EVENT_FOLDERS", {})
+    monkeypatch.setattr(a, "FILE_ROWS", 100)
+    folder, files = a.event_files(spark, events, True)
+    held = spark.read.parquet(folder).groupBy(F.input_file_name()).count().collect()
+    assert files == 14 and len(held) == 3 * files
+    assert max(r["count"] for r in held) <= 110 and sum(r["count"] for r in held) == 4000
+    monkeypatch.setattr(a, "_EVENT_FOLDERS", {})
+    monkeypatch.setattr(a, "FILE_ROWS", 10**6)
+    assert a.event_files(spark, events, False)[1] == a.FILES
+
+
 def test_tasks_of_the_backfill_follow_its_rows(spark, monkeypatch):
     monkeypatch.setattr(jobs, "TASK_ROWS", 50)
     perf = spark.range(1000).select(F.lit(date(2025, 1, 1)).alias("date_id"), (F.col("id") % 300).alias("agent_id"))

@@ -306,14 +306,17 @@ def single_events(calibrated_rows: DataFrame) -> DataFrame:
 
 
 PARTS = 3
+# Files of a part: four, or more where these would be longer than so many rows.
 FILES = 4
-_EVENT_FOLDERS: dict[tuple[str, str, bool], str] = {}
+FILE_ROWS = 100_000
+_EVENT_FOLDERS: dict[tuple[str, str, bool], tuple[str, int]] = {}
 
 
-def event_files(spark: SparkSession, sf: str, in_order: bool) -> str:
-    """The events table in ``PARTS`` parts of ``FILES`` files, written one part after the other: thirds
+def event_files(spark: SparkSession, sf: str, in_order: bool) -> tuple[str, int]:
+    """The events table in ``PARTS`` parts of equally many files, written one part after the other: thirds
     of its time, or (not ``in_order``) thirds by id, so that most rows of the later parts are older
-    than the first. A part is written by all executors and read as one batch."""
+    than the first. A part is written by all executors and read as one batch; the number of its files
+    follows its rows, so that no task reads more as the table grows."""
     key = (spark.sparkContext.applicationId, sf, in_order)
     if key in _EVENT_FOLDERS:
         return _EVENT_FOLDERS[key]
@@ -323,18 +326,20 @@ def event_files(spark: SparkSession, sf: str, in_order: bool) -> str:
     first, last = (rows.agg(f(micros)).scalar() for f in (F.min, F.max))
     third = F.floor((micros - first) * PARTS / (last - first + 1))
     part = third if in_order else F.pmod("event_id", F.lit(PARTS))
+    longest = rows.groupBy(part.alias("part")).count().where("part IS NOT NULL").agg(F.max("count")).first()[0] or 0
+    files = max(FILES, -(-longest // FILE_ROWS))
     for n in range(PARTS):
-        rows.where(part == n).repartition(FILES).write.mode("append").parquet(folder)
-    _EVENT_FOLDERS[key] = folder
-    return folder
+        rows.where(part == n).repartition(files).write.mode("append").parquet(folder)
+    _EVENT_FOLDERS[key] = folder, files
+    return _EVENT_FOLDERS[key]
 
 
 def event_stream(spark: SparkSession, sf: str, in_order: bool = True) -> DataFrame:
     """The events table as a stream of single-reading events, joined to the dimensions; a part
     is a batch."""
     schema = table(spark, sf, "events").schema
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES)
-    stream = reader.parquet(event_files(spark, sf, in_order))
+    folder, files = event_files(spark, sf, in_order)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(folder)
     dim = sensors(spark)
     rated = sensor_ops.classify_readings(readings_of(stream, dim), dim)
     return single_events(sensor_ops.calibrate_readings(rated, facilities(spark)))
