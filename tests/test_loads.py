@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 from test_jobs import FIRST, agents_frame, contacts, customers, usage
 
+from tallywater.operators import ranking, tickets
 from tallywater.plans import jobs
 from tallywater.schemas import TABLES
-from tallywater.sources import commits, tables
+from tallywater.sources import buckets, commits, tables
 
 DAY = timedelta(days=1)
 FACTS = ("fact_tickets", "fact_backlog", jobs.PERFORMANCE, "fact_billing")
@@ -203,3 +204,90 @@ def test_sketches_stand_for_any_days(spark, root):
         for entity, (fact, column) in jobs.ENTITIES.items():
             rows = tables.scan_dates(tables.read_table(spark, root, fact), start, end)
             assert got.get(entity, 0) == pytest.approx(rows.select(F.countDistinct(column)).first()[0], rel=0.05, abs=0.5)
+
+
+def moves(df):
+    """Exchanges by a key or for the size of files in the plan of a frame, without those of its cached rows."""
+
+    def walk(node):
+        node = node.initialPlan() if node.nodeName() == "AdaptiveSparkPlan" else node
+        text = node.simpleString(1000)
+        below = [move for n in range(node.children().size()) for move in walk(node.children().apply(n))]
+        return below + ([text] if text.startswith("Exchange") and "SinglePartition" not in text else [])
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_tickets_of_a_day_do_not_move_once_they_are_dealt(spark, root, monkeypatch):
+    plans, put = {}, tables.Load.put
+
+    def seen(self, df, name, *args, **kwargs):
+        put(self, df, name, *args, **kwargs)
+        plans[name] = moves(df)
+
+    def large(spark, root, name, **kwargs):
+        """Customers as a dimension that is too large to broadcast."""
+        df = tables.read_table(spark, root, name, **kwargs)
+        return df.hint("merge") if name == "dim_customer" else df
+
+    monkeypatch.setattr(tables.Load, "put", seen)
+    monkeypatch.setattr(jobs, "read_table", large)
+    monkeypatch.setattr(jobs, "FILE_ROWS", 20, raising=False)
+    places = [(n, f"F{n}", "plant", f"District {n % 2}", 0.0, 0.0) for n in range(4)]
+    tables.append_table(spark.createDataFrame(places, TABLES["dim_facility"].ddl), root, "dim_facility")
+    # Without a facility, as it is then looked up by customer.
+    rows = contacts(spark, FIRST).drop("facility_id")
+    jobs.daily_load(spark, root, FIRST, rows, usage(spark).drop("facility_id"))
+    # Counts per date may move.
+    wide = ("customer_id", "agent_id", "ticket_id", "_block", "REBALANCE")
+    assert [move for name in ("fact_tickets", "fact_backlog") for move in plans[name] if any(word in move for word in wide)] == []
+    assert [move for move in plans["fact_billing"] if "customer_id" not in move and "district" not in move] == []
+    folder = tables.read_table(spark, root, "fact_tickets").inputFiles()
+    assert 1 <= len(folder) <= 3
+    # Nothing is left of the rows that were dealt.
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("dealt_")]
+    stored = tables.read_table(spark, root, "fact_backlog").orderBy("ticket_id").collect()
+    assert [r["backlog_id"] for r in stored] == list(range(jobs.first_id(FIRST) + 1, jobs.first_id(FIRST) + 1 + len(stored)))
+
+
+def test_tasks_of_a_day_follow_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(jobs, "FILE_ROWS", 100)
+    monkeypatch.setattr(jobs, "LEAST_ROWS", 10)
+    assert [jobs.day_tasks(spark.range(n)) for n in (0, 9, 25, 300, 1001, 10**6)] == [1, 1, 3, 4, 11, 1024]
+
+
+def test_accounts_brought_to_the_rows_are_those_of_lookups(spark):
+    rows = spark.createDataFrame(
+        # Ids that come twice, lack, or aren't known.
+        [(1, 1, "a"), (1, 1, "a"), (1, 1, "b"), (1, 2, "c"), (None, 2, "d"), (2, None, "e"), (3, 77, "f"), (None, None, "g"), (9, 3, "h")],
+        "contact_id long, customer_id long, note string",
+    )
+    people = spark.createDataFrame(
+        [(1, "North", "Domestic", "Home"), (2, "South", None, "Home"), (2, "North", "Trade", None), (3, None, "", "x"), (None, "South", "Trade", "y")],
+        "customer_id long, district string, tariff_category string, customer_segment string",
+    )
+    places = spark.createDataFrame([(1, "North"), (2, "North"), (3, "South"), (4, None)], "facility_id long, district string")
+
+    def found(some):
+        return tickets.with_customer(tickets.with_facility(some, people, places, "contact_id"), people)
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    own = sorted(map(str, found(rows).collect()))
+    blocked = rows.withColumn("_block", tickets.key_block("contact_id"))
+    try:
+        with buckets.co_partitioned(spark), buckets.in_buckets(blocked, "_block", 3) as dealt:
+            met = tickets.with_accounts(dealt, people, "contact_id", 3)
+            # Keys and customers by customer, and back by block; not the rows.
+            assert len(moves(met)) == 3 and met.rdd.getNumPartitions() == 3
+            once = sorted(map(str, found(met).drop("_block").collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert once == own and len(own) == 15
+
+
+def test_few_groups_give_the_same_numbers(spark):
+    rows = spark.range(200).select((F.col("id") % 3).alias("day"), F.expr("nullif(id % 7, 3)").alias("block"), "id")
+    one, other = (ranking.number_rows(rows, [["day"], ["block"]], ["id"], "n", 10, few=few) for few in (False, True))
+    assert sorted(one.collect(), key=str) == sorted(other.select(*one.columns).collect(), key=str)
+    assert sorted(r["n"] for r in other.collect()) == list(range(11, 211))
